@@ -53,10 +53,9 @@ def assign_models(
     by = list(by)
     single = single_versions(versions, by, valid_from, seq)
     if form != "window":
-        rows = single.limit(few + 1).collect()
-        if len(rows) <= few:
-            small = records.sparkSession.createDataFrame(rows, single.schema)
-            return _broadcast_form(records, small, sorted({r["_from"] for r in rows}), on, by, out)
+        starts = [r["_from"] for r in single.select("_from").limit(few + 1).collect()]
+        if len(starts) <= few:
+            return _broadcast_form(records, single, sorted(set(starts)), on, by, out)
         if form == "broadcast":
             raise ValueError(f"more than {few} versions for the broadcast form")
     return _window_form(records, single, on, by, out, target_rows)
@@ -77,7 +76,7 @@ def _broadcast_form(
 ) -> DataFrame:
     names = list(records.columns)
     until = F.lead("_from").over(Window.partitionBy(*by).orderBy("_from"))
-    # A handful of rows made on the driver: every start, numbered over all keys.
+    # Without a key, the place of a time among the sorted starts is an equality to join on.
     place = F.expr(_search("_from", starts))
     ranges = single.select(*[F.col(k).alias(f"_k_{k}") for k in by], "_from", until.alias("_until"), "_version", place.alias("_place"))
     timed = records.withColumn("_at", micros(on))

@@ -11,7 +11,7 @@ from tidemark.operators.ordering import TARGET_ROWS, following
 from tidemark.operators.asof import micros
 
 # Earlier than any record: where a restored model becomes valid.
-BEFORE_ALL = "0001-01-01 00:00:00"
+BEFORE_ALL = "1900-01-01 00:00:00"
 
 
 def usable_versions(descriptors: DataFrame, supported: Sequence[str]) -> DataFrame:
