@@ -1,12 +1,15 @@
 import bz2
 import gzip
+import sys
 import zipfile
 
+import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import Observation, functions as F, types as T
 
 from tidemark.functions.parse import (
-    AllRecordsAreBad, bad_records, good_records, parse_airline, parse_fields, parse_lines, parse_wine, quality_counts,
+    AllRecordsAreBad, bad_records, column_parser, good_records, parse_airline, parse_fields, parse_lines, parse_wine, quality_counts,
     require_good, watch_quality,
 )
 from tidemark.operators.ordering import numbered
@@ -14,6 +17,8 @@ from tidemark.schemas import AIRLINE_RECORD, WINE_FEATURES, WINE_RECORD, SchemaM
 from tidemark.sources.binary import model_catalogue, read_bytes
 from tidemark.sources.text import MissingInput, read_lines
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PAIR = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
 WINE_LINE = "7.4;0.7;0;1.9;0.076;11;34;0.9978;3.51;0.56;9.4"
 
@@ -109,7 +114,7 @@ def test_bad_records_are_set_aside_with_their_place(spark, tmp_path):
     ]
     with pytest.raises(AllRecordsAreBad, match="bad.csv"):
         require_good(parsed, [path])
-    ok = parse_lines(read_lines(spark, [path]), lambda c: parse_fields(",", PAIR)(F.regexp_replace(c, "two", "2,two")))
+    ok = parse_lines(read_lines(spark, [path]).withColumn("value", F.regexp_replace("value", "two", "2,two")), parse_fields(",", PAIR))
     assert require_good(ok, [path]) == (1, 4)
     seen = Observation("quality")
     assert len(watch_quality(ok, seen).collect()) == 5 and seen.get == {"good": 1, "bad": 4}
@@ -149,10 +154,24 @@ def test_airline_lines(spark):
     assert (rows[0].record.year, rows[0].record.tailNum, rows[0].record.origin, rows[0].record.lateAircraftDelay) == (1990, 0, "CMH", 0)
     assert rows[6].record.uniqueCarrier == "0"
     assert conform(good_records(parse_lines(df, parse_airline)), AIRLINE_RECORD).count() == 4
-    loose = parse_lines(df, lambda c: parse_airline(c, text_codes=True)).orderBy("i").collect()
+    loose = parse_airline(df, text_codes=True).orderBy("i").collect()
     assert loose[3].error is None and loose[3].record.tailNum == 123
 
 
+def count_words(text: pd.Series) -> pd.DataFrame:
+    n = text.str.split().str.len()
+    return pd.DataFrame({"record": [{"n": x} for x in n], "error": [None if x > 1 else "too few words" for x in n]})
+
+
+def test_parsers_can_be_users_own(spark):
+    df = spark.createDataFrame([("a b c",), ("a",)], "value string")
+    rows = parse_lines(df, column_parser(F.pandas_udf(count_words, "record struct<n: bigint>, error string"))).collect()
+    assert (rows[0].record.n, rows[0].error, rows[1].error) == (3, None, "too few words")
+    kind = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DoubleType())])
+    wide = spark.createDataFrame([("12|0.5",), ("|1",), ("7|inf",)], "value string")
+    assert [r.error for r in parse_lines(wide, parse_fields("|", kind)).collect()] == [None, "|1", "7|inf"]
+
+
 def test_conform_refuses_other_shapes(spark):
     df = spark.sql("SELECT 1 AS id, 'x' AS name, 3 AS more")
     assert conform(df, PAIR).columns == ["id", "name"]

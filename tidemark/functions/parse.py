@@ -1,134 +1,169 @@
-"""Delimited-line parsers: a text column in, a struct<record, error> column out.
+"""Delimited-line parsers.
 
-A parser is any function Column -> Column giving a struct with fields `record` (null when bad) and `error` (null when
-good), so users can bring their own, also one built on a pandas_udf.
+A parser adds `record`, a struct that is null for a bad line, and `error`, a text that is null for a good one. The
+parsers here work in steps, each its own projection, so a line is split once and a token is read once however many
+fields and checks use it. A user's own parser can be any function Column -> struct<record, error>, see `column_parser`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.schemas import AIRLINE_FIELDS, AIRLINE_RECORD, AIRLINE_TEXT_FIELDS, WINE_FEATURES, WINE_RECORD
+from tidemark.schemas import AIRLINE_RECORD, WINE_FEATURES, WINE_RECORD
 
-Parser = Callable[[Column], Column]
+Parser = Callable[[DataFrame, str], DataFrame]
 
 WINE_LOT = "wine quality sample data"
-
-
-def split_line(line: Column, separator: str) -> Column:
-    """Tokens of a line without the empty ones at its end; an empty line is one empty token."""
-    mark = f"[{separator}]"
-    tokens = F.split(F.regexp_replace(line, f"{mark}+$", ""), mark)
-    return F.when(line.rlike(f"^{mark}+$"), F.array().cast("array<string>")).otherwise(tokens)
+_BLANKS = "".join(map(chr, range(33)))
 
 
 def trim_control(text: Column) -> Column:
     """Drop blanks and control characters at both ends."""
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(text, F.lit(_BLANKS))
+
+
+def _checked_double(token: Column, value: Column) -> Column:
+    """The double read from a token, or null where a word was read that is not spelled exactly NaN or Infinity."""
+    unusual = F.isnan(value) | (F.abs(value) == float("inf"))
+    spelled = trim_control(token).rlike("^([+-]?(NaN|Infinity)|[^nN]*)$")
+    return F.when(~unusual | spelled, value)
 
 
 def to_double(token: Column) -> Column:
-    """A double or null. Words for not-a-number and infinity count only in their exact spelling."""
-    text = trim_control(token)
-    return F.when(~text.rlike("(?i)[in]n?[af]") | text.rlike("^[+-]?(NaN|Infinity)$"), text.try_cast("double"))
+    """A double or null."""
+    return _checked_double(token, token.try_cast("double"))
 
 
 def to_int(token: Column) -> Column:
     """A 32-bit whole number or null; no fraction, no exponent."""
-    return F.when(token.rlike("^[+-]?[0-9]+$"), token.try_cast("int"))
+    return trim_control(token).try_cast("int")
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _number_error(token: Column) -> Column:
     return F.concat(F.lit('java.lang.NumberFormatException: For input string: "'), token, F.lit('"'))
 
 
-def _outcome(error: Column, record: Column, schema: T.StructType) -> Column:
-    return F.struct(
-        F.when(error.isNull(), record).cast(schema).alias("record"), error.cast("string").alias("error")
+def split_lines(df: DataFrame, text: str, separator: str) -> DataFrame:
+    """Add `_text`, the line without separators at its end, and its `_tokens`; an empty line is one empty token."""
+    short = df.withColumn("_text", F.expr(f"trim(TRAILING {_sql_text(separator)} FROM `{text}`)"))
+    only_separators = (F.col("_text") == "") & (F.col(text) != "")
+    tokens = F.split("_text", re.escape(separator))
+    return short.withColumn("_tokens", F.when(only_separators, F.array().cast("array<string>")).otherwise(tokens))
+
+
+def _token(i: int) -> Column:
+    return F.get("_tokens", F.lit(i))
+
+
+def _typed(df: DataFrame, schema: T.StructType, read: dict[str, Column]) -> DataFrame:
+    """Add a column per field. Doubles take two projections: read, then checked."""
+    doubles = {f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)}
+    raw = df.select("*", *[read[f.name].alias(f"_f_{f.name}") for f in schema.fields])
+    return raw.withColumns(
+        {f"_f_{f.name}": _checked_double(_token(i - (schema.names[0] == "lot_id")), F.col(f"_f_{f.name}"))
+         for i, f in enumerate(schema.fields) if f.name in doubles}
     )
 
 
-def parse_wine(line: Column, separator: str = ";", lot: str = WINE_LOT) -> Column:
+def _judged(df: DataFrame, schema: T.StructType, error: Column, keep: Sequence[str]) -> DataFrame:
+    record = F.struct(*[F.col(f"_f_{f.name}").alias(f.name) for f in schema.fields])
+    outcome = df.withColumn("_error", error.cast("string"))
+    whole = F.struct(F.when(F.col("_error").isNull(), record).cast(schema).alias("record"), F.col("_error").alias("error"))
+    # A filter on the outcome would otherwise be moved below all steps and do their work a second time.
+    return outcome.select(*keep, F.explode(F.array(whole)).alias("_parsed")).select(*keep, "_parsed.record", "_parsed.error")
+
+
+def parse_wine(lines: DataFrame, text: str = "value", separator: str = ";", lot: str = WINE_LOT) -> DataFrame:
     """At least eleven numbers; every token must be one, also those past the eleventh, which are dropped."""
-    tokens = split_line(line, separator)
-    text = F.array_join(tokens, separator)
-    bad = F.filter(tokens, lambda t: to_double(t).isNull())
-    first_bad = trim_control(F.get(bad, F.lit(0)))
-    cause = F.when(first_bad == "", F.lit("java.lang.NumberFormatException: empty String")).otherwise(
-        _number_error(first_bad)
+    read = {"lot_id": F.lit(lot)} | {name: _token(i).try_cast("double") for i, name in enumerate(WINE_FEATURES)}
+    typed = _typed(split_lines(lines, text, separator), WINE_RECORD, read)
+    width = len(WINE_FEATURES)
+    extra = _token(width)
+    rest = F.slice("_tokens", width + 2, F.greatest(F.size("_tokens"), F.lit(1)))
+    bad = F.coalesce(
+        *[F.when(F.col(f"_f_{name}").isNull(), _token(i)) for i, name in enumerate(WINE_FEATURES)],
+        F.when(to_double(extra).isNull(), extra),
+        F.when(F.size("_tokens") > width + 1, F.get(F.filter(rest, lambda t: to_double(t).isNull()), F.lit(0))),
     )
-    error = F.when(F.size(tokens) < 11, F.concat(F.lit("Record does not have 11 fields, "), text)).when(
-        F.size(bad) > 0, F.concat(F.lit("Failed to parse string "), text, F.lit(". cause: "), cause)
+    marked = typed.withColumn("_bad", trim_control(bad))
+    cause = F.when(F.col("_bad") == "", F.lit("java.lang.NumberFormatException: empty String")).otherwise(
+        _number_error(F.col("_bad"))
     )
-    fields = [to_double(F.get(tokens, F.lit(i))).alias(name) for i, name in enumerate(WINE_FEATURES)]
-    return _outcome(error, F.struct(F.lit(lot).alias("lot_id"), *fields), WINE_RECORD)
+    error = F.when(
+        F.size("_tokens") < width, F.concat(F.lit("Record does not have 11 fields, "), "_text")
+    ).when(F.col("_bad").isNotNull(), F.concat(F.lit("Failed to parse string "), "_text", F.lit(". cause: "), cause))
+    return _judged(marked, WINE_RECORD, error, lines.columns)
 
 
-def parse_airline(line: Column, separator: str = ",", text_codes: bool = False) -> Column:
+def parse_airline(
+    lines: DataFrame, text: str = "value", separator: str = ",", text_codes: bool = False
+) -> DataFrame:
     """At least 29 fields, NA read as 0, all but three of them whole numbers.
 
-    `text_codes` reads tailNum and cancellationCode as text (first run of digits, else 0) instead of refusing rows
+    `text_codes` takes the first run of digits (else 0) of tailNum and cancellationCode, instead of refusing rows
     where they are not numbers.
     """
-    raw = split_line(line, separator)
-    tokens = F.transform(raw, lambda t: F.when(trim_control(t) == "NA", F.lit("0")).otherwise(trim_control(t)))
 
-    def token(i: int) -> Column:
-        value = F.get(tokens, F.lit(i))
-        if text_codes and AIRLINE_FIELDS[i] in ("tailNum", "cancellationCode"):
+    def token(i: int, name: str) -> Column:
+        trimmed = trim_control(_token(i))
+        value = F.when(trimmed == "NA", F.lit("0")).otherwise(trimmed)
+        if text_codes and name in ("tailNum", "cancellationCode"):
             digits = F.regexp_extract(value, "[0-9]{1,9}", 0)
             return F.when(digits == "", F.lit("0")).otherwise(digits)
         return value
 
-    numbers = [i for i, name in enumerate(AIRLINE_FIELDS) if name not in AIRLINE_TEXT_FIELDS]
-    first_bad = F.coalesce(*[F.when(to_int(token(i)).isNull(), token(i)) for i in numbers])
-    error = F.when(F.size(raw) < 29, F.lit("ERROR: record does not have 29 fields.")).when(
-        first_bad.isNotNull(),
-        F.concat(
-            F.lit("ERROR: Failed to parse string "),
-            F.array_join(raw, separator),
-            F.lit(". cause: "),
-            _number_error(first_bad),
-        ),
+    tokens = {f.name: token(i, f.name) for i, f in enumerate(AIRLINE_RECORD.fields)}
+    numbers = [f.name for f in AIRLINE_RECORD.fields if isinstance(f.dataType, T.IntegerType)]
+    read = {name: c.try_cast("int") if name in numbers else c for name, c in tokens.items()}
+    typed = _typed(split_lines(lines, text, separator), AIRLINE_RECORD, read)
+    bad = F.coalesce(*[F.when(F.col(f"_f_{name}").isNull(), tokens[name]) for name in numbers])
+    marked = typed.withColumn("_bad", bad)
+    error = F.when(F.size("_tokens") < len(tokens), F.lit("ERROR: record does not have 29 fields.")).when(
+        F.col("_bad").isNotNull(),
+        F.concat(F.lit("ERROR: Failed to parse string "), "_text", F.lit(". cause: "), _number_error(F.col("_bad"))),
     )
-    fields = [
-        (token(i) if name in AIRLINE_TEXT_FIELDS else to_int(token(i))).alias(name)
-        for i, name in enumerate(AIRLINE_FIELDS)
-    ]
-    return _outcome(error, F.struct(*fields), AIRLINE_RECORD)
+    return _judged(marked, AIRLINE_RECORD, error, lines.columns)
 
 
 def parse_fields(separator: str, schema: T.StructType) -> Parser:
     """A parser for any flat schema: enough tokens, each of them readable as its field's type."""
-
-    def parse(line: Column) -> Column:
-        tokens = split_line(line, separator)
-        casts = []
-        for i, field in enumerate(schema.fields):
-            token = F.get(tokens, F.lit(i))
-            kind = field.dataType
-            if isinstance(kind, T.DoubleType):
-                token = to_double(token)
-            elif isinstance(kind, T.IntegerType):
-                token = to_int(trim_control(token))
-            elif not isinstance(kind, T.StringType):
-                token = token.try_cast(kind)
-            casts.append(token.alias(field.name))
-        unreadable = F.coalesce(*[F.when(c.isNull(), F.lit(True)) for c in casts], F.lit(False))
-        error = F.when(
-            (F.size(tokens) < len(schema.fields)) | unreadable,
-            F.when(F.size(tokens) == 0, F.lit("")).otherwise(line),
-        )
-        return _outcome(error, F.struct(*casts), schema)
+    readers = {T.IntegerType: to_int, T.StringType: lambda token: token}
+
+    def parse(lines: DataFrame, text: str = "value") -> DataFrame:
+        read = {
+            f.name: readers.get(type(f.dataType), lambda token, f=f: token.try_cast(f.dataType))(_token(i))
+            for i, f in enumerate(schema.fields)
+        }
+        typed = _typed(split_lines(lines, text, separator), schema, read)
+        # A missing token reads as null too.
+        unreadable = F.lit(False)
+        for f in schema.fields:
+            unreadable = unreadable | F.col(f"_f_{f.name}").isNull()
+        return _judged(typed, schema, F.when(unreadable, F.col(text)), lines.columns)
 
     return parse
 
 
+def column_parser(parse: Callable[[Column], Column]) -> Parser:
+    """A parser from a function of the text column to a struct<record, error>, which may be a pandas_udf."""
+
+    def apply(lines: DataFrame, text: str = "value") -> DataFrame:
+        parsed = lines.withColumn("_parsed", parse(F.col(text)))
+        return parsed.select(*lines.columns, "_parsed.record", "_parsed.error")
+
+    return apply
+
+
 def parse_lines(lines: DataFrame, parser: Parser, text: str = "value") -> DataFrame:
     """Add `record` and `error` to lines that have `text`."""
-    return lines.withColumn("_parsed", parser(F.col(text))).select("*", "_parsed.record", "_parsed.error").drop("_parsed")
+    return parser(lines, text)
 
 
 def good_records(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

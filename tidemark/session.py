@@ -9,12 +9,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+# The JVM interprets methods larger than this instead of compiling them.
+_JIT_METHOD_BYTES = 8000
+
+
 def build_session(app: str = "tidemark", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", str(_JIT_METHOD_BYTES))
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -24,12 +29,26 @@ def build_session(app: str = "tidemark", master: str | None = None, shuffle_part
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Zone-less test timestamps are read as UTC everywhere."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings the queries rely on, for a session made elsewhere.
+
+    Zone-less timestamps count as UTC. Wide parsers and models would generate methods the JVM refuses to compile;
+    above its limit Spark's split-up code is several times faster.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(_JIT_METHOD_BYTES))
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work on a table that comes in fewer pieces than there are cores.
+
+    A large table has more pieces than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
