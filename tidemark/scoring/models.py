@@ -231,7 +231,7 @@ class Layer:
 
 # A network with more weights than this runs as Arrow batches: the code Spark generates for it would pass the size a
 # JVM method may have.
-EXPRESSION_WEIGHTS = 1500
+EXPRESSION_WEIGHTS = 600
 
 
 @dataclass(frozen=True)

@@ -161,7 +161,7 @@ def score_batches(
 ) -> DataFrame:
     """Run a user's scorer; a row it fails on gets the default and an error text, and the job goes on.
 
-    A failing batch is tried again row by row, so only the rows at fault are affected. Adds a struct
+    A failing batch is tried again in halves, so only the rows at fault are affected. Adds a struct
     <result, errors, start_ms, duration_ms>; the duration of a row is its share of the batch's.
     """
     field = T.StructType([
@@ -209,12 +209,25 @@ def _safe(scorer, frame: pd.DataFrame, broken: str | None, default: object) -> t
             return values, [""] * len(frame)
     except Exception:
         pass
-    values, errors = [], []
-    for i in range(len(frame)):
+    return _safe_halves(scorer, frame, default)
+
+
+def _safe_halves(scorer, frame: pd.DataFrame, default: object) -> tuple[list, list]:
+    """Halve a failing batch until the rows at fault stand alone; the others are still scored together."""
+    values: list = [default] * len(frame)
+    errors = [""] * len(frame)
+    todo = [(0, len(frame))]
+    while todo:
+        first, last = todo.pop()
         try:
-            values.append(list(scorer.score(frame.iloc[i : i + 1]))[0])
-            errors.append("")
+            part = list(scorer.score(frame.iloc[first:last]))
+            if len(part) != last - first:
+                raise ValueError(f"{last - first} rows got {len(part)} results")
+            values[first:last] = part
         except Exception as e:
-            values.append(default)
-            errors.append(str(e) or type(e).__name__)
+            if last - first == 1:
+                errors[first] = str(e) or type(e).__name__
+            else:
+                middle = (first + last) // 2
+                todo += [(first, middle), (middle, last)]
     return values, errors

@@ -8,8 +8,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.asof import micros
-
 log = logging.getLogger(__name__)
 
 # Prefixes of the three applications' text output.
@@ -74,13 +72,17 @@ def points(df: DataFrame, spec: PointSpec, time: str) -> DataFrame:
     tags = {n: F.nullif(F.expr(s).cast("string"), F.lit("")) for n, s in spec.tags.items()}
     return df.select(
         F.lit(spec.measurement).alias("measurement"),
-        F.floor(micros(time) / 1000).alias("time"),
+        _millis(time).alias("time"),
         _sparse_map(tags, "string").alias("tags"),
         _sparse_map(numbers, "double").alias("fields"),
         _sparse_map(texts, "string").alias("texts"),
     )
 
 
+def _millis(time: str) -> Column:
+    return F.unix_millis(F.col(time).cast("timestamp"))
+
+
 def point_error() -> Column:
     """Why a point cannot be stored, null when it can."""
     empty = (F.size("fields") == 0) & (F.size("texts") == 0)
@@ -112,7 +114,7 @@ def line_protocol(df: DataFrame, spec: PointSpec, time: str) -> DataFrame:
     body = F.nullif(F.concat_ws(",", *fields), F.lit(""))
     head = F.concat_ws("", F.lit(spec.measurement.replace(",", "\\,").replace(" ", "\\ ")), *tags)
     return df.select(
-        F.concat(head, F.lit(" "), body, F.lit(" "), F.floor(micros(time) / 1000).cast("string")).alias("line")
+        F.concat(head, F.lit(" "), body, F.lit(" "), _millis(time).cast("string")).alias("line")
     )
 
 
