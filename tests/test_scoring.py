@@ -17,7 +17,7 @@ from tidemark.schemas import RECOMMENDER_RESULT, WINE_FEATURES, WINE_RECORD, WIN
 from tidemark.scoring import score as scoring
 from tidemark.scoring.models import ForestModel, Layer, LinearModel, NetworkModel, Node, Test as Split, TreeModel
 from tidemark.scoring.pmml import UnsupportedModel, parse_pmml
-from tidemark.scoring.remote import call_service, recommend, recommend_request, recommend_response
+from tidemark.scoring.remote import call_service, recommend, recommend_request, with_response
 from tidemark.scoring.score import (
     load_model, missing_error, score_batches, score_by_version, score_with_all, with_score, with_value,
 )
@@ -305,6 +305,6 @@ def test_remote_recommendations(spark):
 def test_shorter_side_of_a_response_wins(spark):
     body = '{"outputs":{"model-version":["1"],"recommendations":[[0.5,9],[0.25],[0.125]]}}'
     df = spark.createDataFrame([(body, [8, 9]), (body, [1, 2, 3, 4]), ("junk", [1])], "b string, products array<bigint>")
-    got = [r.x for r in df.select(recommend_response(F.col("b")).alias("x")).collect()]
+    got = [r.x for r in with_response(df, "b", "x").collect()]
     assert (got[0]["keys"], got[0]["values"]) == (["8", "9"], [0.5, 0.25])
     assert (got[1]["keys"], got[1]["values"]) == (["1", "2", "3"], [0.5, 0.25, 0.125]) and got[2] is None

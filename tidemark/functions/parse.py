@@ -37,9 +37,14 @@ def to_double(token: Column) -> Column:
     return _checked_double(token, token.try_cast("double"))
 
 
+def _trimmed_int(text: Column) -> Column:
+    # A failing cast raises and catches an error inside Spark; looking first is far cheaper on text columns.
+    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
+
+
 def to_int(token: Column) -> Column:
     """A 32-bit whole number or null; no fraction, no exponent."""
-    return trim_control(token).try_cast("int")
+    return _trimmed_int(trim_control(token))
 
 
 def _sql_text(value: str) -> str:
@@ -121,9 +126,10 @@ def parse_airline(
 
     tokens = {f.name: token(i, f.name) for i, f in enumerate(AIRLINE_RECORD.fields)}
     numbers = [f.name for f in AIRLINE_RECORD.fields if isinstance(f.dataType, T.IntegerType)]
-    read = {name: c.try_cast("int") if name in numbers else c for name, c in tokens.items()}
-    typed = _typed(split_lines(lines, text, separator), AIRLINE_RECORD, read)
-    bad = F.coalesce(*[F.when(F.col(f"_f_{name}").isNull(), tokens[name]) for name in numbers])
+    plain = split_lines(lines, text, separator).select("*", *[c.alias(f"_t_{name}") for name, c in tokens.items()])
+    read = {name: _trimmed_int(F.col(f"_t_{name}")) if name in numbers else F.col(f"_t_{name}") for name in tokens}
+    typed = _typed(plain, AIRLINE_RECORD, read)
+    bad = F.coalesce(*[F.when(F.col(f"_f_{name}").isNull(), F.col(f"_t_{name}")) for name in numbers])
     marked = typed.withColumn("_bad", bad)
     error = F.when(F.size("_tokens") < len(tokens), F.lit("ERROR: record does not have 29 fields.")).when(
         F.col("_bad").isNotNull(),

@@ -11,7 +11,7 @@ from tidemark.functions.envelope import double_result, envelope, metadata
 from tidemark.plans.common import table
 from tidemark.scoring.models import LinearModel
 from tidemark.scoring.pmml import parse_pmml
-from tidemark.scoring.remote import recommend, recommend_request, recommend_response
+from tidemark.scoring.remote import recommend, recommend_request, with_response
 from tidemark.scoring.score import (
     missing_error, network_on_arrays, score_batches, score_with_all, with_score, with_value,
 )
@@ -324,13 +324,13 @@ def result_envelope(spark, sf_dir):
 
 
 class UnitPrice:
-    """A user's scorer: loads once per task, works on batches, and fails on untaxed items."""
+    """A user's scorer: loads once per task, works on batches, and fails on items with neither tax nor discount."""
 
     def load(self):
-        self.message = "untaxed item"
+        self.message = "neither tax nor discount"
 
     def score(self, batch: pd.DataFrame):
-        if (batch["l_tax"] == 0).any():
+        if ((batch["l_tax"] == 0) & (batch["l_discount"] == 0)).any():
             raise ValueError(self.message)
         return batch["l_extendedprice"] / batch["l_quantity"]
 
@@ -339,12 +339,12 @@ class UnitPrice:
 
 
 @query(f"""
-SELECT {_ROWS}, CASE WHEN l_tax = 0 THEN 0.0::DOUBLE ELSE l_extendedprice / l_quantity END AS unit_price,
-  CASE WHEN l_tax = 0 THEN 'untaxed item' ELSE '' END AS errors FROM lineitem
+SELECT {_ROWS}, CASE WHEN l_tax = 0 AND l_discount = 0 THEN 0.0::DOUBLE ELSE l_extendedprice / l_quantity END AS unit_price,
+  CASE WHEN l_tax = 0 AND l_discount = 0 THEN 'neither tax nor discount' ELSE '' END AS errors FROM lineitem
 """)
 def user_scorer(spark, sf_dir):
     """A user's Python model that fails on some rows of nearly every batch."""
-    rows = spread(lines(spark, sf_dir).select(*_ROW, "l_quantity", "l_tax"))
+    rows = spread(lines(spark, sf_dir).select(*_ROW, "l_quantity", "l_tax", "l_discount"))
     scored = score_batches(rows, UnitPrice, T.DoubleType(), 0.0, clock=lambda: 0)
     return scored.select(*_ROW, F.col("score.result").alias("unit_price"), F.col("score.errors").alias("errors"))
 
@@ -383,7 +383,7 @@ def recommend_responses(spark, sf_dir):
     """Responses with at most five rows beside longer product lists: the shorter side decides."""
     rows = F.transform(F.slice("products", 1, 5), lambda p: F.array((p % 97) / 100.0, F.lit(0.5)))
     body = F.to_json(F.struct(F.struct(F.array(F.lit("1")).alias("model-version"), rows.alias("recommendations")).alias("outputs")))
-    parsed = baskets(spark, sf_dir).withColumn("body", body).withColumn("r", recommend_response(F.col("body")))
+    parsed = with_response(baskets(spark, sf_dir).withColumn("body", body), "body", "r")
     total = F.aggregate("r.values", F.lit(0.0), lambda a, v: a + v)
     return parsed.select("user", "shelf", F.array_join("r.keys", ",").alias("keys"), F.round(total, 6).alias("total"))
 

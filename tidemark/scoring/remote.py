@@ -23,16 +23,18 @@ def recommend_request(user: str = "user", products: str = "products") -> Column:
     return F.to_json(F.struct(F.lit("").alias("signature_name"), pairs.alias("inputs")))
 
 
-def recommend_response(body: Column, products: str = "products") -> Column:
-    """Struct of keys and values: first number of each row beside the request's products, cut to the shorter side.
+def with_response(df: DataFrame, body: str, out: str, products: str = "products") -> DataFrame:
+    """Add a struct of keys and values: first number of each row beside the request's products, cut to the shorter side.
 
-    Null when the body is not such a response.
+    Null when the body is not such a response. The body is read once, in a projection of its own.
     """
-    rows = F.from_json(body, RESPONSE)["outputs"]["recommendations"]
+    rows = F.col("_rows")
     n = F.least(F.size(rows), F.size(products))
     values = F.transform(F.slice(rows, F.lit(1), n), lambda row: F.get(row, F.lit(0)))
     keys = F.transform(F.slice(products, F.lit(1), n), lambda p: p.cast("string"))
-    return F.when(rows.isNotNull(), F.struct(keys.alias("keys"), values.alias("values")))
+    pairs = F.when(rows.isNotNull(), F.struct(keys.alias("keys"), values.alias("values")))
+    read = df.withColumn("_rows", F.from_json(body, RESPONSE)["outputs"]["recommendations"])
+    return read.select(*df.columns, pairs.alias(out))
 
 
 def call_service(
@@ -59,33 +61,33 @@ def call_service(
                 batch = whole.slice(first, batch_rows)
                 texts = batch.column(batch.schema.get_field_index(request)).to_pylist()
                 places = batch.column(batch.schema.get_field_index(location)).to_pylist()
-                answers: list[dict | None] = [None] * len(texts)
+                answers: list[tuple | None] = [None] * len(texts)
                 for place in dict.fromkeys(places):
                     rows = [i for i, p in enumerate(places) if p == place]
                     for i, answer in zip(rows, _ask(transport, [texts[i] for i in rows], place, now)):
                         answers[i] = answer
-                column = pa.array(answers, type=to_arrow_type(reply))
+                kind = to_arrow_type(reply)
+                column = pa.StructArray.from_arrays(
+                    [pa.array(values, field.type) for values, field in zip(zip(*answers), kind)], fields=list(kind)
+                )
                 yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "reply"])
 
     return df.mapInArrow(run, schema)
 
 
-def _ask(transport: Transport, texts: list[str], place: str, now) -> list[dict]:
+def _ask(transport: Transport, texts: list[str], place: str, now) -> list[tuple]:
+    """(code, body, failure, start, duration) per request."""
     start = now()
     try:
         replies = list(transport(texts, place))
         if len(replies) != len(texts):
             raise ValueError(f"{len(texts)} requests got {len(replies)} replies")
         took = (now() - start) // len(texts)
-        return [
-            {"code": code, "body": body, "failure": None, "start_ms": start, "duration_ms": took}
-            for code, body in replies
-        ]
+        return [(code, body, None, start, took) for code, body in replies]
     except Exception as e:
         if len(texts) > 1:
             return [answer for t in texts for answer in _ask(transport, [t], place, now)]
-        failure = str(e) or type(e).__name__
-        return [{"code": None, "body": None, "failure": failure, "start_ms": start, "duration_ms": now() - start}]
+        return [(None, None, str(e) or type(e).__name__, start, now() - start)]
 
 
 def service_error(parsed: Column) -> Column:
@@ -106,8 +108,8 @@ def recommend(df: DataFrame, transport: Transport, keep: Sequence[str] = (), **o
     from tidemark.functions.envelope import key_values_result, metadata
 
     asked = call_service(df.withColumn("request", recommend_request()), transport, **options)
-    parsed = recommend_response(F.when(F.col("reply.code") == 200, F.col("reply.body")))
-    judged = asked.withColumn("_parsed", parsed).withColumn("_error", service_error(F.col("_parsed")))
+    usable = asked.withColumn("_body", F.when(F.col("reply.code") == 200, F.col("reply.body")))
+    judged = with_response(usable, "_body", "_parsed").withColumn("_error", service_error(F.col("_parsed")))
     model = F.col("modelName") if "modelName" in df.columns else F.lit("Recommender Model")
     return judged.select(
         *keep,

@@ -188,9 +188,12 @@ def score_batches(
                 start = now()
                 values, errors = _safe(scorer, frame, broken, default)
                 took = (now() - start) // max(len(frame), 1)
-                column = pa.array(
-                    [{"result": v, "errors": e, "start_ms": start, "duration_ms": took} for v, e in zip(values, errors)],
-                    type=to_arrow_type(field),
+                n = len(frame)
+                kind = to_arrow_type(field)
+                column = pa.StructArray.from_arrays(
+                    [pa.array(values, kind[0].type), pa.array(errors), pa.array([start] * n, pa.int64()),
+                     pa.array([took] * n, pa.int64())],
+                    fields=list(kind),
                 )
                 yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, out])
         finally:
@@ -201,22 +204,10 @@ def score_batches(
 
 
 def _safe(scorer, frame: pd.DataFrame, broken: str | None, default: object) -> tuple[list, list]:
-    if broken is not None:
-        return [default] * len(frame), [broken] * len(frame)
-    try:
-        values = list(scorer.score(frame))
-        if len(values) == len(frame):
-            return values, [""] * len(frame)
-    except Exception:
-        pass
-    return _safe_halves(scorer, frame, default)
-
-
-def _safe_halves(scorer, frame: pd.DataFrame, default: object) -> tuple[list, list]:
     """Halve a failing batch until the rows at fault stand alone; the others are still scored together."""
     values: list = [default] * len(frame)
-    errors = [""] * len(frame)
-    todo = [(0, len(frame))]
+    errors = [broken or ""] * len(frame)
+    todo = [(0, len(frame))] if broken is None and len(frame) else []
     while todo:
         first, last = todo.pop()
         try:

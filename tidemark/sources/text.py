@@ -6,6 +6,7 @@ import bz2
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -91,8 +92,8 @@ def _archive_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 yield out(name.as_py(), start, lines)
 
 
-def _plain_lines(spark: SparkSession, locations: Sequence[str], regex: str) -> DataFrame:
-    """Lines Spark's own text source can read, numbered per file.
+def _plain_lines(spark: SparkSession, locations: Sequence[str], regex: str) -> tuple[DataFrame, DataFrame]:
+    """Lines Spark's own text source can read, numbered per file, and the names of the files.
 
     A large file is read in splits, so a line's number is the lines of the file's earlier splits plus its place in
     its own. The counts per split come from one extra scan that keeps one row per split.
@@ -102,34 +103,38 @@ def _plain_lines(spark: SparkSession, locations: Sequence[str], regex: str) -> D
         scan = scan.where(_name().rlike(regex))
     # Rows of a split are consecutive within one task, which this id counts.
     lines = scan.select(
-        _plain_text("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
         "value",
     )
-    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = settle(
-        lines.groupBy("file", "_block")
+        lines.groupBy("_path", "_block")
         .agg(F.count(F.lit(1)).alias("_lines"), F.min("_row").alias("_first"))
         .select(
-            F.col("file").alias("_file"),
-            F.col("_block").alias("_start"),
+            F.col("_path").alias("_of_path"),
+            F.col("_block").alias("_of_block"),
+            _plain_text("_path").alias("file"),
             (F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
         )
     )
     # One row per split, that is per 128 MB by default.
     joined = lines.join(
-        broadcast_if_small(splits), (F.col("file") == F.col("_file")) & (F.col("_block") == F.col("_start"))
+        broadcast_if_small(splits),
+        (F.col("_path") == F.col("_of_path")) & (F.col("_block") == F.col("_of_block")),
     )
-    return joined.select("file", (F.col("_row") + F.col("_shift")).alias("at"), "value")
+    numbered = joined.select("file", (F.col("_row") + F.col("_shift")).alias("at"), "value")
+    return numbered, splits.select("file").distinct()
 
 
-def _archived_lines(spark: SparkSession, locations: Sequence[str], regex: str) -> DataFrame:
+def _archived_lines(spark: SparkSession, locations: Sequence[str], regex: str) -> tuple[DataFrame, DataFrame]:
     files = spark.read.format("binaryFile").load(list(locations)).where(_name().rlike(_ARCHIVES))
     if regex.strip():
         files = files.where(_name().rlike(regex))
     # An archive cannot be split; one row per task keeps only one of them in memory.
-    return files.select(F.col("path").alias("file"), "content").mapInArrow(_archive_batches, _LINES)
+    lines = files.select(F.col("path").alias("file"), "content").mapInArrow(_archive_batches, _LINES)
+    return lines, files.select(F.col("path").alias("file"))
 
 
 def read_lines(
@@ -163,14 +168,14 @@ def read_lines(
         parts.append(_archived_lines(spark, packed, name_regex))
     if not parts:
         return spark.createDataFrame([], "file string, file_idx int, line_no bigint, value string")
-    lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    lines = reduce(DataFrame.unionByName, [part for part, _ in parts])
     lines = lines.where(F.col("at") >= drop_first).withColumn("line_no", F.col("at") - drop_first)
     if listed:
         order = _places(spark, found)
     else:
-        # Directory listings hold one row per file.
-        names = settle(lines.select("file").distinct())
-        order = names.select("file", (F.row_number().over(Window.orderBy("file")) - 1).alias("file_idx"))
+        # One row per file, from the split counts and the archive listing rather than the lines.
+        names = reduce(DataFrame.unionByName, [files for _, files in parts])
+        order = settle(names.select("file", (F.row_number().over(Window.orderBy("file")) - 1).alias("file_idx")))
     order = broadcast_if_small(order.withColumnRenamed("file", "_named"))
     return lines.join(order, F.col("file") == F.col("_named"), "left").select("file", "file_idx", "line_no", "value")
 
