@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.ordering import TARGET_ROWS, following, running
 
@@ -22,9 +22,13 @@ def micros(time: str | Column) -> Column:
     return F.unix_micros((F.col(time) if isinstance(time, str) else time).cast("timestamp"))
 
 
-def single_versions(versions: DataFrame, by: Sequence[str], valid_from: str, seq: str | None) -> DataFrame:
-    """One row per key and start: key columns, `_from` in microseconds, `_version` struct of all columns."""
-    everything = F.struct(*versions.columns)
+def single_versions(
+    versions: DataFrame, by: Sequence[str], valid_from: str, seq: str | None, carry: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per key and start: key columns, `_from` in microseconds, `_version` struct of the carried columns."""
+    if carry is None:
+        carry = [f.name for f in versions.schema.fields if not isinstance(f.dataType, T.BinaryType)]
+    everything = F.struct(*carry)
     return (
         versions.where(F.col(valid_from).isNotNull())
         .groupBy(*by, micros(valid_from).alias("_from"))
@@ -42,16 +46,18 @@ def assign_models(
     seq: str | None = None,
     out: str = "model",
     form: str = "auto",
+    carry: Sequence[str] | None = None,
     few: int = FEW_VERSIONS,
     target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """As-of join of records with versions on time `on`, per key `by`.
 
     form "broadcast" moves no records and is used for few versions; "window" works for any number of versions and
-    cuts hot keys and hot times into slices; "auto" reads at most few + 1 version rows to decide.
+    cuts hot keys and hot times into slices; "auto" reads at most few + 1 version starts to decide. `carry` names the
+    version columns that go along, by default all but binary ones: model files stay in the registry.
     """
     by = list(by)
-    single = single_versions(versions, by, valid_from, seq)
+    single = single_versions(versions, by, valid_from, seq, carry)
     if form != "window":
         starts = [r["_from"] for r in single.select("_from").limit(few + 1).collect()]
         if len(starts) <= few:

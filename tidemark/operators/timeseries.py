@@ -52,7 +52,10 @@ def fill_gaps(
     the last known value on; "none" leaves nulls. What lies before the first known value stays null, and with linear
     what lies after the last one too.
     """
-    if span is None:
+    inside = buckets
+    if span is not None:
+        inside = buckets.where(F.col("bucket").between(*span))
+    else:
         span = buckets.agg(F.min("bucket"), F.max("bucket")).first()
         if span[0] is None:
             return buckets
@@ -62,7 +65,6 @@ def fill_gaps(
     step = F.lit(width_us)
     # After aggregation a series has at most MAX_BUCKETS rows, so a window per series is a small task.
     series = Window.partitionBy(*tags).orderBy("bucket")
-    inside = buckets.where(F.col("bucket").between(first, last))
     ahead = F.coalesce(F.lead("bucket").over(series) - step, F.lit(last))
     behind = F.when(F.lag("bucket").over(series).isNull(), F.lit(first)).otherwise(F.col("bucket"))
     ends = inside.withColumns({"_begin": behind, "_end": ahead})

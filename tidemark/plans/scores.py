@@ -8,15 +8,17 @@ import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 from tidemark.functions.envelope import double_result, envelope, metadata
+from tidemark.operators.registry import load_models
 from tidemark.plans.common import table
 from tidemark.scoring.models import LinearModel
 from tidemark.scoring.pmml import parse_pmml
 from tidemark.scoring.remote import recommend, recommend_request, with_response
 from tidemark.scoring.score import (
-    missing_error, network_on_arrays, score_batches, score_with_all, with_score, with_value,
+    load_model, missing_error, network_on_arrays, score_batches, score_by_version, score_with_all, with_score, with_value,
 )
 from tidemark.scoring.tables import parse_boosted, parse_network
-from tidemark.session import spread
+from tidemark.session import shared_dir, spread
+from tidemark.sources.binary import model_catalogue, read_bytes
 
 QUERIES, ORACLE = {}, {}
 
@@ -349,6 +351,33 @@ def user_scorer(spark, sf_dir):
     return scored.select(*_ROW, F.col("score.result").alias("unit_price"), F.col("score.errors").alias("errors"))
 
 
+_BRAND_MODEL = "SELECT p_brand, min(p_retailprice) AS intercept, max(p_size) / 10.0 AS weight FROM part GROUP BY p_brand"
+
+
+@query(f"""
+SELECT p_partkey, round(m.intercept + m.weight::DOUBLE * p_size, 6) AS value FROM part p JOIN ({_BRAND_MODEL}) m ON p.p_brand = m.p_brand
+""")
+def catalogue_scores(spark, sf_dir):
+    """One model file per brand, made from the parts; read back as a catalogue, loaded, and each part scored by its brand's."""
+    parts = table(spark, sf_dir, "part")
+    made = parts.groupBy("p_brand").agg(
+        F.min("p_retailprice").cast("string").alias("intercept"), (F.max("p_size") / F.lit(10.0)).cast("string").alias("weight")
+    )
+    document = F.concat(
+        F.lit('<PMML version="4.3"><RegressionModel functionName="regression"><RegressionTable intercept="'), "intercept",
+        F.lit('"><NumericPredictor name="p size" coefficient="'), "weight", F.lit('"/></RegressionTable></RegressionModel></PMML>'),
+    )
+    root = shared_dir(spark, "models")
+    made.select(F.replace("p_brand", F.lit("#"), F.lit("-")).alias("brand"), document.alias("value")).write.partitionBy("brand").text(root)
+    # One row per brand.
+    paths = [r.path for r in read_bytes(spark, [root]).select("path").collect()]
+    catalogue = model_catalogue(spark, {"PMML": paths})
+    versions = catalogue.withColumn("version_id", F.regexp_extract("modelName", "brand=([^/]*)/", 1))
+    models, _ = load_models(versions, load_model)
+    named = parts.select("p_partkey", "p_size", F.replace("p_brand", F.lit("#"), F.lit("-")).alias("brand"))
+    return score_by_version(named, "brand", models).select("p_partkey", F.round("score.value", 6).alias("value"))
+
+
 # --- Recommendations ------------------------------------------------------------------------------------------------
 
 # A record is a customer with the parts bought from one hundred-part shelf, so that no list can grow with the data.

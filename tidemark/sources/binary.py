@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.schemas import MODEL_DESCRIPTOR
-from tidemark.sources.text import _literal, existing_paths
+from tidemark.sources.text import _literal, existing_paths, qualified
 
 MAX_BYTES = 1024 * 1024 * 1024
 
@@ -19,7 +19,8 @@ def read_bytes(spark: SparkSession, paths: Sequence[str], max_bytes: int = MAX_B
     """
     found = set(existing_paths(spark, list(paths), False))
     missing = spark.createDataFrame(
-        [(p, f"{p} (No such file or directory)") for p in paths if p not in found], "path string, error string"
+        [(qualified(spark, p), f"{p} (No such file or directory)") for p in paths if p not in found],
+        "path string, error string",
     ).select("path", F.lit(None).cast("timestamp").alias("modified"), F.lit(None).cast("binary").alias("bytes"), "error")
     if not found:
         return missing
@@ -67,25 +68,16 @@ def model_catalogue(spark: SparkSession, sources: Mapping[str, Sequence[str]]) -
 
     valid_from is the file's modification time; service addresses have no bytes and are valid from the start.
     """
-    wanted = [
-        (kind, i, path) for kind, paths in sources.items() for i, path in enumerate([paths] if isinstance(paths, str) else paths)
-    ]
+    remote = "TENSORFLOWSERVING"
+    wanted = []
+    for kind, paths in sources.items():
+        for i, path in enumerate([paths] if isinstance(paths, str) else paths):
+            wanted.append((kind, i, path, path if kind == remote else qualified(spark, path)))
     if not wanted:
         raise ValueError("no model sources were given")
-    listed = spark.createDataFrame(wanted, "model_type string, idx int, source string")
-    files = [p for kind, _, p in wanted if kind != "TENSORFLOWSERVING"]
-    named = F.when(F.col("source").rlike("^[a-z0-9]+:"), F.col("source")).otherwise(F.concat(F.lit("file:"), "source"))
-    loaded = read_bytes(spark, files) if files else None
-    if loaded is None:
-        joined = listed.select(
-            "*", F.lit(None).cast("timestamp").alias("modified"), F.lit(None).cast("binary").alias("bytes"),
-            F.lit(None).cast("string").alias("error"),
-        )
-    else:
-        bare = F.regexp_replace("path", "^file:/+", "/")
-        joined = listed.join(
-            loaded.withColumn("_path", bare), F.regexp_replace(named, "^file:/+", "/") == F.col("_path"), "left"
-        )
+    listed = spark.createDataFrame(wanted, "model_type string, idx int, source string, place string")
+    loaded = read_bytes(spark, list(dict.fromkeys(path for kind, _, path, _ in wanted if kind != remote)))
+    joined = listed.join(loaded, F.col("place") == F.col("path"), "left")
     kind = F.col("model_type")
     description = F.coalesce(F.create_map(*[F.lit(x) for pair in DESCRIPTIONS.items() for x in pair])[kind], F.lit(""))
     keep_location = kind.isin("H2O", "TENSORFLOWSERVING", "TENSORFLOWSAVED")

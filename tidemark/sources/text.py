@@ -96,8 +96,12 @@ def _plain_lines(spark: SparkSession, locations: Sequence[str], regex: str) -> t
     """Lines Spark's own text source can read, numbered per file, and the names of the files.
 
     A large file is read in splits, so a line's number is the lines of the file's earlier splits plus its place in
-    its own. The counts per split come from one extra scan that keeps one row per split.
+    its own. The counts per split come from one extra scan that keeps one row per split. Both scans must cut the files
+    alike: the setting below keeps a growing cluster from cutting them finer, and a line that does not fit its split's
+    count fails the job rather than getting a wrong number.
     """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     scan = spark.read.text(list(locations)).where(~_name().rlike(_ARCHIVES))
     if regex.strip():
         scan = scan.where(_name().rlike(regex))
@@ -116,15 +120,21 @@ def _plain_lines(spark: SparkSession, locations: Sequence[str], regex: str) -> t
             F.col("_path").alias("_of_path"),
             F.col("_block").alias("_of_block"),
             _plain_text("_path").alias("file"),
-            (F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+            F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_before"),
+            "_lines",
+            "_first",
         )
     )
     # One row per split, that is per 128 MB by default.
     joined = lines.join(
         broadcast_if_small(splits),
         (F.col("_path") == F.col("_of_path")) & (F.col("_block") == F.col("_of_block")),
+        "left",
     )
-    numbered = joined.select("file", (F.col("_row") + F.col("_shift")).alias("at"), "value")
+    place = F.col("_row") - F.col("_first")
+    changed = F.raise_error(F.lit("The files were cut differently in two scans; read them again.")).cast("bigint")
+    at = F.when((place >= 0) & (place < F.col("_lines")), F.col("_before") + place).otherwise(changed)
+    numbered = joined.select("file", at.alias("at"), "value")
     return numbered, splits.select("file").distinct()
 
 
@@ -180,12 +190,14 @@ def read_lines(
     return lines.join(order, F.col("file") == F.col("_named"), "left").select("file", "file_idx", "line_no", "value")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path the way file listings show it, with the scheme of its file system."""
+    here = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(here).toString()
+
+
 def _places(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    rows = {}
+    rows: dict[str, int] = {}
     for i, p in enumerate(paths):
-        here = hadoop_path(p)
-        full = here.getFileSystem(conf).makeQualified(here).toString()
-        rows.setdefault(full, i)
+        rows.setdefault(qualified(spark, p), i)
     return spark.createDataFrame(list(rows.items()), "file string, file_idx int")
