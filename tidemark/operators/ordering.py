@@ -2,8 +2,8 @@
 
 A plain window puts a whole key into one task. Here a key with more rows than one task should hold is cut into
 slices of its order columns; each slice is its own window, and what earlier slices contribute is added from one row
-per slice. Cutting repeats until every slice is small or all its rows are alike, so one hot key, one hot hour or no
-key at all make no difference to the size of a task.
+per slice. Slices are cut again until each is small or all its rows are alike, so one hot key, one hot moment or no key
+at all make no difference to the size of a task.
 """
 
 from __future__ import annotations
@@ -50,53 +50,91 @@ class Sliced:
         return reduce(lambda a, b: a | b, [F.col(mark).isNull() | (F.col(mark) > _LOWEST) for mark in self.marks])
 
 
+# Sampled rows per slice that is to come out; sizes are then right within some ten percent.
+_SAMPLE_PER_SLICE = 100
+
+
 def slice_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], target_rows: int = TARGET_ROWS) -> Sliced:
     """Add slice columns so that no (key, slice) holds many more than `target_rows` rows.
 
     `order` names whole-number columns; end it with a unique one where rows may tie. Slice columns compare like the
-    order columns do, so slices of a key are themselves in order. Each round costs one grouped scan of the key and
-    order columns, and the first round is the last unless some key is too large.
+    order columns do, so slices of a key are themselves in order. One grouped count finds the keys that are too large,
+    and without any nothing else happens. Otherwise one more scan samples those keys, and where to cut is worked out
+    on the sample. The sample decides only how even the slices are, never a result.
     """
     marks = [f"_slice{i}" for i in range(len(order))]
-    cur = df.select("*", *[F.lit(_LOWEST).cast("bigint").alias(mark) for mark in marks])
-    group = [*keys, *marks]
-    cut = False
+    # At most rows / target_rows keys can be this large, which bounds the table.
+    large = settle(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows).drop("_n"))
+    if large.isEmpty():
+        return Sliced(df, keys, order, marks, False)
+    start = [F.lit(_LOWEST).cast("bigint").alias(mark) for mark in marks]
+    cur = df.select("*", *start)
+    sample, sample_target = _sample(df, large, keys, order, target_rows)
+    sample = sample.select("*", *start)
     while True:
-        bounds = [
-            f(column).cast("bigint").alias(f"_{tag}{i}")
-            for i, column in enumerate(order)
-            for tag, f in (("lo", F.min), ("hi", F.max))
-        ]
-        sizes = cur.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *bounds).where(F.col("_n") > target_rows)
-        axis = F.coalesce(*[F.when(F.col(f"_hi{i}") > F.col(f"_lo{i}"), F.lit(i)) for i in range(len(order))])
-        low = F.coalesce(*[F.when(F.col(f"_hi{i}") > F.col(f"_lo{i}"), F.col(f"_lo{i}")) for i in range(len(order))])
-        span = F.coalesce(
-            *[
-                F.when(F.col(f"_hi{i}") > F.col(f"_lo{i}"), F.col(f"_hi{i}") - F.col(f"_lo{i}") + 1)
-                for i in range(len(order))
-            ]
-        )
-        parts = F.ceil(F.col("_n") / F.lit(target_rows)) * 2
-        # At most rows / target_rows groups can be this large, which bounds the table.
-        hot = settle(
-            sizes.select(
-                *group,
-                axis.alias("_axis"),
-                low.alias("_low"),
-                F.greatest(F.lit(1), F.ceil(span / parts)).cast("bigint").alias("_step"),
-            ).where("_axis IS NOT NULL")
+        cuts = settle(_cuts(sample, [*keys, *marks], order, sample_target))
+        if cuts.isEmpty():
+            return Sliced(cur, keys, order, marks, True)
+        cur = _cut(cur, cuts, keys, order, marks)
+        sample = _cut(sample, cuts, keys, order, marks)
+
+
+def _sample(
+    df: DataFrame, large: DataFrame, keys: Sequence[str], order: Sequence[str], target_rows: int
+) -> tuple[DataFrame, int]:
+    """Order values of some rows of the large keys, and how many of them make up a slice.
+
+    Rows are picked by a hash of what they hold, so a task that runs again picks the same ones.
+    """
+    of_large = df.select(*keys, *[F.col(c).cast("bigint").alias(c) for c in order])
+    if keys:
+        of_large = _attach(of_large, large.withColumn("_large", F.lit(True)), keys).where("_large").drop("_large")
+    if target_rows <= _SAMPLE_PER_SLICE:
+        return settle(of_large), target_rows
+    share = F.lit(2**31 * _SAMPLE_PER_SLICE // target_rows)
+    picked = of_large.where(F.pmod(F.xxhash64(*keys, *order), F.lit(2**31)) < share)
+    return settle(picked), _SAMPLE_PER_SLICE
+
+
+def _cuts(sample: DataFrame, group: Sequence[str], order: Sequence[str], target: int) -> DataFrame:
+    """For every group that is too large: which order column to cut, around which middle, in steps of what width."""
+    ends = [
+        f(column).alias(f"_{tag}{i}")
+        for i, column in enumerate(order)
+        for tag, f in (("lo", F.min), ("hi", F.max), ("mid", lambda c: F.percentile_approx(c, 0.5)))
+    ]
+    sizes = sample.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *ends).where(F.col("_n") > target)
+
+    def first_uneven(value) -> Column:
+        return F.coalesce(*[F.when(F.col(f"_hi{i}") > F.col(f"_lo{i}"), value(i)) for i in range(len(order))])
+
+    parts = F.ceil(F.col("_n") / F.lit(target)) * 2
+    span = first_uneven(lambda i: F.col(f"_hi{i}") - F.col(f"_lo{i}") + 1)
+    return sizes.select(
+        *group,
+        first_uneven(lambda i: F.lit(i)).alias("_axis"),
+        *[first_uneven(lambda i, t=tag: F.col(f"_{t}{i}")).alias(f"_{tag}") for tag in ("lo", "mid", "hi")],
+        F.greatest(F.lit(1), F.ceil(span / parts)).cast("bigint").alias("_step"),
+    ).where("_axis IS NOT NULL")
+
+
+def _cut(df: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[str], marks: Sequence[str]) -> DataFrame:
+    """Move rows of the groups in `cuts` to finer slices.
+
+    Even steps on both sides of the middle value, which becomes a slice of its own: a value that many rows share is
+    split off at once. Whole-number arithmetic throughout, since doubles would blur large values.
+    """
+    moved = []
+    for i, (column, mark) in enumerate(zip(order, marks)):
+        x = F.greatest(F.col("_lo"), F.least(F.col("_hi"), F.col(column).cast("bigint")))
+        place = (
+            F.when(F.col(column).isNull(), F.lit(None))
+            .when(x < F.col("_mid"), x - (x - F.col("_lo")) % F.col("_step"))
+            .when(x > F.col("_mid"), x - (x - F.col("_mid") - 1) % F.col("_step"))
+            .otherwise(F.col("_mid"))
         )
-        if hot.isEmpty():
-            return Sliced(cur if cut else cur.drop(*marks), keys, order, marks, cut)
-        cut = True
-        # Whole-number arithmetic: doubles would blur large order values.
-        moved = [
-            F.when(F.col("_axis") == i, F.col(column) - (F.col(column) - F.col("_low")) % F.col("_step"))
-            .otherwise(F.col(mark))
-            .alias(mark)
-            for i, (column, mark) in enumerate(zip(order, marks))
-        ]
-        cur = _attach(cur, hot, group).select(*df.columns, *moved)
+        moved.append(F.when(F.col("_axis") == i, place).otherwise(F.col(mark)).alias(mark))
+    return _attach(df, cuts, [*keys, *marks]).select(*[c for c in df.columns if c not in marks], *moved)
 
 
 def _latest(column: str, order: Sequence[str]) -> Column:
