@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.schemas import AIRLINE_RECORD, WINE_FEATURES, WINE_RECORD
+from tidemark.schemas import AIRLINE_FIELDS, AIRLINE_RECORD, AIRLINE_TEXT_FIELDS, WINE_FEATURES, WINE_RECORD
 
 Parser = Callable[[DataFrame, str], DataFrame]
 
@@ -67,44 +68,35 @@ def _token(i: int) -> Column:
     return F.get("_tokens", F.lit(i))
 
 
-def _typed(df: DataFrame, schema: T.StructType, read: dict[str, Column]) -> DataFrame:
-    """Add a column per field. Doubles take two projections: read, then checked."""
-    doubles = {f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)}
-    raw = df.select("*", *[read[f.name].alias(f"_f_{f.name}") for f in schema.fields])
-    return raw.withColumns(
-        {f"_f_{f.name}": _checked_double(_token(i - (schema.names[0] == "lot_id")), F.col(f"_f_{f.name}"))
-         for i, f in enumerate(schema.fields) if f.name in doubles}
-    )
-
-
-def _judged(df: DataFrame, schema: T.StructType, error: Column, keep: Sequence[str]) -> DataFrame:
-    record = F.struct(*[F.col(f"_f_{f.name}").alias(f.name) for f in schema.fields])
+def _judged(df: DataFrame, schema: T.StructType, fields: Sequence[Column], error: Column, keep: Sequence[str]) -> DataFrame:
+    record = F.struct(*[c.alias(f.name) for f, c in zip(schema.fields, fields)])
     outcome = df.withColumn("_error", error.cast("string"))
     whole = F.struct(F.when(F.col("_error").isNull(), record).cast(schema).alias("record"), F.col("_error").alias("error"))
     # A filter on the outcome would otherwise be moved below all steps and do their work a second time.
     return outcome.select(*keep, F.explode(F.array(whole)).alias("_parsed")).select(*keep, "_parsed.record", "_parsed.error")
 
 
+def _first_null(values: Column) -> Column:
+    """Position of the first null from 1, 0 when there is none."""
+    return F.array_position(F.transform(values, lambda v: v.isNull()), True)
+
+
 def parse_wine(lines: DataFrame, text: str = "value", separator: str = ";", lot: str = WINE_LOT) -> DataFrame:
     """At least eleven numbers; every token must be one, also those past the eleventh, which are dropped."""
-    read = {"lot_id": F.lit(lot)} | {name: _token(i).try_cast("double") for i, name in enumerate(WINE_FEATURES)}
-    typed = _typed(split_lines(lines, text, separator), WINE_RECORD, read)
     width = len(WINE_FEATURES)
-    extra = _token(width)
-    rest = F.slice("_tokens", width + 2, F.greatest(F.size("_tokens"), F.lit(1)))
-    bad = F.coalesce(
-        *[F.when(F.col(f"_f_{name}").isNull(), _token(i)) for i, name in enumerate(WINE_FEATURES)],
-        F.when(to_double(extra).isNull(), extra),
-        F.when(F.size("_tokens") > width + 1, F.get(F.filter(rest, lambda t: to_double(t).isNull()), F.lit(0))),
+    read = split_lines(lines, text, separator).withColumn(
+        "_read", F.transform("_tokens", lambda t: t.try_cast("double"))
     )
-    marked = typed.withColumn("_bad", trim_control(bad))
+    checked = read.withColumn("_numbers", F.zip_with("_tokens", "_read", _checked_double))
+    marked = checked.withColumn("_bad", trim_control(F.get("_tokens", _first_null(F.col("_numbers")) - 1)))
     cause = F.when(F.col("_bad") == "", F.lit("java.lang.NumberFormatException: empty String")).otherwise(
         _number_error(F.col("_bad"))
     )
     error = F.when(
         F.size("_tokens") < width, F.concat(F.lit("Record does not have 11 fields, "), "_text")
     ).when(F.col("_bad").isNotNull(), F.concat(F.lit("Failed to parse string "), "_text", F.lit(". cause: "), cause))
-    return _judged(marked, WINE_RECORD, error, lines.columns)
+    fields = [F.lit(lot)] + [F.get("_numbers", F.lit(i)) for i in range(width)]
+    return _judged(marked, WINE_RECORD, fields, error, lines.columns)
 
 
 def parse_airline(
@@ -115,44 +107,53 @@ def parse_airline(
     `text_codes` takes the first run of digits (else 0) of tailNum and cancellationCode, instead of refusing rows
     where they are not numbers.
     """
-
-    def token(i: int, name: str) -> Column:
-        trimmed = trim_control(_token(i))
-        value = F.when(trimmed == "NA", F.lit("0")).otherwise(trimmed)
-        if text_codes and name in ("tailNum", "cancellationCode"):
-            digits = F.regexp_extract(value, "[0-9]{1,9}", 0)
-            return F.when(digits == "", F.lit("0")).otherwise(digits)
-        return value
-
-    tokens = {f.name: token(i, f.name) for i, f in enumerate(AIRLINE_RECORD.fields)}
-    numbers = [f.name for f in AIRLINE_RECORD.fields if isinstance(f.dataType, T.IntegerType)]
-    plain = split_lines(lines, text, separator).select("*", *[c.alias(f"_t_{name}") for name, c in tokens.items()])
-    read = {name: _trimmed_int(F.col(f"_t_{name}")) if name in numbers else F.col(f"_t_{name}") for name in tokens}
-    typed = _typed(plain, AIRLINE_RECORD, read)
-    bad = F.coalesce(*[F.when(F.col(f"_f_{name}").isNull(), F.col(f"_t_{name}")) for name in numbers])
-    marked = typed.withColumn("_bad", bad)
-    error = F.when(F.size("_tokens") < len(tokens), F.lit("ERROR: record does not have 29 fields.")).when(
+    width = len(AIRLINE_FIELDS)
+    words = [i for i, name in enumerate(AIRLINE_FIELDS) if name in AIRLINE_TEXT_FIELDS]
+    codes = [i for i, name in enumerate(AIRLINE_FIELDS) if name in ("tailNum", "cancellationCode")]
+
+    def trimmed(token: Column) -> Column:
+        # Other blanks than the space are rare: looked for once per line, not once per token.
+        return F.when(F.col("_odd"), trim_control(token)).otherwise(F.trim(token))
+
+    def clean(token: Column, i: Column) -> Column:
+        value = F.when(token == "NA", F.lit("0"))
+        if text_codes:
+            digits = F.regexp_extract(token, "[0-9]{1,9}", 0)
+            value = value.when(i.isin(*codes), F.when(digits == "", F.lit("0")).otherwise(digits))
+        return value.otherwise(token)
+
+    cut = split_lines(lines, text, separator).withColumn("_odd", F.col("_text").rlike(r"[\x00-\x1f]"))
+    short = cut.withColumn("_trimmed", F.transform(F.slice("_tokens", 1, width), trimmed))
+    cleaned = short.withColumn("_clean", F.transform("_trimmed", clean))
+    read = cleaned.withColumn(
+        "_numbers", F.transform("_clean", lambda t, i: F.when(i.isin(*words), F.lit(0)).otherwise(_trimmed_int(t)))
+    )
+    marked = read.withColumn("_bad", F.get("_clean", _first_null(F.col("_numbers")) - 1))
+    error = F.when(F.size("_tokens") < width, F.lit("ERROR: record does not have 29 fields.")).when(
         F.col("_bad").isNotNull(),
         F.concat(F.lit("ERROR: Failed to parse string "), "_text", F.lit(". cause: "), _number_error(F.col("_bad"))),
     )
-    return _judged(marked, AIRLINE_RECORD, error, lines.columns)
+    fields = [F.get("_clean" if i in words else "_numbers", F.lit(i)) for i in range(width)]
+    return _judged(marked, AIRLINE_RECORD, fields, error, lines.columns)
 
 
 def parse_fields(separator: str, schema: T.StructType) -> Parser:
     """A parser for any flat schema: enough tokens, each of them readable as its field's type."""
-    readers = {T.IntegerType: to_int, T.StringType: lambda token: token}
+    readers = {T.DoubleType: to_double, T.IntegerType: to_int, T.StringType: lambda token: token}
 
     def parse(lines: DataFrame, text: str = "value") -> DataFrame:
-        read = {
-            f.name: readers.get(type(f.dataType), lambda token, f=f: token.try_cast(f.dataType))(_token(i))
-            for i, f in enumerate(schema.fields)
-        }
-        typed = _typed(split_lines(lines, text, separator), schema, read)
+        tokens = split_lines(lines, text, separator)
+        typed = tokens.select(
+            "*",
+            *[
+                readers.get(type(f.dataType), lambda token, f=f: token.try_cast(f.dataType))(_token(i)).alias(f"_f{i}")
+                for i, f in enumerate(schema.fields)
+            ],
+        )
+        fields = [F.col(f"_f{i}") for i in range(len(schema.fields))]
         # A missing token reads as null too.
-        unreadable = F.lit(False)
-        for f in schema.fields:
-            unreadable = unreadable | F.col(f"_f_{f.name}").isNull()
-        return _judged(typed, schema, F.when(unreadable, F.col(text)), lines.columns)
+        unreadable = reduce(lambda a, b: a | b, [c.isNull() for c in fields])
+        return _judged(typed, schema, fields, F.when(unreadable, F.col(text)), lines.columns)
 
     return parse
 
