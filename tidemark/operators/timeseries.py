@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.asof import micros
+from tidemark.session import settle
 
 # More buckets than this per series is taken for a mistake in the width.
 MAX_BUCKETS = 1_000_000
@@ -56,6 +57,8 @@ def fill_gaps(
     if span is not None:
         inside = buckets.where(F.col("bucket").between(*span))
     else:
+        # The aggregated rows are used twice; the scan below them should run once.
+        inside = buckets = settle(buckets)
         span = buckets.agg(F.min("bucket"), F.max("bucket")).first()
         if span[0] is None:
             return buckets

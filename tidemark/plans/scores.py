@@ -437,7 +437,7 @@ SELECT user, CASE WHEN user % 10 = 0 THEN 'Error processing serving request - co
 FROM {_BASKETS}
 """)
 def recommend_remote(spark, sf_dir):
-    asked = spread(baskets(spark, sf_dir)).withColumn("location", F.lit("stub"))
+    asked = baskets(spark, sf_dir).withColumn("location", F.lit("stub"))
     out = recommend(asked, stub_service, clock=lambda: 0)
     total = F.aggregate("modelResult.values", F.lit(0.0), lambda a, v: a + v)
     return out.select(

@@ -41,9 +41,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work on a table that comes in fewer pieces than there are cores.
+    """Use all cores for costly per-row work on a scan that comes in fewer pieces than there are cores.
 
-    A large table has more pieces than cores and is left as it is.
+    A large table has more pieces than cores and is left as it is. Meant for scans only: counting the pieces of a plan
+    with a shuffle would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
