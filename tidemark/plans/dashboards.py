@@ -30,6 +30,7 @@ def query(sql: str | None):
     return register
 
 
+# Means are compared at eight places: at six, a mean can lie exactly between two values.
 HOUR = 3_600_000_000
 QUARTER = 900_000_000
 
@@ -43,8 +44,8 @@ def _spine(width: int, tag: str | None) -> str:
 
 def _linear(aggregate: str, name: str, whole: bool) -> str:
     line = "a + (b - a) / (b_at - a_at) * (bucket - a_at)"
-    line = f"trunc({line})::BIGINT" if whole else f"round({line}, 6)"
-    known = "v" if whole else "round(v, 6)"
+    line = f"trunc({line})::BIGINT" if whole else f"round({line}, 8)"
+    known = "v" if whole else "round(v, 8)"
     return f"""
 WITH known AS (SELECT event_type, epoch_us(ts) // {HOUR} * {HOUR} AS bucket, {aggregate} AS v FROM events GROUP BY 1, 2),
 {_spine(HOUR, 'event_type')},
@@ -66,21 +67,21 @@ def bucket_count_linear_fill(spark, sf_dir):
 @query(_linear("avg(value)", "mean", False))
 def bucket_mean_linear_fill(spark, sf_dir):
     means = mean_by_tag(table(spark, sf_dir, "events"), "ts", HOUR, "value", ["event_type"])
-    return means.select("event_type", "bucket", F.round("mean", 6).alias("mean"))
+    return means.select("event_type", "bucket", F.round("mean", 8).alias("mean"))
 
 
 @query(f"""
 WITH known AS (SELECT epoch_us(ts) // {QUARTER} * {QUARTER} AS bucket, avg(value) AS v, avg(user_id) AS u,
   avg(CAST(json_extract(props, '$.k') AS BIGINT)) AS k FROM events GROUP BY 1), {_spine(QUARTER, None)}
-SELECT s.bucket, round(last_value(v IGNORE NULLS) OVER w, 6) AS mean_value, round(last_value(u IGNORE NULLS) OVER w, 6) AS mean_user,
-  round(last_value(k IGNORE NULLS) OVER w, 6) AS mean_k FROM spine s LEFT JOIN known n ON s.bucket = n.bucket
+SELECT s.bucket, round(last_value(v IGNORE NULLS) OVER w, 8) AS mean_value, round(last_value(u IGNORE NULLS) OVER w, 8) AS mean_user,
+  round(last_value(k IGNORE NULLS) OVER w, 8) AS mean_k FROM spine s LEFT JOIN known n ON s.bucket = n.bucket
 WINDOW w AS (ORDER BY s.bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def bucket_mean_previous_fill(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     names = {"mean_value": "value", "mean_user": "user_id", "mean_k": "k"}
     means = mean_of_fields(events, "ts", QUARTER, names)
-    return means.select("bucket", *[F.round(n, 6).alias(n) for n in names])
+    return means.select("bucket", *[F.round(n, 8).alias(n) for n in names])
 
 
 @query("SELECT event_id FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR")
