@@ -5,12 +5,34 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontamination, deobfuscation, divergence, simhash, string_kernel
+from tidemark.llm import bpe, decontamination, deobfuscation, divergence, pii, ring, secrets, simhash, string_kernel, warc
 from tidemark.llm.common import bucket, documents
+from tidemark.llm.spans import joined, number
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def _base_sha256(kinds: list[str]):
+    return F.sha2(joined(F.col("base"), kinds).cast("binary"), 256).alias("base_sha256")
+
+
+def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", *[number(F.col("base"), k).alias(f"n_{k}") for k in secrets.KINDS], _base_sha256(secrets.KINDS),
+        joined(F.concat("base", "added"), [*secrets.KINDS, secrets.ADDED]).alias("spans"),
+        *[f"n_{v}" for v in secrets.VERDICTS],
+    )
+
+
+def op2_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", *[number(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS], _base_sha256(pii.KINDS),
+        joined(F.concat("base", "added"), [*pii.KINDS, *pii.ADDED]).alias("spans"),
+    )
+
+
 def op3_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -29,6 +51,17 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.as_responses(documents(spark, sf_dir, "pages")))
+
+
+def op7_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.assign(documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+        "home_shard", "hops",
+    )
+
+
 def op8_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = string_kernel.identify(docs, string_kernel.fit(docs))
@@ -54,7 +87,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op3_simhash_near_duplicates, op4_quality_divergence, op5_benchmark_decontamination, op8_language_identification,
+        op1_secret_ownership, op2_pii_sanitisation, op3_simhash_near_duplicates, op4_quality_divergence,
+        op5_benchmark_decontamination, op6_warc_derivatives, op7_bounded_ring, op8_language_identification,
         op9_bpe_round_trip, op10_toxicity,
     )
 }
