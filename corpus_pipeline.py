@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontamination, deobfuscation, simhash
+from tidemark.llm import bpe, decontamination, deobfuscation, pii, simhash
 from tidemark.llm.common import Shelf, documents
 from tidemark.llm.queries import ranks
 
@@ -25,6 +25,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontamination.without_contaminated(docs, documents(spark, sf_dir, "benchmark"))
 
 
+def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.sanitise(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keep = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
     return bpe.digests(bpe.round_trip(docs, ranks(), public_tokenizers.PATTERN, keep=keep), keep)
@@ -34,6 +38,7 @@ STAGES = [
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
+    ("personal_data", sanitise),
     ("tokens", encode),
 ]
 
