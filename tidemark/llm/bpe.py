@@ -23,7 +23,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import arrow_schema, col, pieces, struct_with, texts_of
+from tidemark.llm.common import arrow_schema, col, light, pieces, struct_with, texts_of
 
 # Keys of the perfect hash per bucket, on average.
 _BUCKET_KEYS = 1
@@ -202,7 +202,7 @@ def round_trip(
                 [*kept, lists.cast(out.field(n).type), pa.array(decoded, out.field(n + 1).type)], schema=out
             )
 
-    return docs.select(*[col(docs, c) for c in keep], col(docs, text).cast("string").alias("_text")).mapInArrow(run, schema)
+    return light(docs, keep, text).mapInArrow(run, schema)
 
 
 def digests(encoded: DataFrame, keep: Sequence[str] = ("doc_id",), ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -46,6 +46,11 @@ def text_of(df: DataFrame, text: str) -> Column:
     return F.coalesce(col(df, text).cast("string"), F.lit(""))
 
 
+def light(df: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
+    """The kept columns and the text last, under names of no meaning; for functions over Arrow batches."""
+    return df.select(*[col(df, c).alias(f"c{i}") for i, c in enumerate(keep)], col(df, text).cast("string").alias("t"))
+
+
 def row_key(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """Two 64-bit hashes of the named columns; rows alike in them get the same key, and only those."""
     cols = [col(df, c) for c in columns]

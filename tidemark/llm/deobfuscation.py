@@ -22,13 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import arrow_schema, bucket, col, pieces, struct_with, text_of, texts_of
+from tidemark.llm.common import arrow_schema, bucket, col, light, pieces, struct_with, text_of, texts_of
 
 # Learning bounds: rows of each label, characters of a text, features kept for the model.
 SAMPLE = 1_500
 SAMPLE_CHARS = 50_000
 FEATURES = 4_000
 LEAST_ROWS = 3
+# With very many n-grams to choose from, weaker ones are chance; without any strong one the best few must do.
+LEAST_CHI_SQUARE = 15.0
+FEW_FEATURES = 20
 
 THRESHOLD = 0.5
 FOLDS = 5
@@ -265,8 +268,11 @@ def _logistic(rows: Sequence[tuple[int, list[str]]]) -> tuple[dict[str, float],
         if a + b >= LEAST_ROWS:
             p, q = a / n[1], b / n[0]
             both = (a + b) / (n[0] + n[1])
-            scored.append((-((p - q) ** 2) / (both * (1 - both) + 1e-9), f))
-    chosen = [f for _, f in sorted(scored)[:FEATURES]]
+            # The chi-square statistic of the feature and the label, for features that speak for the label.
+            if p > q:
+                scored.append((-((p - q) ** 2) / (both * (1 - both) + 1e-9) * n[0] * n[1] / (n[0] + n[1]), f))
+    strong = sorted(x for x in scored if x[0] <= -LEAST_CHI_SQUARE)[:FEATURES]
+    chosen = [f for _, f in strong or sorted(scored)[:FEW_FEATURES]]
     place = {f: i for i, f in enumerate(chosen)}
     rows_x, x_at = [], []
     for r, (_, words) in enumerate(rows):
@@ -298,7 +304,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str]
             scores = [shared.value.score(t) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], schema=out)
 
-    return docs.select(*[col(docs, c) for c in keep], col(docs, text).cast("string").alias("_text")).mapInArrow(run, schema)
+    return light(docs, keep, text).mapInArrow(run, schema)
 
 
 def predicted(score_: Column) -> Column:

@@ -235,7 +235,7 @@ def judge(
     out = arrow_schema(schema)
     shared = docs.sparkSession.sparkContext.broadcast(refs)
     light = docs.select(
-        *[col(docs, c) for c in keep], F.coalesce(col(docs, lang).cast("string"), F.lit("")).alias("_lang"),
+        *[col(docs, c).alias(f"c{i}") for i, c in enumerate(keep)], F.coalesce(col(docs, lang).cast("string"), F.lit("")).alias("_lang"),
         col(docs, text).cast("string").alias("_text"),
     )
 

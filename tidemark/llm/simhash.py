@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.common import LOWER, Shelf, arrow_schema, col, fresh, pieces, row_key, struct_with, texts_of
+from tidemark.llm.common import LOWER, Shelf, arrow_schema, col, fresh, light, pieces, row_key, struct_with, texts_of
 from tidemark.llm.components import components
 
 BITS = 64
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("do
             kept = [batch.column(i).cast(out.field(i).type) for i in range(n)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(fps)], schema=out)
 
-    return docs.select(*[col(docs, c) for c in keep], col(docs, text).cast("string").alias("_text")).mapInArrow(run, schema)
+    return light(docs, keep, text).mapInArrow(run, schema)
 
 
 class Segments:

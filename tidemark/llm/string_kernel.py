@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import arrow_schema, bucket, col, pieces, struct_with, text_of, texts_of
+from tidemark.llm.common import arrow_schema, bucket, col, light, pieces, struct_with, text_of, texts_of
 
 # Learning bounds: languages (the most frequent ones), rows of each, landmarks of each, characters of a text.
 LANGUAGES = 100
@@ -154,4 +154,4 @@ def identify(docs: DataFrame, model: Classifier, text: str = "text", keep: Seque
                 [*kept, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], schema=out
             )
 
-    return docs.select(*[col(docs, c) for c in keep], col(docs, text).cast("string").alias("_text")).mapInArrow(run, schema)
+    return light(docs, keep, text).mapInArrow(run, schema)

@@ -100,7 +100,7 @@ def as_responses(
             yield _batch(batch, n, out, rows)
 
     light = pages.select(
-        *[col(pages, c) for c in keep], F.coalesce(col(pages, url).cast("string"), F.lit("")).alias("_u"),
+        *[col(pages, c).alias(f"c{i}") for i, c in enumerate(keep)], F.coalesce(col(pages, url).cast("string"), F.lit("")).alias("_u"),
         (F.lit(DATE) if date is None else date).alias("_d"), (F.lit(HTTP_HEADERS) if http_headers is None else http_headers).alias("_h"),
         F.coalesce(col(pages, payload).cast("string"), F.lit("")).alias("_p"),
     )
@@ -135,7 +135,7 @@ def derive(responses: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFram
             yield _batch(batch.take(pa.array(places, pa.int64())), n, out, rows)
 
     names = [f.split()[0] for f in RESPONSE.split(", ")]
-    return responses.select(*[col(responses, c) for c in keep], *[col(responses, c).alias(f"_{c}") for c in names]).mapInArrow(run, schema)
+    return responses.select(*[col(responses, c).alias(f"c{i}") for i, c in enumerate(keep)], *[col(responses, c).alias(f"_{c}") for c in names]).mapInArrow(run, schema)
 
 
 def _batch(batch: pa.RecordBatch, keep: int, schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
