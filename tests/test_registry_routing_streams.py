@@ -30,20 +30,25 @@ def test_names_and_summaries(descriptors):
     got = [r.n for r in descriptors.select(display_name().alias("n")).collect()]
     assert got == ["m1", "m2", "c", "unnamed-model", "unnamed-model", "m6", "m7", "m8"]
     texts = [r.s for r in descriptors.select(summary().alias("s")).collect()]
-    assert texts[0] == ("ModelDescriptor(modelName = m1, description = d, modelType = PMML, modelSourceLocation = None, "
-                        "modelBytes[4] = 3C782F3E)")
-    assert texts[1].endswith("modelSourceLocation = Some(/a/b.pmml), modelBytes[0] = [])") and texts[3].endswith("modelBytes[0] = [])")
+    assert texts[0] == "name=m1; about=d; type=PMML; at=null; bytes[4]=3C782F3E"
+    assert texts[1].endswith("; at=/a/b.pmml; bytes[0]=[]") and texts[3].endswith("; bytes[0]=[]")
 
 
 def test_checks_give_error_values(descriptors):
     got = {r.modelName or r.modelType: r.error for r in check_descriptors(descriptors, WINE_TYPES).collect()}
     assert got["m1"] is None and got["TENSORFLOWSAVED"] is None and got["TENSORFLOW"] is None
-    assert got["m2"].startswith("Invalid descriptor ModelDescriptor(modelName = m2") and got["m8"].startswith("Invalid")
+    assert got["m2"].startswith("Invalid descriptor name=m2") and got["m8"].startswith("Invalid")
     assert got["H2O"] == got["m6"][:-7] + "H2O" == "No factory found for model type H2O" and got["m7"] == "Unknown model type NEW"
     assert registry.usable_versions(descriptors, AIRLINE_TYPES).count() == 1
     assert registry.refused_versions(descriptors, AIRLINE_TYPES).count() == 7
 
 
+def test_nulls_do_not_make_a_descriptor_usable(spark):
+    rows = [(None, "d", "PMML", None, None), ("m", None, "PMML", None, "/x"), (None, None, None, b"x", None), (None, None, "TENSORFLOWSAVED", None, None)]
+    checked = check_descriptors(spark.createDataFrame(rows, MODEL_DESCRIPTOR), WINE_TYPES)
+    assert checked.where("error IS NULL").count() == 0
+
+
 def test_equality_of_descriptors(spark, descriptors):
     pairs = descriptors.select(F.struct("*").alias("l")).crossJoin(descriptors.select(F.struct("*").alias("r")))
     assert pairs.where(same_descriptor("l", "r")).count() == len(ROWS)
@@ -55,7 +60,7 @@ def test_models_that_cannot_be_made_are_values(spark, descriptors):
     models, outcome = registry.load_models(with_id, load_model)
     assert models == {}
     errors = {r.version_id: r.error for r in outcome.collect()}
-    assert errors["m1"].startswith("Model factory failed to create a model from descriptor ModelDescriptor(modelName = m1")
+    assert errors["m1"].startswith("No model could be made of name=m1")
     assert errors["m2"].endswith("the descriptor has no model bytes")
 
 

@@ -70,12 +70,32 @@ def test_previous_fill_and_span(spark):
         (9, None, None), (10, 1.0, None), (11, 1.0, None), (12, 1.0, None), (13, 1.0, 4.0), (14, 3.0, 4.0), (15, 3.0, 4.0), (16, 3.0, 4.0)]
 
 
-def test_tiny_widths_are_refused(measured):
-    _, df = measured
-    buckets = bucket_aggregate(df, "ts", 1, {"n": F.count("*")})
-    with pytest.raises(ValueError, match="more than"):
-        fill_gaps(buckets, 1, {"n": "linear"})
-    assert fill_gaps(buckets.where("false"), 1, {"n": "linear"}).count() == 0
+def test_long_gaps(spark):
+    """Thirty days in one-second buckets: 2.6 million of them between two rows."""
+    last = 30 * 86_400 * S
+    buckets = spark.createDataFrame([(0, 0), (last, 30 * 86_400)], "bucket long, n long")
+    filled = fill_gaps(buckets, S, {"n": "linear"})
+    assert filled.count() == last // S + 1 and filled.where(f"n != bucket div {S}").count() == 0
+    assert fill_gaps(buckets.where("false"), S, {"n": "linear"}).count() == 0
+    with pytest.raises(ValueError, match="unknown fill"):
+        fill_gaps(buckets, S, {"n": "cubic"})
+
+
+@pytest.mark.parametrize("fill", ["linear", "previous", "none"])
+def test_long_series_fill_like_short_ones(spark, fill):
+    """Series cut into slices give what a plain window gives."""
+    rows = [(tag, b * S, None if b % 4 == 0 else float(b * b)) for tag in ("a", "b") for b in range(0, 60) if b % 7 not in (2, 3)]
+    buckets = spark.createDataFrame(rows, "tag string, bucket long, x double")
+    plain = fill_gaps(buckets, S, {"x": fill}, ["tag"], (-3 * S, 70 * S))
+    cut = fill_gaps(buckets, S, {"x": fill}, ["tag"], (-3 * S, 70 * S), target_rows=5)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect())) and plain.count() == 2 * 74
+
+
+def test_span_between_bucket_edges(spark):
+    """A span that begins inside a bucket keeps that bucket's value."""
+    buckets = spark.createDataFrame([(0, 1.0), (60 * S, 2.0), (120 * S, 3.0)], "bucket long, x double")
+    got = fill_gaps(buckets, 60 * S, {"x": "previous"}, (), (61 * S, 199 * S)).orderBy("bucket").collect()
+    assert [(r.bucket // S, r.x) for r in got] == [(60, 2.0), (120, 3.0), (180, 3.0)]
 
 
 def test_recent_is_a_constant_bound(spark, tmp_path):

@@ -37,14 +37,11 @@ def byte_count(data: str = "modelBytes") -> Column:
 def summary(data: str = "modelBytes") -> Column:
     """One line with every field, the number of bytes and the first of them in hexadecimal."""
     preview = F.when(byte_count(data) > 0, F.hex(F.substring(data, 1, PREVIEW_BYTES))).otherwise(F.lit("[]"))
-    location = F.when(F.col("modelSourceLocation").isNull(), F.lit("None")).otherwise(
-        F.concat(F.lit("Some("), "modelSourceLocation", F.lit(")"))
-    )
-    return F.concat(
-        F.lit("ModelDescriptor(modelName = "), "modelName", F.lit(", description = "), "description",
-        F.lit(", modelType = "), "modelType", F.lit(", modelSourceLocation = "), location,
-        F.lit(", modelBytes["), byte_count(data).cast("string"), F.lit("] = "), preview, F.lit(")"),
-    )
+    parts = [
+        F.concat(F.lit(f"{label}="), F.coalesce(F.col(name).cast("string"), F.lit("null")))
+        for label, name in (("name", "modelName"), ("about", "description"), ("type", "modelType"), ("at", "modelSourceLocation"))
+    ]
+    return F.concat(F.concat_ws("; ", *parts), F.lit("; bytes["), byte_count(data).cast("string"), F.lit("]="), preview)
 
 
 def same_descriptor(left: str, right: str) -> Column:

@@ -118,7 +118,7 @@ def parse_airline(
     def clean(token: Column, i: Column) -> Column:
         value = F.when(token == "NA", F.lit("0"))
         if text_codes:
-            digits = F.regexp_extract(token, "[0-9]{1,9}", 0)
+            digits = F.regexp_extract(token, "[0-9]+", 0)
             value = value.when(i.isin(*codes), F.when(digits == "", F.lit("0")).otherwise(digits))
         return value.otherwise(token)
 

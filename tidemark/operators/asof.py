@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidemark.operators.ordering import TARGET_ROWS, following, running
+from tidemark.operators.ordering import TARGET_ROWS, following, row_hash, running
 
 # Version tables up to this size are sent to every executor instead of moving the records.
 FEW_VERSIONS = 500
@@ -52,8 +52,8 @@ def assign_models(
 ) -> DataFrame:
     """As-of join of records with versions on time `on`, per key `by`.
 
-    form "broadcast" moves no records and is used for few versions; "window" works for any number of versions and
-    cuts hot keys and hot times into slices; "auto" reads at most few + 1 version starts to decide. `carry` names the
+    Up to `few` versions no records move: form "auto" reads at most few + 1 version starts to decide. More versions, or
+    form "window", take a window that cuts hot keys and hot times into slices. The results are the same. `carry` names the
     version columns that go along, by default all but binary ones: model files stay in the registry.
     """
     by = list(by)
@@ -62,8 +62,6 @@ def assign_models(
         starts = [r["_from"] for r in single.select("_from").limit(few + 1).collect()]
         if len(starts) <= few:
             return _broadcast_form(records, single, sorted(set(starts)), on, by, out)
-        if form == "broadcast":
-            raise ValueError(f"more than {few} versions for the broadcast form")
     return _window_form(records, single, on, by, out, target_rows)
 
 
@@ -107,7 +105,7 @@ def _window_form(
         *by,
         micros(on).alias("_at"),
         F.lit(1).alias("_kind"),
-        F.pmod(F.xxhash64(*records.columns), F.lit(_TIE_RANGE)).alias("_tie"),
+        F.pmod(row_hash(records), F.lit(_TIE_RANGE)).alias("_tie"),
         F.struct(*records.columns).alias("_record"),
         F.lit(None).cast(single.schema["_version"].dataType).alias("_version"),
     )

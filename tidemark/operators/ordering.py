@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.session import broadcast_if_small, settle
 
@@ -23,6 +23,30 @@ def _both(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
+def _hashable(column: Column, kind: T.DataType) -> Column:
+    if not _has_map(kind):
+        return column
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: _hashable(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(column.isNotNull(), F.struct(*[_hashable(column[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    return F.array_sort(F.transform(
+        F.map_entries(column),
+        lambda e: F.struct(_hashable(e["key"], kind.keyType).alias("key"), _hashable(e["value"], kind.valueType).alias("value")),
+    ))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a whole row. Maps, at any depth, count as their sorted entries."""
+    return F.xxhash64(*[_hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+
+
 def _attach(df: DataFrame, facts: DataFrame, group: Sequence[str]) -> DataFrame:
     """Add the columns of a settled per-slice table to every row of the slice."""
     named = facts.select(

@@ -40,7 +40,7 @@ def load_models(descriptors: DataFrame, load: Callable[[str, bytes | None, str |
             outcome.append((row.version_id, None))
         except Exception as e:  # a model that cannot be made is a value, not a failed job
             outcome.append(
-                (row.version_id, f"Model factory failed to create a model from descriptor {row.summary}. {e}")
+                (row.version_id, f"No model could be made of {row.summary}: {e}")
             )
     kind = descriptors.schema["version_id"].dataType.simpleString()
     return models, descriptors.sparkSession.createDataFrame(outcome, f"version_id {kind}, error string")

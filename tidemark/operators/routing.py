@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.ordering import row_hash
 from tidemark.session import broadcast_if_small, settle
 
 
@@ -51,7 +52,7 @@ def partition_by_key(df: DataFrame, key: Sequence[str], partitions: int, rows_pe
     for k in key:
         same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
     spread = df.join(broadcast_if_small(large), same, "left")
-    salt = F.pmod(F.xxhash64(*df.columns), F.coalesce(F.col("_spread"), F.lit(1)))
+    salt = F.pmod(row_hash(df), F.coalesce(F.col("_spread"), F.lit(1)))
     return spread.withColumn("_salt", salt).repartition(partitions, *key, "_salt").select(*df.columns)
 
 

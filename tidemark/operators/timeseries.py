@@ -8,10 +8,11 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.asof import micros
+from tidemark.operators.ordering import TARGET_ROWS, following, running
 from tidemark.session import settle
 
-# More buckets than this per series is taken for a mistake in the width.
-MAX_BUCKETS = 1_000_000
+# Buckets of a gap that are made from one array.
+_BLOCK_BUCKETS = 10_000
 
 # Range per point in milliseconds up to which a bucket width in milliseconds is used.
 WIDTH_LADDER = (
@@ -46,54 +47,84 @@ def fill_gaps(
     fills: Mapping[str, str],
     tags: Sequence[str] = (),
     span: tuple[int, int] | None = None,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """Every series gets a row for every bucket of the span (by default from first to last bucket over all series).
 
-    Fills: "linear" between two known buckets of the series, whole numbers cut to whole numbers; "previous" carries
-    the last known value on; "none" leaves nulls. What lies before the first known value stays null, and with linear
-    what lies after the last one too.
+    The ends of a span need not be bucket edges: the buckets they fall into are the first and the last. Fills: "linear"
+    between two known buckets of the series, whole numbers cut to whole numbers; "previous" carries the last known value
+    on; "none" leaves nulls. What lies before the first known value stays null, and with linear what lies after the last
+    one too.
+
+    All that a gap needs is worked out on the buckets that have rows: the last known value up to each and the first
+    known one after it. The gaps are then exploded, in blocks, so neither a window nor an array grows with them.
     """
-    inside = buckets
+    unknown = set(fills.values()) - {"linear", "previous", "none"}
+    if unknown:
+        raise ValueError(f"unknown fill {sorted(unknown)[0]}")
     if span is not None:
-        inside = buckets.where(F.col("bucket").between(*span))
+        first, last = (int(at) - int(at) % width_us for at in span)
+        inside = buckets.where(F.col("bucket").between(first, last))
     else:
         # The aggregated rows are used twice; the scan below them should run once.
         inside = buckets = settle(buckets)
-        span = buckets.agg(F.min("bucket"), F.max("bucket")).first()
-        if span[0] is None:
+        ends = buckets.agg(F.min("bucket"), F.max("bucket")).first()
+        if ends[0] is None:
             return buckets
-    first, last = int(span[0]), int(span[1])
-    if (last - first) // width_us + 1 > MAX_BUCKETS:
-        raise ValueError(f"more than {MAX_BUCKETS} buckets of {width_us} us between {first} and {last}")
-    step = F.lit(width_us)
-    # After aggregation a series has at most MAX_BUCKETS rows, so a window per series is a small task.
-    series = Window.partitionBy(*tags).orderBy("bucket")
-    ahead = F.coalesce(F.lead("bucket").over(series) - step, F.lit(last))
-    behind = F.when(F.lag("bucket").over(series).isNull(), F.lit(first)).otherwise(F.col("bucket"))
-    ends = inside.withColumns({"_begin": behind, "_end": ahead})
-    gaps = ends.withColumn("_slot", F.explode(F.sequence("_begin", "_end", step)))
+        first, last = int(ends[0]), int(ends[1])
+
     names = list(fills)
-    here = F.col("_slot") == F.col("bucket")
-    spine = gaps.select(*tags, F.col("_slot").alias("bucket"), *[F.when(here, F.col(n)).alias(n) for n in names])
-    back = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    forth = series.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    known = inside.select(
+        *tags, "bucket", *names, (-F.col("bucket")).alias("_back"),
+        *[F.when(F.col(n).isNotNull(), F.struct(F.col("bucket").alias("t"), F.col(n).alias("v"))).alias(f"_known_{n}") for n in names],
+    )
+    # A series has at most one row per bucket. If even that is a small task, a plain window will do.
+    small = (last - first) // width_us + 1 <= target_rows
+    before = {f"_a_{n}": ("last", f"_known_{n}") for n in names} | {"_first": ("min", "bucket")}
+    known = _running(known, tags, "bucket", before, small, target_rows)
+    known = _running(known, tags, "_back", {f"_b_{n}": ("last", f"_known_{n}") for n in names}, small, target_rows)
+    known = known.withColumn("_here", F.struct("bucket", *[f"_b_{n}" for n in names]))
+    if small:
+        known = known.withColumn("_next", F.lead("_here").over(Window.partitionBy(*tags).orderBy("bucket")))
+    else:
+        known = following(known, tags, ["bucket"], "_here", "_next", target_rows)
+
+    step, at = F.lit(width_us), F.col("_slot")
+    begin = F.when(F.col("bucket") == F.col("_first"), F.lit(first)).otherwise(F.col("bucket"))
+    end = F.coalesce(F.col("_next.bucket") - step, F.lit(last))
+    flat = known.select(
+        *tags, "bucket", *names, begin.alias("_begin"), end.alias("_end"),
+        *[F.col(f"_a_{n}")[part].alias(f"_a{part}_{n}") for n in names for part in "tv"],
+        *[F.col(f"_next._b_{n}")[part].alias(f"_b{part}_{n}") for n in names for part in "tv"],
+    )
+    blocks = flat.withColumn("_block", F.explode(F.sequence("_begin", "_end", F.lit(width_us * _BLOCK_BUCKETS))))
+    until = F.least(F.col("_end"), F.col("_block") + F.lit(width_us * (_BLOCK_BUCKETS - 1)))
+    slots = blocks.withColumn("_slot", F.explode(F.sequence(F.col("_block"), until, step)))
+
     filled = []
     for name, fill in fills.items():
-        kind = buckets.schema[name].dataType
-        if fill == "previous":
-            filled.append(F.last(name, ignorenulls=True).over(back).alias(name))
-        elif fill == "linear":
-            known = F.when(F.col(name).isNotNull(), F.struct(F.col("bucket").alias("t"), F.col(name).alias("v")))
-            a, b = F.last(known, ignorenulls=True).over(back), F.first(known, ignorenulls=True).over(forth)
-            line = a["v"] + (b["v"] - a["v"]) / (b["t"] - a["t"]) * (F.col("bucket") - a["t"])
+        (at_a, a), (at_b, b) = ([F.col(f"_{side}{part}_{name}") for part in "tv"] for side in "ab")
+        if fill == "none":
+            filled.append(F.when(at == F.col("bucket"), F.col(name)).alias(name))
+        elif fill == "previous":
+            filled.append(F.when(at >= F.col("bucket"), a).alias(name))
+        else:
+            kind = buckets.schema[name].dataType
+            line = a + (b - a) / (at_b - at_a) * (at - at_a)
             if isinstance(kind, T.IntegralType):
                 line = line.cast(kind)
-            filled.append(F.when(F.col(name).isNotNull(), F.col(name)).when(b["t"] > a["t"], line).alias(name))
-        elif fill == "none":
-            filled.append(F.col(name))
-        else:
-            raise ValueError(f"unknown fill {fill}")
-    return spine.select(*tags, "bucket", *filled)
+            filled.append(F.when(at < F.col("bucket"), None).when(at == at_a, a).when(at_b > at_a, line).alias(name))
+    return slots.select(*tags, at.alias("bucket"), *filled)
+
+
+def _running(
+    df: DataFrame, tags: Sequence[str], order: str, totals: Mapping[str, tuple[str, str]], small: bool, target_rows: int
+) -> DataFrame:
+    if not small:
+        return running(df, list(tags), [order], dict(totals), target_rows)
+    so_far = Window.partitionBy(*tags).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kinds = {"last": lambda c: F.last(c, ignorenulls=True), "min": F.min}
+    return df.select("*", *[kinds[kind](column).over(so_far).alias(out) for out, (kind, column) in totals.items()])
 
 
 def count_by_tag(df: DataFrame, time: str, width_us: int, field: str, tags: Sequence[str], span=None) -> DataFrame:

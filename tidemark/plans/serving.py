@@ -102,10 +102,9 @@ def latest_model(spark, sf_dir):
     return latest.select("server", "seq", F.col("modelName").alias("model_name"))
 
 
-_SUMMARY_SQL = """'ModelDescriptor(modelName = ' || modelName || ', description = ' || description || ', modelType = '
- || modelType || ', modelSourceLocation = ' || CASE WHEN modelSourceLocation IS NULL THEN 'None'
- ELSE 'Some(' || modelSourceLocation || ')' END || ', modelBytes[' || coalesce(strlen(payload), 0) || '] = '
- || CASE WHEN coalesce(payload, '') = '' THEN '[]' ELSE hex(payload) END || ')'"""
+_SUMMARY_SQL = """'name=' || coalesce(modelName, 'null') || '; about=' || coalesce(description, 'null') || '; type='
+ || coalesce(modelType, 'null') || '; at=' || coalesce(modelSourceLocation, 'null') || '; bytes[' || coalesce(strlen(payload), 0) || ']='
+ || CASE WHEN coalesce(payload, '') = '' THEN '[]' ELSE hex(payload) END"""
 
 
 @query(f"""

@@ -30,12 +30,18 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def as_double(label: str) -> str:
-    """A class label as the double it spells, null where it spells none."""
+def class_value(label: str) -> float | None:
+    """A class label as the double it spells, None where it spells none."""
     try:
-        return number(float(label))
+        value = float(label)
     except ValueError:
-        return "CAST(NULL AS DOUBLE)"
+        return None
+    return value if math.isfinite(value) else None
+
+
+def as_double(label: str) -> str:
+    value = class_value(label)
+    return "CAST(NULL AS DOUBLE)" if value is None else number(value)
 
 
 @dataclass(frozen=True)
@@ -198,6 +204,11 @@ _INVERSE_LINK = {
 }
 
 
+def linear_value(link: str, total: str) -> str:
+    """The prediction for a linear predictor given as SQL."""
+    return _INVERSE_LINK[link].format(total)
+
+
 @dataclass(frozen=True)
 class LinearModel:
     """Intercept plus weighted fields (X4), behind a link function for generalised models."""

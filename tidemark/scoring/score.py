@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.features import field_column
-from tidemark.scoring.models import EXPRESSION_WEIGHTS, Model, NetworkModel
+from tidemark.scoring.models import EXPRESSION_WEIGHTS, LinearModel, Model, NetworkModel, class_value, linear_value
 from tidemark.scoring.pmml import parse_pmml
 from tidemark.scoring.tables import parse_boosted, parse_network
 
@@ -69,6 +69,8 @@ def network_on_arrays(model: NetworkModel) -> Callable[[Column], Column]:
     """
     layers = [(np.array(x.weights).T, np.array(x.bias), x.activation) for x in model.layers]
     classes, softmax = model.classes, model.softmax
+    # A label's value is the double it spells, as in the expression form; null where it spells none.
+    spelled = [class_value(c) for c in classes]
     width = layers[0][0].shape[0]
 
     @F.pandas_udf(_OUTPUTS)
@@ -86,7 +88,7 @@ def network_on_arrays(model: NetworkModel) -> Callable[[Column], Column]:
                 a = e / e.sum(axis=1, keepdims=True)
             rows = np.flatnonzero(usable)
             labels = [classes[i] for i in best] if classes else [None] * len(best)
-            result.iloc[rows, 0] = [float(x) for x in labels] if classes else best.astype(float)
+            result.iloc[rows, 0] = [spelled[i] for i in best] if classes else best.astype(float)
             result.iloc[rows, 1] = labels
             result.iloc[rows, 2] = pd.Series(list(a), index=result.index[rows], dtype=object)
         return result.astype({"value": "float64"})
@@ -103,20 +105,69 @@ def _activate(name: str, z: np.ndarray) -> np.ndarray:
     return np.maximum(z, 0.0) if name == "rectifier" else z
 
 
-def score_by_version(df: DataFrame, version: str, models: Mapping[object, Model], out: str = "score") -> DataFrame:
+# Linear models of one shape beyond this many are scored from a table of coefficients.
+COMPILED_LINEAR = 16
+
+
+def score_by_version(
+    df: DataFrame, version: str, models: Mapping[object, Model], out: str = "score", compiled: int = COMPILED_LINEAR
+) -> DataFrame:
     """Each row scored by its own version only; rows with another or no version get nulls.
 
-    `models` is what one catalogue holds. Every model's helper columns are computed only on that model's rows.
+    `models` is what one catalogue holds. A row's version becomes a number once, by a lookup, and models are told apart by
+    it. The helper columns of all models are made in the same few projections, each only on its model's rows. Linear
+    models of one shape, if they are many, are no code at all: their coefficients come by a broadcast lookup.
     """
-    names = df.columns
-    pieces = []
-    for i, (key, model) in enumerate(models.items()):
-        condition = f"`{version}` = {_literal(key)}"
-        df = with_score(df, model, f"_m{i}", condition)
-        pieces.append((condition, f"_m{i}"))
-    arms = " ".join(f"WHEN {c} THEN {n}" for c, n in pieces)
-    score = F.expr(f"CASE {arms} ELSE {_NONE} END") if pieces else F.expr(_NONE)
-    return df.select(*names, score.alias(out))
+    names, taken = df.columns, f"_{out}_no"
+    keys = list(models)
+    tables, rest = _linear_tables([(i, models[k]) for i, k in enumerate(keys)], compiled)
+    lookup = df.sparkSession.createDataFrame(
+        [(k if isinstance(k, str) else int(k), i) for i, k in enumerate(keys)],
+        T.StructType([T.StructField("_key", df.schema[version].dataType), T.StructField(taken, T.IntegerType())]),
+    )
+    numbered = df.join(F.broadcast(lookup), df[version] == lookup["_key"], "left").drop("_key")
+    scores = []
+    for t, (fields, link, rows) in enumerate(tables):
+        own = df.sparkSession.createDataFrame(
+            [(i, float(m.intercept), [float(w) for _, w in m.terms]) for i, m in rows], f"_of{t} int, _i{t} double, _w{t} array<double>"
+        )
+        numbered = numbered.join(F.broadcast(own), F.col(taken) == F.col(f"_of{t}"), "left")
+        total = " + ".join([f"_i{t}", *[f"_w{t}[{k}] * {_quoted_field(n)}" for k, n in enumerate(fields)]])
+        scores.append((f"_of{t} IS NOT NULL", _value_sql(linear_value(link, total))))
+    plans = []
+    for i, model in rest:
+        when = f"{taken} = {i}"
+        if isinstance(model, NetworkModel) and model.weight_count > EXPRESSION_WEIGHTS:
+            numbered = with_score(numbered, model, f"_{out}{i}", when)
+            scores.append((when, f"_{out}{i}"))
+        else:
+            plans.append((when, model.plan(f"_{out}{i}_")))
+    for r in range(max((len(p.rounds) for _, p in plans), default=0)):
+        columns = [(f"CASE WHEN {when} THEN {sql} END", name) for when, p in plans if r < len(p.rounds) for name, sql in p.rounds[r]]
+        numbered = numbered.select("*", *[F.expr(sql).alias(name) for sql, name in columns])
+    scores += [(when, _struct_sql(p)) for when, p in plans]
+    arms = " ".join(f"WHEN {when} THEN {sql}" for when, sql in scores)
+    score = F.expr(f"CASE {arms} ELSE {_NONE} END") if scores else F.expr(_NONE)
+    return numbered.select(*[f"`{n}`" for n in names], score.alias(out))
+
+
+def _linear_tables(numbered: Sequence[tuple[int, Model]], compiled: int):
+    """Groups of linear models that use the same fields under the same link, where they are many; and all other models."""
+    shapes: dict = {}
+    for i, m in numbered:
+        if isinstance(m, LinearModel):
+            shapes.setdefault((tuple(n for n, _ in m.terms), m.link), []).append((i, m))
+    tables = [(fields, link, rows) for (fields, link), rows in shapes.items() if len(rows) > compiled]
+    held = {i for _, _, rows in tables for i, _ in rows}
+    return tables, [(i, m) for i, m in numbered if i not in held]
+
+
+def _quoted_field(name: str) -> str:
+    return f"`{field_column(name)}`"
+
+
+def _value_sql(value: str) -> str:
+    return f"named_struct('value', {value}, 'label', CAST(NULL AS STRING), 'probabilities', CAST(NULL AS ARRAY<DOUBLE>))"
 
 
 def _literal(key: object) -> str:

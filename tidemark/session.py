@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -50,22 +51,53 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the checkpoint folder of the context, else of the configuration.
 
-    Only a session without spark.checkpoint.dir (a test on one machine) falls back to a local folder.
+    Only a session on one machine may do without: it gets a local folder. On a cluster that would lose files.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = os.path.join(tempfile.gettempdir(), "tidemark")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    current = context._jsc.sc().getCheckpointDir()
+    base = current.get() if current.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "tidemark")
+
+
+_made: list[tuple] = []
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared one; it is removed when the program ends, or by `remove_dir`."""
+    path = f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append((spark._jvm, spark._jsparkSession.sessionState().newHadoopConf(), path))
+    return path
+
+
+def remove_dir(path: str) -> None:
+    for made in [m for m in _made if m[2] == path]:
+        _made.remove(made)
+        jvm, conf, place = made
+        at = jvm.org.apache.hadoop.fs.Path(place)
+        at.getFileSystem(conf).delete(at, True)
+
+
+@atexit.register
+def _remove_all() -> None:
+    for _, _, path in list(_made):
+        try:
+            remove_dir(path)
+        except Exception:  # the JVM may be gone by now
+            return
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Compute a small helper table once and keep it in reliable storage."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
+        context.setCheckpointDir(f"{shared_base(df.sparkSession)}/checkpoints")
     return df.checkpoint(eager=True)
 
 
