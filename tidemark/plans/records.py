@@ -131,9 +131,9 @@ def parse_na_to_zero(spark, sf_dir):
     )
 
 
-def _write_in_order(lines: DataFrame, folder: str, files: int = 8, compression: str = "none") -> str:
-    """Text files whose names and lines follow the key order; files are cut by range, however the keys are spread."""
-    ordered = lines.repartitionByRange(files, *_KEY).sortWithinPartitions(*_KEY)
+def _write_in_order(lines: DataFrame, folder: str, compression: str = "none") -> str:
+    """Text files whose names and lines follow the key order; files are cut by range, as many as the size asks for."""
+    ordered = lines.repartitionByRange(*_KEY).sortWithinPartitions(*_KEY)
     ordered.select("value").write.option("compression", compression).text(folder)
     return folder
 
@@ -180,10 +180,15 @@ def text_scan_with_header(spark, sf_dir):
     lines = read_lines(
         spark, [f"{root}/none", f"{root}/not-there", f"{root}/gzip", f"{root}/bzip2"], drop_first=1, fail_if_missing=False
     )
+    # The numbers of a file with n lines are 0 to n - 1, each once.
+    facts = lines.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.min("line_no").alias("low"), F.max("line_no").alias("high"), F.sum("line_no").alias("total")
+    )
+    right = (F.col("low") == 0) & (F.col("high") == F.col("n") - 1) & (F.col("total") * 2 == F.col("n") * (F.col("n") - 1))
     tokens = F.split("value", ";")
-    return lines.select(
+    return lines.join(facts.select("file", right.alias("numbered")), "file").select(
         tokens[0].cast("bigint").alias("o_orderkey"), tokens[1].cast("bigint").alias("o_custkey"),
-        tokens[2].cast("double").alias("o_totalprice"), (F.col("line_no") >= 0).alias("numbered"),
+        tokens[2].cast("double").alias("o_totalprice"), "numbered",
     )
 
 

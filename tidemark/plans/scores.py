@@ -191,8 +191,8 @@ def _layer(units: int, inputs: int, k: int, activation: str) -> dict:
     }
 
 
-_SMALL = {"inputs": ["e0", "e1", "e2", "e3"], "classes": ["5", "6"], "softmax": True, "single_inputs": False,
-          "layers": [_layer(3, 4, 1, "logistic"), _layer(2, 3, 2, "identity")]}
+_SMALL = {"inputs": [f"e{i}" for i in range(64)], "classes": ["5", "6"], "softmax": True, "single_inputs": False,
+          "layers": [_layer(3, 64, 1, "logistic"), _layer(2, 3, 2, "identity")]}
 _ONE_LAYER = {"inputs": [f"e{i}" for i in range(64)], "layers": [_layer(10, 64, 3, "logistic")]}
 _WIDE = {"inputs": [f"e{i}" for i in range(64)], "layers": [_layer(32, 64, 4, "tanh"), _layer(10, 32, 5, "logistic")]}
 
@@ -203,7 +203,7 @@ def _dot(layer: dict, i: int, inputs: list[str]) -> str:
 
 
 _HIDDEN = ", ".join(
-    f"1 / (1 + exp(-{_dot(_SMALL['layers'][0], i, [f'embedding[{j + 1}]::DOUBLE' for j in range(4)])})) AS h{i}" for i in range(3)
+    f"1 / (1 + exp(-{_dot(_SMALL['layers'][0], i, [f'embedding[{j + 1}]::DOUBLE' for j in range(64)])})) AS h{i}" for i in range(3)
 )
 _OUT = ", ".join(f"{_dot(_SMALL['layers'][1], i, ['h0', 'h1', 'h2'])} AS z{i}" for i in range(2))
 
@@ -217,7 +217,7 @@ SELECT vec_id, CASE WHEN z0 >= z1 THEN 5.0 ELSE 6.0 END::DOUBLE AS score, round(
 FROM (SELECT vec_id, {_OUT} FROM (SELECT vec_id, {_HIDDEN} FROM embeddings))
 """)
 def score_mlp(spark, sf_dir):
-    scored = with_score(_columns(table(spark, sf_dir, "embeddings"), 4), parse_network(json.dumps(_SMALL)))
+    scored = with_score(_columns(table(spark, sf_dir, "embeddings"), 64), parse_network(json.dumps(_SMALL)))
     return scored.select("vec_id", F.col("score.value").alias("score"), F.round(F.col("score.probabilities")[0], 6).alias("p0"))
 
 
@@ -404,13 +404,17 @@ def recommend_requests(spark, sf_dir):
 
 
 @query(f"""
-SELECT user, shelf, list_aggregate(list_transform(k, lambda p: p::VARCHAR), 'string_agg', ',') AS keys,
-  round(list_sum(list_transform(k, lambda p: (p % 97) / 100.0))::DOUBLE, 6) AS total
-FROM (SELECT user, shelf, products[:5] AS k FROM {_BASKETS})
+SELECT user, shelf, coalesce(list_aggregate(list_transform(k, lambda p: p::VARCHAR), 'string_agg', ','), '') AS keys,
+  coalesce(round(list_sum(list_transform(k, lambda p: (p % 97) / 100.0))::DOUBLE, 6), 0.0) AS total
+FROM (SELECT user, shelf, CASE WHEN user % 3 = 0 THEN products[:len(products) - 1] ELSE products END AS k FROM {_BASKETS})
 """)
 def recommend_responses(spark, sf_dir):
-    """Responses with at most five rows beside longer product lists: the shorter side decides."""
-    rows = F.transform(F.slice("products", 1, 5), lambda p: F.array((p % 97) / 100.0, F.lit(0.5)))
+    """Responses a row shorter than the products for some users, a row longer for others: the shorter side decides."""
+    rows = F.transform("products", lambda p: F.array((p % 97) / 100.0, F.lit(0.5)))
+    rows = (
+        F.when(F.col("user") % 3 == 0, F.slice(rows, F.lit(1), F.size("products") - 1))
+        .when(F.col("user") % 3 == 1, F.concat(rows, F.array(F.array(F.lit(9.0), F.lit(0.5))))).otherwise(rows)
+    )
     body = F.to_json(F.struct(F.struct(F.array(F.lit("1")).alias("model-version"), rows.alias("recommendations")).alias("outputs")))
     parsed = with_response(baskets(spark, sf_dir).withColumn("body", body), "body", "r")
     total = F.aggregate("r.values", F.lit(0.0), lambda a, v: a + v)

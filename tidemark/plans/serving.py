@@ -8,7 +8,7 @@ from tidemark.functions.descriptors import WINE_TYPES, check_descriptors, displa
 from tidemark.operators import registry, routing
 from tidemark.operators.asof import assign_models, micros, version_intervals
 from tidemark.operators.ordering import first_n
-from tidemark.operators.stats import current_stats, every_nth, running_stats, serving_stats
+from tidemark.operators.stats import activation_stats, current_activation, current_stats, every_nth, running_stats, serving_stats
 from tidemark.plans.common import (
     EVENT_MODELS_SQL, ORDER_DESCRIPTORS_SQL, event_models, order_descriptors, served_events, signup_versions, table,
 )
@@ -213,6 +213,67 @@ def serving_stats_current(spark, sf_dir):
     return current_stats(serving_stats(timed_events(spark, sf_dir), ["model_name"], "took", "at"))
 
 
+def activations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every activation of the event server; the last version starts after all events."""
+    fresh = event_models(spark).where("modelName = 'gamma'").select(
+        F.lit("fresh").alias("modelName"), "description", "modelType", "modelBytes", F.lit("2099-01-01").cast("timestamp_ntz").alias("valid_from"), F.lit(9).alias("seq"),
+    )
+    versions = registry.usable_versions(
+        event_models(spark).select("modelName", "description", "modelType", "modelBytes", "modelSourceLocation", F.col("valid_from").cast("timestamp_ntz").alias("valid_from"), "seq")
+        .unionByName(fresh, allowMissingColumns=True), WINE_TYPES,
+    ).select(F.col("modelName").alias("model_name"), F.col("modelType").alias("model_type"), "description", micros("valid_from").alias("at"), "seq")
+    return activation_stats(versions, timed_events(spark, sf_dir), ["model_name"], "took", "at")
+
+
+_ACTIVATIONS = f"""(SELECT v.model_name, v.model_type, '' AS description, epoch_us(v.valid_from) AS since, coalesce(s.score_count, 0) AS score_count,
+  coalesce(s.duration, 0)::BIGINT AS duration, s.least_took AS min, s.most_took AS max
+FROM (SELECT model_name, valid_from, CASE model_name WHEN 'beta' THEN 'TENSORFLOW' ELSE 'PMML' END AS model_type FROM {EVENT_MODELS_SQL}
+  UNION ALL SELECT 'fresh', TIMESTAMP '2099-01-01', 'PMML') v
+LEFT JOIN (SELECT model_name, count(*) AS score_count, sum(took) AS duration, min(took) AS least_took, max(took) AS most_took
+  FROM {_TIMED} GROUP BY model_name) s ON v.model_name = s.model_name
+UNION ALL SELECT NULL, NULL, NULL, NULL, count(*), 0, NULL, NULL FROM {_TIMED} WHERE model_name IS NULL HAVING count(*) > 0)"""
+_ACTIVATION_COLUMNS = ("model_name", "model_type", "description", "since", "score_count", "duration", "min", "max")
+
+
+@query(f"SELECT * FROM {_ACTIVATIONS}")
+def serving_stats_fresh_model(spark, sf_dir):
+    return activations(spark, sf_dir).select(*_ACTIVATION_COLUMNS)
+
+
+@query(f"SELECT * FROM {_ACTIVATIONS} WHERE model_name = 'fresh'")
+def serving_stats_current_fresh(spark, sf_dir):
+    return current_activation(activations(spark, sf_dir), ["since", "seq"]).select(*_ACTIVATION_COLUMNS)
+
+
+@query("""
+SELECT seq, NOT (coalesce(kind, '') IN ('PMML', 'TENSORFLOW') AND payload IS NOT NULL
+  OR coalesce(kind, '') = 'TENSORFLOWSAVED' AND place IS NOT NULL) AS refused
+FROM (SELECT seq, CASE WHEN seq % 11 = 0 THEN NULL ELSE modelType END AS kind, payload, modelSourceLocation AS place FROM """ + ORDER_DESCRIPTORS_SQL + """)
+""")
+def descriptor_checks_with_nulls(spark, sf_dir):
+    """Descriptors with nulls in any field: what cannot become a model is refused, whatever else is missing."""
+    null = F.lit(None).cast("string")
+    d = order_descriptors(spark, sf_dir)
+    odd = d.withColumns({
+        "modelName": F.when(F.col("seq") % 3 == 0, null).otherwise(F.col("modelName")),
+        "description": F.when(F.col("seq") % 5 == 0, null).otherwise(F.col("description")),
+        "modelType": F.when(F.col("seq") % 11 == 0, null).otherwise(F.col("modelType")),
+    })
+    return check_descriptors(odd, WINE_TYPES).select("seq", F.col("error").isNotNull().alias("refused"))
+
+
+@query("""
+SELECT o_orderkey, CAST((o_custkey % 500) * 0.5 AS DOUBLE) + CAST((o_custkey % 7) AS DOUBLE) * o_totalprice AS score FROM orders
+""")
+def scored_by_many_versions(spark, sf_dir):
+    """Every order scored by its own one of 3,500 linear versions, from a table of coefficients."""
+    models = {f"v{i}-{j}": LinearModel(i * 0.5, (("o_totalprice", float(j)),)) for i in range(500) for j in range(7)}
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.concat(F.lit("v"), (F.col("o_custkey") % 500).cast("string"), F.lit("-"), (F.col("o_custkey") % 7).cast("string")).alias("version")
+    )
+    return score_by_version(orders, "version", models).select("o_orderkey", F.col("score.value").alias("score"))
+
+
 @query("""
 SELECT o_orderkey, CASE WHEN o_orderkey % 100 < 20 THEN 0 WHEN o_orderkey % 100 < 50 THEN 1 ELSE 2 END AS slot FROM orders
 """)
@@ -228,13 +289,25 @@ def bernoulli_pick(spark, sf_dir):
     return orders.where(routing.picked(70, (F.col("o_orderkey") % 100).cast("int"))).select("o_orderkey")
 
 
-@query("SELECT l_returnflag, count(*) AS records, 1 AS whole FROM lineitem GROUP BY l_returnflag")
+_TASK_ROWS = 1_000
+
+
+@query(f"""
+SELECT 'flag' AS kind, l_returnflag AS key, count(*) AS records, true AS fits FROM lineitem GROUP BY l_returnflag
+UNION ALL SELECT 'order', l_orderkey::VARCHAR, count(*), true FROM lineitem GROUP BY l_orderkey
+""")
 def partitioned_records(spark, sf_dir):
-    """Records spread by key and salt; whatever the spread, each key's rows are all there."""
+    """Records spread by key: an ordinary key (an order) is in one partition, a large one (a flag) in no more than it needs."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    spread = routing.partition_by_key(lines, ["l_returnflag"], 8)
-    counts = spread.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("records"))
-    return counts.withColumn("whole", F.lit(1))
+    out = []
+    for kind, key in (("flag", "l_returnflag"), ("order", "l_orderkey")):
+        spread = routing.partition_by_key(lines, [key], 64, _TASK_ROWS).withColumn("part", F.spark_partition_id())
+        facts = spread.groupBy(key).agg(F.count(F.lit(1)).alias("records"), F.countDistinct("part").alias("parts"))
+        fits = F.col("parts") <= F.least(F.lit(64), F.ceil(F.col("records") / _TASK_ROWS))
+        # A large key has to be in several partitions, or the spreading did nothing.
+        spreads = (F.col("records") <= 4 * _TASK_ROWS) | (F.col("parts") > 1)
+        out.append(facts.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), "records", (fits & spreads).alias("fits")))
+    return out[0].unionByName(out[1])
 
 
 @query("SELECT event_id, user_id FROM events ORDER BY ts, event_id LIMIT 100")
