@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontamination, deobfuscation, divergence, pii, ring, secrets, simhash, string_kernel, warc
+from tidemark.llm import bpe, decontamination, deobfuscation, divergence, oracle, pii, ring, secrets, simhash, string_kernel, warc
 from tidemark.llm.common import bucket, documents
 from tidemark.llm.spans import joined, number
 
@@ -93,4 +93,4 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.ORACLE
