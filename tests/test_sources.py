@@ -15,12 +15,13 @@ from tidemark.functions.parse import (
 from tidemark.operators.ordering import numbered
 from tidemark.schemas import AIRLINE_RECORD, WINE_FEATURES, WINE_RECORD, SchemaMismatch, conform
 from tidemark.sources.binary import model_catalogue, read_bytes
-from tidemark.sources.text import MissingInput, read_lines
+from tidemark.sources.text import MissingInput, UNREADABLE, read_lines
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PAIR = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
-WINE_LINE = "7.4;0.7;0;1.9;0.076;11;34;0.9978;3.51;0.56;9.4"
+WINE_LINE = "7.4;0.31;0.2;2.6;0.05;14;40;0.991;3.3;0.61;10.2"
+AIRLINE_TOKENS = "2003,7,14,1,845,840,1010,1005,XY,512,NA,85,86,NA,5,6,ABC,DEF,400,NA,NA,0,NA,0,NA,NA,NA,NA,NA".split(",")
 
 
 @pytest.fixture
@@ -72,7 +73,9 @@ def test_directory_regex_is_a_search(spark, mixed):
     assert read_lines(spark, dirs=[str(mixed)], name_regex="^[ab]").count() == 6
     assert read_lines(spark, dirs=[str(mixed)], name_regex="g[+]h").count() == 5
     assert read_lines(spark, dirs=[str(mixed)]).count() == 20
-    assert read_lines(spark, dirs=[str(mixed)], name_regex="nothing").count() == 0
+    with pytest.raises(MissingInput, match="nothing"):
+        read_lines(spark, dirs=[str(mixed)], name_regex="nothing")
+    assert read_lines(spark, dirs=[str(mixed)], name_regex="nothing", fail_if_missing=False).count() == 0
     one = read_lines(spark, [str(mixed / "a.txt")], dirs=[str(mixed)], name_regex="nothing")
     assert one.count() == 3  # explicit paths win
 
@@ -84,7 +87,9 @@ def test_missing_input_policy(spark, mixed):
     assert bad[0] in str(e.value) and bad[1] in str(e.value) and good not in str(e.value)
     assert read_lines(spark, [bad[0], good], fail_if_missing=False).count() == 3
     assert read_lines(spark, bad, fail_if_missing=False).count() == 0
-    with pytest.raises(MissingInput, match="empty"):
+    with pytest.raises(MissingInput, match="no file"):
+        read_lines(spark, dirs=[str(mixed / "no-folder")])
+    with pytest.raises(MissingInput, match="no paths"):
         from tidemark.sources.text import existing_paths
 
         existing_paths(spark, [])
@@ -92,19 +97,50 @@ def test_missing_input_policy(spark, mixed):
         read_lines(spark)
 
 
+def test_a_folder_among_the_paths(spark, mixed, tmp_path_factory):
+    """A folder's archives are read, every line has the place of its file, and a path listed twice counts twice."""
+    other = tmp_path_factory.mktemp("other")
+    (other / "x.txt").write_text("7,x\n")
+    one = str(other / "x.txt")
+    rows = read_lines(spark, [one, str(mixed), one]).orderBy("file_idx", "line_no").collect()
+    assert len(rows) == 22 and all(r.file_idx is not None for r in rows)
+    assert (rows[0].file_idx, rows[0].value, rows[-1].file_idx, rows[-1].value) == (0, "7,x", 7, "7,x")
+    assert sum(r.file.endswith((".zip", ".bzip2")) for r in rows) == 8
+    folders = read_lines(spark, dirs=[str(mixed), str(other)]).groupBy("file").agg(F.max("file_idx").alias("i")).collect()
+    assert max(folders, key=lambda r: r.i).file.endswith("x.txt")
+
+
+def test_a_corrupt_archive_is_a_bad_line(spark, tmp_path):
+    (tmp_path / "a.zip").write_bytes(b"PK no archive")
+    (tmp_path / "b.bzip2").write_bytes(bz2.compress(b"1,x\n2,y\n" * 50_000)[:-20])
+    (tmp_path / "c.txt").write_text("5,z\n")
+    lines = read_lines(spark, dirs=[str(tmp_path)])
+    assert lines.where(F.col("value").startswith(UNREADABLE)).select("file").distinct().count() == 2
+    good = parse_lines(lines, parse_fields(",", PAIR)).where("error IS NULL")
+    assert good.where("file LIKE '%c.txt'").count() == 1 and good.where("file LIKE '%a.zip'").count() == 0
+
+
+def test_long_digit_runs_are_not_cut(spark):
+    """A code whose digits make no 32-bit number is an error, not another number."""
+    tokens = AIRLINE_TOKENS[:10] + ["N1234567890"] + AIRLINE_TOKENS[11:]
+    df = spark.createDataFrame([(",".join(tokens),)], "value string")
+    row = parse_lines(df, lambda d, text: parse_airline(d, text, text_codes=True)).first()
+    assert row.error is not None and "1234567890" in row.error or row.record.tailNum == 1234567890
+
+
 def test_sequence_over_files_in_order(spark, tmp_path):
-    (tmp_path / "z1").write_text("1,one\n2,two\nbad\n3,three\n")
-    (tmp_path / "a2").write_text("4,four\n5,five\n6,six\n")
+    (tmp_path / "z1").write_text("10,ash\n20,birch\nbad\n30,cedar\n")
+    (tmp_path / "a2").write_text("40,elm\n50,fir\n60,oak\n")
     lines = read_lines(spark, [str(tmp_path / "z1"), str(tmp_path / "a2")])
     good = parse_lines(lines, parse_fields(",", PAIR)).where("error IS NULL")
     got = numbered(good, ["file_idx", "line_no"], target_rows=2).orderBy("seq").collect()
     assert [(r.seq, r.record.id, r.record.name) for r in got] == [
-        (1, 1, "one"), (2, 2, "two"), (3, 3, "three"), (4, 4, "four"), (5, 5, "five"), (6, 6, "six"),
+        (1, 10, "ash"), (2, 20, "birch"), (3, 30, "cedar"), (4, 40, "elm"), (5, 50, "fir"), (6, 60, "oak"),
     ]
 
 
 def test_bad_records_are_set_aside_with_their_place(spark, tmp_path):
-    texts = ["1,", "two", "3three", "four,4", ",five"]
+    texts = ["17,", "north", "8east", "west,9", ",south"]
     (tmp_path / "bad.csv").write_text("\n".join(texts) + "\n")
     path = str(tmp_path / "bad.csv")
     parsed = parse_lines(read_lines(spark, [path]), parse_fields(",", PAIR))
@@ -114,7 +150,7 @@ def test_bad_records_are_set_aside_with_their_place(spark, tmp_path):
     ]
     with pytest.raises(AllRecordsAreBad, match="bad.csv"):
         require_good(parsed, [path])
-    ok = parse_lines(read_lines(spark, [path]).withColumn("value", F.regexp_replace("value", "two", "2,two")), parse_fields(",", PAIR))
+    ok = parse_lines(read_lines(spark, [path]).withColumn("value", F.regexp_replace("value", "north", "2,north")), parse_fields(",", PAIR))
     assert require_good(ok, [path]) == (1, 4)
     seen = Observation("quality")
     assert len(watch_quality(ok, seen).collect()) == 5 and seen.get == {"good": 1, "bad": 4}
@@ -142,16 +178,16 @@ def test_wine_lines(spark):
 
 
 def test_airline_lines(spark):
-    good = "1990,1,3,3,1707,1630,1755,1723,US,29,NA,48,53,NA,32,37,CMH,IND,182,NA,NA,0,NA,0,NA,NA,NA,NA,NA"
-    lines = [good, good + ",extra", ",".join(good.split(",")[:28]), good.replace(",29,NA,", ",29,N123,"),
-             good.replace("1707", "17.5"), good.replace("1707", " 1707 "), good.replace("US", "NA"), good.replace("1707", "99999999999")]
+    good = ",".join(AIRLINE_TOKENS)
+    lines = [good, good + ",extra", ",".join(good.split(",")[:28]), good.replace(",512,NA,", ",512,N123,"),
+             good.replace("845", "17.5"), good.replace("845", " 845 "), good.replace("XY", "NA"), good.replace("845", "99999999999")]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, value string")
     rows = parse_lines(df, parse_airline).orderBy("i").collect()
     assert [r.i for r in rows if r.error is None] == [0, 1, 5, 6]
     assert rows[2].error == "ERROR: record does not have 29 fields."
     assert rows[3].error == f'ERROR: Failed to parse string {lines[3]}. cause: java.lang.NumberFormatException: For input string: "N123"'
     assert rows[4].error.endswith('For input string: "17.5"') and rows[7].error.endswith('"99999999999"')
-    assert (rows[0].record.year, rows[0].record.tailNum, rows[0].record.origin, rows[0].record.lateAircraftDelay) == (1990, 0, "CMH", 0)
+    assert (rows[0].record.year, rows[0].record.tailNum, rows[0].record.origin, rows[0].record.lateAircraftDelay) == (2003, 0, "ABC", 0)
     assert rows[6].record.uniqueCarrier == "0"
     assert conform(good_records(parse_lines(df, parse_airline)), AIRLINE_RECORD).count() == 4
     loose = parse_airline(df, text_codes=True).orderBy("i").collect()

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import bz2
 import io
+import logging
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -15,9 +17,15 @@ from tidemark.session import broadcast_if_small, settle
 
 _ARCHIVES = r"\.(zip|bzip2)$"
 _BATCH_LINES = 20_000
+
+# Begins the line that stands for the rest of a corrupt archive.
+UNREADABLE = "\x00unreadable archive: "
 _LINES = "file string, at bigint, value string"
 
 
+_log = logging.getLogger(__name__)
+
+
 class MissingInput(ValueError):
     """Some of the requested files are not there, or none were requested."""
 
@@ -26,14 +34,16 @@ def existing_paths(spark: SparkSession, paths: Sequence[str], fail_if_missing: b
     """Check every requested path; report all missing ones at once, or go on with those present."""
     if not paths:
         if fail_if_missing:
-            raise MissingInput("Failed to load resources: list is empty! Check the specification of the paths.")
+            raise MissingInput("no paths were given to read from")
         return []
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     present = {p: hadoop_path(p).getFileSystem(conf).exists(hadoop_path(p)) for p in dict.fromkeys(paths)}
     missing = [p for p in paths if not present[p]]
     if missing and fail_if_missing:
-        raise MissingInput(f"Failed to load resources: [{', '.join(missing)}]. Do the paths exist?")
+        raise MissingInput(f"not there: {', '.join(missing)}")
+    for path in missing:
+        _log.warning("not there, left out: %s", path)
     return [p for p in paths if present[p]]
 
 
@@ -83,11 +93,15 @@ def _archive_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         for name, content in zip(batch.column(0), batch.column(1)):
             lines, start = [], 0
-            for line in _unpack(name.as_py(), content.as_py()):
-                lines.append(line)
-                if len(lines) == _BATCH_LINES:
-                    yield out(name.as_py(), start, lines)
-                    start, lines = start + len(lines), []
+            try:
+                for line in _unpack(name.as_py(), content.as_py()):
+                    lines.append(line)
+                    if len(lines) == _BATCH_LINES:
+                        yield out(name.as_py(), start, lines)
+                        start, lines = start + len(lines), []
+            except (zipfile.BadZipFile, zlib.error, OSError, EOFError, NotImplementedError, RuntimeError) as e:
+                # What could be read stays; the fault itself is a line that no parser takes for a record.
+                lines.append(f"{UNREADABLE}{e}")
             if lines:
                 yield out(name.as_py(), start, lines)
 
@@ -158,19 +172,25 @@ def read_lines(
 ) -> DataFrame:
     """Lines as (file, file_idx, line_no, value); line_no starts at 0 after the `drop_first` lines of each file.
 
-    Explicit paths win over directories; `name_regex` selects files of directories by a search in their names.
-    file_idx is the place of the file in the listed order, or in path order for directories.
+    Explicit paths win over directories; `name_regex` selects files of directories by a search in their names. A path
+    may be a folder too: then all its files are read. file_idx is the place of the file in the listed order, within a
+    folder in path order; a path listed twice gives its lines twice. Missing folders are left out with a warning; if
+    nothing at all is found, that is an error unless `fail_if_missing` is off. A corrupt archive gives the lines that
+    can be read and one more that begins with UNREADABLE.
     """
-    listed = bool(paths)
-    if listed:
-        found = existing_paths(spark, paths, fail_if_missing)
-        plain = [_literal(p) for p in found if not p.endswith((".zip", ".bzip2"))]
-        packed = [_literal(p) for p in found if p.endswith((".zip", ".bzip2"))]
-        name_regex = ""
+    if paths:
+        found, name_regex = existing_paths(spark, paths, fail_if_missing), ""
     elif dirs:
-        plain = packed = existing_paths(spark, dirs, False)
+        found = existing_paths(spark, dirs, False)
     else:
         raise MissingInput("Neither paths nor directories were given.")
+    files = list(dict.fromkeys(found))
+    folders = {p for p in files if _is_folder(spark, p)}
+    # Folders may hold both kinds; each scan leaves out what the other reads.
+    plain = [_literal(p) for p in files if p in folders or not p.endswith((".zip", ".bzip2"))]
+    packed = [_literal(p) for p in files if p in folders or p.endswith((".zip", ".bzip2"))]
+    if fail_if_missing and not _any_file(spark, files, name_regex):
+        raise MissingInput(f"no file found in {', '.join(paths or dirs)}" + (f" for the pattern {name_regex}" if name_regex else ""))
     parts = []
     if plain:
         parts.append(_plain_lines(spark, plain, name_regex))
@@ -180,12 +200,16 @@ def read_lines(
         return spark.createDataFrame([], "file string, file_idx int, line_no bigint, value string")
     lines = reduce(DataFrame.unionByName, [part for part, _ in parts])
     lines = lines.where(F.col("at") >= drop_first).withColumn("line_no", F.col("at") - drop_first)
-    if listed:
-        order = _places(spark, found)
-    else:
-        # One row per file, from the split counts and the archive listing rather than the lines.
-        names = reduce(DataFrame.unionByName, [files for _, files in parts])
-        order = settle(names.select("file", (F.row_number().over(Window.orderBy("file")) - 1).alias("file_idx")))
+    # One row per file, from the split counts and the archive listing rather than the lines. The driver's file listing
+    # holds as many, so numbering them in one task is no further bound.
+    names = reduce(DataFrame.unionByName, [own for _, own in parts]).distinct()
+    ancestors = F.transform(F.sequence(F.lit(1), F.size("_steps")), lambda i: F.array_join(F.slice("_steps", F.lit(1), i), "/"))
+    places = spark.createDataFrame([(qualified(spark, p).rstrip("/"), i) for i, p in enumerate(found)], "_place string, _at int")
+    placed = (
+        names.withColumn("_steps", F.split("file", "/")).select("file", F.explode(ancestors).alias("_place"))
+        .join(F.broadcast(places), "_place").select("file", "_at")
+    )
+    order = settle(placed.select("file", (F.row_number().over(Window.orderBy("_at", "file")) - 1).alias("file_idx")))
     order = broadcast_if_small(order.withColumnRenamed("file", "_named"))
     return lines.join(order, F.col("file") == F.col("_named"), "left").select("file", "file_idx", "line_no", "value")
 
@@ -196,8 +220,14 @@ def qualified(spark: SparkSession, path: str) -> str:
     return here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(here).toString()
 
 
-def _places(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    rows: dict[str, int] = {}
-    for i, p in enumerate(paths):
-        rows.setdefault(qualified(spark, p), i)
-    return spark.createDataFrame(list(rows.items()), "file string, file_idx int")
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    here = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(here).isDirectory()
+
+
+def _any_file(spark: SparkSession, paths: Sequence[str], regex: str) -> bool:
+    """Whether there is any file, empty ones included; only the listing is read."""
+    if not paths:
+        return False
+    listing = spark.read.format("binaryFile").load([_literal(p) for p in paths]).select("path")
+    return not (listing.where(_name().rlike(regex)) if regex.strip() else listing).isEmpty()
