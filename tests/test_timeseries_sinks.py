@@ -156,3 +156,10 @@ def test_text_output(spark, tmp_path):
     assert console_lines(df, "Wine Quality: ").first().value == 'Wine Quality: {"a":1,"b":"x"}'
     write_text(df, "P ", str(tmp_path / "out"))
     assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ['P {"a":1,"b":"x"}']
+
+
+def test_line_breaks_and_names_in_points(spark):
+    df = spark.createDataFrame([("a\nb", "x\r\ny", 1.5)], "t string, s string, v double").withColumn("ts", F.timestamp_millis(F.lit(5)))
+    spec = PointSpec("m\n1", {"a field": "v", "te,xt": "s"}, {"the=tag": "t"})
+    (row,) = line_protocol(df, spec, "ts").collect()
+    assert row.line == 'm\\n1,the\\=tag=a\\nb a\\ field=1.5,te\\,xt="x\\ny" 5'

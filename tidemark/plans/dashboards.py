@@ -13,7 +13,8 @@ from tidemark.plans.common import EVENT_MODELS_SQL, event_models, signup_version
 from tidemark.plans.serving import assigned_events
 from tidemark.session import prepare, shared_dir
 from tidemark.sinks.points import (
-    WINE_PREFIX, PointSpec, line_protocol, points, read_points, write_points, write_text,
+    WINE_PREFIX, PointSpec, each_batch, line_protocol, points, read_points, write_points,
+    write_text,
 )
 from tidemark.streaming import serving
 
@@ -213,26 +214,77 @@ def stream_two_inputs(spark, sf_dir):
 
 
 @query(f"""
-SELECT event_type, bucket, n, total FROM (SELECT event_type, epoch_us(ts) // {24 * HOUR} * {24 * HOUR} AS bucket, count(*) AS n,
-  round(sum(value), 3) AS total FROM events GROUP BY 1, 2)
-WHERE bucket + {24 * HOUR} <= (SELECT epoch_us(max(ts)) FROM events) - {HOUR}
+SELECT event_type, epoch_us(ts) // {24 * HOUR} * {24 * HOUR} AS bucket, count(*) AS n, round(sum(value), 3) AS total FROM events GROUP BY 1, 2
 """)
 def stream_bucket_counts(spark, sf_dir):
-    """Daily counts on a stream; days still open at the end of the data do not come out."""
+    """Daily counts on a stream, days still open at its end included."""
     work = shared_dir(spark, "stream")
     measures = {"n": F.count(F.lit(1)), "total": F.sum("value")}
     counts = serving.bucket_counts(_event_stream(spark, sf_dir), "ts", "1 day", "1 hour", measures, ["event_type"])
-    serving.append_to(counts, f"{work}/out", f"{work}/checkpoint").awaitTermination()
-    written = prepare(spark).read.parquet(f"{work}/out")
+    serving.keep_latest(counts, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    written = serving.latest(prepare(spark), f"{work}/out", ["event_type", "bucket"])
     return written.select("event_type", "bucket", "n", F.round("total", 3).alias("total"))
 
 
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def stream_user_sink(spark, sf_dir):
+    """A user's own write function as the output of a stream."""
+    work = shared_dir(spark, "stream")
+
+    def write(batch):
+        batch.groupBy("event_type").count().write.mode("append").parquet(f"{work}/out")
+
+    stream = _event_stream(spark, sf_dir)
+    stream.writeStream.foreachBatch(each_batch(write)).option("checkpointLocation", f"{work}/checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.parquet(f"{work}/out").groupBy("event_type").agg(F.sum("count").alias("n"))
+
+
+def _event_files(spark, sf_dir, folder, parts, of):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value", "event_type")
+    for part in parts:
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(of)) == part).coalesce(1).write.mode("append").parquet(folder)
+    return events.schema
+
+
+@query(f"SELECT e.event_id, v.model_name, v.intercept + v.slope * e.value AS score FROM events e ASOF LEFT JOIN {EVENT_MODELS_SQL} ON e.ts >= v.valid_from")
+def stream_restart(spark, sf_dir):
+    """A stream that ends, gets more input and starts again scores every event once, with the numbers of its version."""
+    work = shared_dir(spark, "stream")
+    for part in (0, 1):
+        schema = _event_files(spark, sf_dir, f"{work}/in", [part], 2)
+        serving.serve(
+            serving.file_stream(spark, f"{work}/in", schema), lambda s: registry.usable_versions(event_models(s), WINE_TYPES),
+            lambda df: df.select(
+                "event_id", F.col("model.modelName").alias("model_name"),
+                (F.col("model.intercept") + F.col("model.slope") * F.col("value")).alias("score"),
+            ),
+            f"{work}/out", f"{work}/checkpoint", on="ts", seq="seq",
+        ).awaitTermination()
+    return serving.served(spark, f"{work}/out")
+
+
+@query("SELECT event_type, count(*) AS n, true AS paced FROM events GROUP BY event_type")
+def stream_paced(spark, sf_dir):
+    """One file per batch: as many batches as files."""
+    work = shared_dir(spark, "stream")
+    schema = _event_files(spark, sf_dir, f"{work}/in", range(3), 3)
+    stream = serving.file_stream(spark, f"{work}/in", schema, files_per_trigger=1)
+    serving.fan_out_stream(
+        stream, [lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{work}/out/batch_id={batch_id}")], f"{work}/checkpoint"
+    ).awaitTermination()
+    written = spark.read.parquet(f"{work}/out")
+    paced = written.select("batch_id").distinct().agg((F.count(F.lit(1)) == 3).alias("paced"))
+    return written.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(paced))
+
+
 @query("SELECT DISTINCT event_id, user_id FROM events")
 def stream_dedupe(spark, sf_dir):
     """Events delivered twice come out once."""
     work = shared_dir(spark, "stream")
     twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
-    once = serving.without_duplicates(twice.select("event_id", "user_id", "ts"), ["event_id"], "ts", "60 days")
+    once = serving.without_duplicates(twice.select("event_id", "user_id", "ts"), ["event_id"], "ts", "1 hour")
     serving.append_to(once.select("event_id", "user_id"), f"{work}/out", f"{work}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{work}/out")
 

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
 
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from tidemark.functions.envelope import double_result, envelope, failed, label_result, metadata, now_ms, succeeded
 from tidemark.functions.features import feature_vector, model_fields, text_features
 from tidemark.functions.parse import (
-    bad_records, good_records, parse_airline, parse_lines, parse_wine, quality_counts,
+    bad_records, good_records, parse_airline, parse_fields, parse_lines, parse_wine, quality_counts,
 )
 from tidemark.operators.ordering import numbered
 from tidemark.plans.common import table
-from tidemark.schemas import AIRLINE_RECORD, WINE_FEATURES, WINE_RECORD, conform
+from tidemark.schemas import AIRLINE_RECORD, AIRLINE_RESULT, WINE_FEATURES, WINE_RECORD, conform
+from tidemark.scoring.models import LinearModel
+from tidemark.scoring.score import missing_error, with_score
+from tidemark.scoring.tables import parse_boosted
 from tidemark.session import shared_dir, spread
+from tidemark.sinks.points import AIRLINE_RESULT_POINT, points
 from tidemark.sources.binary import read_bytes
 from tidemark.sources.text import read_lines
 
@@ -131,6 +138,79 @@ def parse_na_to_zero(spark, sf_dir):
     )
 
 
+_DELAYS = {
+    "init": -0.25, "labels": ["NO", "YES"], "threshold": 0.5,
+    "trees": [
+        {"field": "uniqueCarrier", "in": ["A", "0"], "left": {"leaf": 0.5}, "right": {"leaf": -0.5}},
+        {"field": "arrDelay", "below": 0, "left": {"leaf": -1.0}, "right": {"field": "month", "below": 6, "left": {"leaf": 0.25}, "right": {"leaf": 1.5}}},
+    ],
+}
+_DELAY_ROWS = f"""(SELECT {_KEYS}, 1 / (1 + exp(-(-0.25 + CASE WHEN l_returnflag IN ('A', 'N') THEN 0.5 ELSE -0.5 END
+  + CASE WHEN l_linenumber - 4 < 0 THEN -1.0 WHEN l_linenumber < 6 THEN 0.25 ELSE 1.5 END))) AS p
+  FROM lineitem WHERE l_orderkey % 13 <> 0 AND l_orderkey % 11 <> 0)"""
+
+
+def delay_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From flight lines to (label, probability) results in their envelope."""
+    flights = spread(table(spark, sf_dir, "lineitem")).select(*_KEY, F.expr(_FLIGHT_LINE).alias("value"))
+    records = good_records(parse_lines(flights, parse_airline), keep=tuple(_KEY))
+    model = parse_boosted(json.dumps(_DELAYS))
+    scored = with_score(records.withColumn("_start", now_ms()), model)
+    meta = metadata(missing_error(F.col("score.value"), model.fields), F.lit("H2O"), F.lit("delays"), F.col("_start"))
+    names = [f.name for f in AIRLINE_RECORD.fields]
+    results = envelope(scored, names, label_result(F.col("score.label"), F.col("score.value")), meta, tuple(_KEY))
+    conform(results, AIRLINE_RESULT)
+    return results
+
+
+@query(f"SELECT {_KEYS}, CASE WHEN p >= 0.5 THEN 'YES' ELSE 'NO' END AS label, round(p, 6) AS probability, '' AS errors, true AS started FROM {_DELAY_ROWS}")
+def airline_delay_results(spark, sf_dir):
+    return delay_results(spark, sf_dir).select(
+        *_KEY, F.col("modelResult.label").alias("label"), F.round("modelResult.probability", 6).alias("probability"),
+        F.col("modelResultMetadata.errors").alias("errors"), (F.col("modelResultMetadata.startTime") > 0).alias("started"),
+    )
+
+
+@query(f"""
+SELECT CASE WHEN p >= 0.5 THEN 'YES' ELSE 'NO' END AS label, count(*) AS n, round(sum(p), 4) AS total FROM {_DELAY_ROWS} GROUP BY 1
+""")
+def airline_delay_points(spark, sf_dir):
+    """The results as points of the airline application."""
+    timed = delay_results(spark, sf_dir).withColumn("at", F.timestamp_millis("modelResultMetadata.startTime"))
+    made = points(timed, AIRLINE_RESULT_POINT, "at").where("measurement = 'airline_flight_result'")
+    return made.groupBy(F.col("texts")["prediction_label"].alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("fields")["delay_probability"]), 4).alias("total")
+    )
+
+
+@query("""
+SELECT o_orderkey, o_orderkey % 4 <> 1 AND o_orderkey % 4 <> 2 AS good, CASE WHEN o_orderkey % 4 NOT IN (1, 2) THEN o_orderpriority END AS priority,
+  CASE WHEN o_orderkey % 4 NOT IN (1, 2) THEN o_totalprice END AS price FROM orders
+""")
+def parse_user_fields(spark, sf_dir):
+    """A user's own record type, read from lines of which some lack a field and some have a word for a number."""
+    line = F.expr(
+        "CASE o_orderkey % 4 WHEN 1 THEN concat_ws('|', o_orderkey, o_orderpriority) "
+        "WHEN 2 THEN concat_ws('|', o_orderkey, o_orderpriority, 'much') ELSE concat_ws('|', o_orderkey, o_orderpriority, o_totalprice) END"
+    )
+    kind = T.StructType([T.StructField("id", T.LongType()), T.StructField("priority", T.StringType()), T.StructField("price", T.DoubleType())])
+    parsed = parse_lines(table(spark, sf_dir, "orders").select("o_orderkey", line.alias("value")), parse_fields("|", kind))
+    return parsed.select("o_orderkey", F.col("error").isNull().alias("good"), F.col("record.priority").alias("priority"), F.col("record.price").alias("price"))
+
+
+@query("SELECT l_returnflag AS flag, count(*) FILTER (l_tax <> 0) AS ok, count(*) FILTER (l_tax = 0) AS bad FROM lineitem GROUP BY l_returnflag")
+def results_by_success(spark, sf_dir):
+    """Results split by whether their metadata holds an error."""
+    model = LinearModel(0.0, (("l_tax", 1.0),), "inverse")
+    scored = with_score(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_tax"), model)
+    results = envelope(scored, ["l_tax"], double_result(F.col("score.value")), metadata(missing_error(F.col("score.value"), model.fields)), ("l_returnflag",))
+    ok = succeeded(results).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("ok"))
+    bad = failed(results).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("bad"))
+    return ok.join(bad, "l_returnflag", "full").select(
+        F.col("l_returnflag").alias("flag"), F.coalesce("ok", F.lit(0)).alias("ok"), F.coalesce("bad", F.lit(0)).alias("bad")
+    )
+
+
 def _write_in_order(lines: DataFrame, folder: str, compression: str = "none") -> str:
     """Text files whose names and lines follow the key order; files are cut by range, as many as the size asks for."""
     ordered = lines.repartitionByRange(*_KEY).sortWithinPartitions(*_KEY)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -90,7 +91,14 @@ def point_error() -> Column:
 
 
 def _escaped(value: Column, marks: str) -> Column:
-    return F.regexp_replace(value, f"([{marks}])", r"\\$1")
+    """Marks get a backslash before them; a line break becomes its two-character name, since a point is one line."""
+    return F.regexp_replace(F.regexp_replace(value, f"([{marks}])", r"\\$1"), r"\r\n|\r|\n", r"\\n")
+
+
+def _name(text: str, marks: str = ",= ") -> str:
+    for mark in marks:
+        text = text.replace(mark, f"\\{mark}")
+    return re.sub(r"\r\n|\r|\n", r"\\n", text)
 
 
 def line_protocol(df: DataFrame, spec: PointSpec, time: str) -> DataFrame:
@@ -99,7 +107,7 @@ def line_protocol(df: DataFrame, spec: PointSpec, time: str) -> DataFrame:
     tags = []
     for name, sql in sorted(spec.tags.items()):
         value = F.nullif(F.expr(sql).cast("string"), F.lit(""))
-        tags.append(F.when(value.isNotNull(), F.concat(F.lit(f",{name}="), _escaped(value, ",= "))))
+        tags.append(F.when(value.isNotNull(), F.concat(F.lit(f",{_name(name)}="), _escaped(value, ",= "))))
     fields = []
     for name, sql in spec.fields.items():
         value = F.expr(sql)
@@ -110,9 +118,9 @@ def line_protocol(df: DataFrame, spec: PointSpec, time: str) -> DataFrame:
         else:
             # Not-a-number and infinity cannot be stored.
             shown = F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value.cast("string"))
-        fields.append(F.concat(F.lit(f"{name}="), shown))
+        fields.append(F.concat(F.lit(f"{_name(name)}="), shown))
     body = F.nullif(F.concat_ws(",", *fields), F.lit(""))
-    head = F.concat_ws("", F.lit(spec.measurement.replace(",", "\\,").replace(" ", "\\ ")), *tags)
+    head = F.concat_ws("", F.lit(_name(spec.measurement, ", ")), *tags)
     return df.select(
         F.concat(head, F.lit(" "), body, F.lit(" "), _millis(time).cast("string")).alias("line")
     )
@@ -138,7 +146,8 @@ def write_points(
         F.to_date(F.timestamp_millis("time")).alias("day"),
     )
     try:
-        laid.write.mode("overwrite").partitionBy("status", "day").parquet(path)
+        # Days come together, a large one in as many files as its size asks for, not one file per task and day.
+        laid.hint("rebalance", "status", "day").write.mode("overwrite").partitionBy("status", "day").parquet(path)
         return path
     except Exception as e:
         (on_failure or (lambda x: log.error("Failed to write points to %s: %s", path, x)))(e)

@@ -25,8 +25,8 @@ def file_stream(
     return reader.load(path)
 
 
-def _start(df: DataFrame, checkpoint: str, every: str | None, write) -> StreamingQuery:
-    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+def _start(df: DataFrame, checkpoint: str, every: str | None, write, mode: str = "append") -> StreamingQuery:
+    writer = df.writeStream.option("checkpointLocation", checkpoint).outputMode(mode).foreachBatch(write)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
@@ -98,6 +98,23 @@ def bucket_counts(stream: DataFrame, time: str, width: str, delay: str, measures
     return grouped.select(*tags, F.unix_micros("window.start").alias("bucket"), *measures)
 
 
+def keep_latest(stream: DataFrame, folder: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Write what changed in every batch, buckets still open included; `latest` reads the last state of each key."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+
+    return _start(stream, checkpoint, every, write, "update")
+
+
+def latest(spark: SparkSession, folder: str, keys: Sequence[str]) -> DataFrame:
+    """The last written row of every key."""
+    rows = spark.read.option("basePath", folder).parquet(f"{folder}/batch_id=*")
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id").cast("bigint")).alias("_v"))
+    return newest.select(*keys, "_v.*")
+
+
 def append_to(stream: DataFrame, folder: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append a stream to a Parquet folder; the file sink's own log makes each batch count once."""
     writer = stream.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint)
