@@ -9,7 +9,7 @@ from tidemark.functions.descriptors import (
 )
 from tidemark.operators import registry, routing
 from tidemark.operators.asof import assign_models
-from tidemark.operators.stats import current_stats, every_nth, running_stats, serving_stats
+from tidemark.operators.stats import activation_stats, current_activation, current_stats, every_nth, running_stats, serving_stats
 from tidemark.schemas import MODEL_DESCRIPTOR
 from tidemark.scoring.score import load_model
 from tidemark.streaming import serving
@@ -211,3 +211,41 @@ def test_stream_buckets_and_duplicates(spark, tmp_path):
     taken = []
     serving.fan_out_stream(stream(), [lambda df, i: taken.append(df.count()), lambda df, i: taken.append(df.where("id < 10").count())], p("cp3")).awaitTermination()
     assert taken == [150, 10]
+
+
+def test_map_columns_do_not_matter_to_the_form(spark):
+    """As-of joins and spreading by key take records with maps, whatever the sizes."""
+    records = spark.sql("SELECT id, timestamp_micros(id * 1000000) AS ts, id % 2 AS k, map('a', id, 'b', 0L) AS m, array(map('x', id)) AS deep FROM range(40)")
+    versions = spark.sql("SELECT timestamp_micros(id * 10000000) AS valid_from, id % 2 AS k, id AS v FROM range(4)")
+    forms = [assign_models(records, versions, on="ts", by=["k"], few=few) for few in (500, 2)]
+    forms.append(assign_models(records, versions, on="ts", by=["k"], form="broadcast", few=2))
+    got = [sorted((r.id, r.model and r.model.v, str(r.m)) for r in df.collect()) for df in forms]
+    assert got[0] == got[1] == got[2]
+    spread = routing.partition_by_key(records, ["k"], 4, rows_per_task=5)
+    assert sorted(r.id for r in spread.collect()) == list(range(40))
+
+
+def test_statistics_of_an_activation_without_records(spark):
+    versions = spark.createDataFrame([("a", 0, 1), ("b", 100, 2)], "version string, at long, seq int")
+    scored = spark.createDataFrame([("a", 5), ("a", 7), (None, 3)], "version string, took long")
+    stats = {r.version: r for r in activation_stats(versions, scored, ["version"], "took", "at").collect()}
+    assert (stats["a"].score_count, stats["a"].duration, stats["a"].min, stats["a"].max, stats["a"].since) == (2, 12, 5, 7, 0)
+    assert (stats["b"].score_count, stats["b"].duration, stats["b"].min, stats["b"].since) == (0, 0, None, 100)
+    assert (stats[None].score_count, stats[None].duration, stats[None].since) == (1, 0, None)
+    assert current_activation(activation_stats(versions, scored, ["version"], "took", "at")).first().version == "b"
+
+
+def test_shared_folder(spark, tmp_path):
+    from tidemark import session
+
+    before = spark.sparkContext._jsc.sc().getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "set"))
+    try:
+        path = session.shared_dir(spark, "x")
+        assert "/set/" in path and path.startswith(session.shared_base(spark))
+        spark.range(3).write.parquet(path)
+        session.remove_dir(path)
+        assert not list((tmp_path / "set").glob("*/x-*"))
+    finally:
+        if before.isDefined():
+            spark.sparkContext.setCheckpointDir(before.get())

@@ -25,6 +25,7 @@ from tidemark.scoring.tables import parse_boosted, parse_network
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# The ten records that the golden scores below belong to.
 WINE_LINES = """7.4;0.7;0;1.9;0.076;11;34;0.9978;3.51;0.56;9.4;5
 7.8;0.88;0;2.6;0.098;25;67;0.9968;3.2;0.68;9.8;5
 7.8;0.76;0.04;2.3;0.092;15;54;0.997;3.26;0.65;9.8;5
@@ -36,7 +37,7 @@ WINE_LINES = """7.4;0.7;0;1.9;0.076;11;34;0.9978;3.51;0.56;9.4;5
 7.8;0.58;0.02;2;0.073;9;18;0.9968;3.36;0.57;9.5;7
 7.5;0.5;0.36;6.1;0.071;17;102;0.9978;3.35;0.8;10.5;5""".split("\n")
 
-# Golden scores of seven public wine models: the all-zero record, then the ten records above.
+# Golden scores of seven public wine models: the all-zero record, then the ten records above.
 GOLDEN = {
     "DecisionTreeClassification": [5, 5, 5, 5, 5, 5, 5, 5, 5, 5, 5],
     "DecisionTreeRegression": [5.073059361, 5.073059361, 5.180124224, 5.180124224, 5.558823529, 5.073059361,
@@ -80,6 +81,113 @@ def test_golden_wine_scores(spark):
         assert r.score.probabilities == pytest.approx(r.batch.probabilities)
 
 
+def _split_tree(rng, depth, classes):
+    """A random tree as nested tuples: (field, bound, low side, high side) or leaf counts."""
+    if not depth:
+        return [rng.randint(0, 20) + (i == 0) for i in range(len(classes))]
+    return (rng.choice(WINE_FEATURES), round(rng.uniform(0, 10), 3), _split_tree(rng, depth - 1, classes), _split_tree(rng, depth - 1, classes))
+
+
+def _tree_xml(tree, test, classes):
+    if isinstance(tree, list):
+        shares = "".join(f'<ScoreDistribution value="{c}" recordCount="{n}"/>' for c, n in zip(classes, tree))
+        return f'<Node score="{classes[tree.index(max(tree))]}">{test}{shares}</Node>'
+    name, bound, low, high = tree
+    field = name.replace("_", " ")
+    sides = [(low, "lessOrEqual"), (high, "greaterThan")]
+    inner = "".join(_tree_xml(t, f'<SimplePredicate field="{field}" operator="{op}" value="{bound}"/>', classes) for t, op in sides)
+    return f'<Node score="{classes[0]}">{test}{inner}</Node>'
+
+
+def _tree_shares(tree, row):
+    while not isinstance(tree, list):
+        name, bound, low, high = tree
+        tree = low if row[name] <= bound else high
+    return [n / sum(tree) for n in tree]
+
+
+def _document(body, classes):
+    values = "".join(f'<Value value="{c}"/>' for c in classes)
+    fields = "".join(f'<DataField name="{n.replace("_", " ")}" optype="continuous" dataType="double"/>' for n in WINE_FEATURES)
+    return (f'<PMML version="4.3"><DataDictionary><DataField name="grade" optype="categorical" dataType="string">{values}</DataField>{fields}'
+            f"</DataDictionary>{body}</PMML>")
+
+
+_SCHEMA = '<MiningSchema><MiningField name="grade" usageType="target"/>' + "".join(
+    f'<MiningField name="{n.replace("_", " ")}"/>' for n in WINE_FEATURES) + "</MiningSchema>"
+
+
+def test_models_of_real_size_against_loops(spark):
+    """A six-class tree of depth 5, ten such trees averaged, and an 11-10-20-6 network, all from PMML documents."""
+    rng, classes = random.Random(11), ["5", "6", "7", "4", "8", "3"]
+    rows = [{n: round(rng.uniform(0, 10), 2) for n in WINE_FEATURES} | {"i": i} for i in range(60)]
+    df = spark.createDataFrame(rows)
+    trees = [_split_tree(rng, 5, classes) for _ in range(10)]
+    xml = [f'<TreeModel functionName="classification">{_SCHEMA}{_tree_xml(t, "<True/>", classes)}</TreeModel>' for t in trees]
+    forest = "".join(f'<Segment id="{i}"><True/>{x}</Segment>' for i, x in enumerate(xml))
+    forest = f'<MiningModel functionName="classification">{_SCHEMA}<Segmentation multipleModelMethod="average">{forest}</Segmentation></MiningModel>'
+    sizes = [11, 10, 20, 6]
+    weights = [[[round(rng.uniform(-1, 1), 3) for _ in range(a)] for _ in range(b)] for a, b in zip(sizes, sizes[1:])]
+    biases = [[round(rng.uniform(-1, 1), 3) for _ in range(b)] for b in sizes[1:]]
+    inputs = "".join(f'<NeuralInput id="0,{i}"><DerivedField optype="continuous" dataType="double"><FieldRef field="{n.replace("_", " ")}"/></DerivedField></NeuralInput>'
+                     for i, n in enumerate(WINE_FEATURES))
+    layers = ""
+    for d, (w, b) in enumerate(zip(weights, biases), start=1):
+        neurons = "".join(f'<Neuron id="{d},{i}" bias="{b[i]}">' + "".join(f'<Con from="{d - 1},{j}" weight="{x}"/>' for j, x in enumerate(row)) + "</Neuron>"
+                          for i, row in enumerate(w))
+        last = ' activationFunction="identity" normalizationMethod="softmax"' if d == 3 else ""
+        layers += f"<NeuralLayer{last}>{neurons}</NeuralLayer>"
+    outputs = "".join(f'<NeuralOutput outputNeuron="3,{i}"><DerivedField optype="categorical" dataType="string"><NormDiscrete field="grade" value="{c}"/></DerivedField></NeuralOutput>'
+                      for i, c in enumerate(classes))
+    net = (f'<NeuralNetwork functionName="classification" activationFunction="logistic">{_SCHEMA}<NeuralInputs>{inputs}</NeuralInputs>{layers}'
+           f"<NeuralOutputs>{outputs}</NeuralOutputs></NeuralNetwork>")
+    models = {"tree": parse_pmml(_document(xml[0], classes)), "forest": parse_pmml(_document(forest, classes)), "net": parse_pmml(_document(net, classes))}
+
+    def expected(kind, row):
+        if kind == "tree":
+            return _tree_shares(trees[0], row)
+        if kind == "forest":
+            each = [_tree_shares(t, row) for t in trees]
+            return [sum(s) / len(each) for s in zip(*each)]
+        values = [row[n] for n in WINE_FEATURES]
+        for d, (w, b) in enumerate(zip(weights, biases)):
+            values = [x + sum(a * v for a, v in zip(ws, values)) for ws, x in zip(w, b)]
+            values = [1 / (1 + math.exp(-v)) for v in values] if d < 2 else values
+        top = max(values)
+        powers = [math.exp(v - top) for v in values]
+        return [p / sum(powers) for p in powers]
+
+    for kind, model in models.items():
+        for r in with_score(df, model).collect():
+            want = expected(kind, rows[r.i])
+            assert r.score.probabilities == pytest.approx(want), kind
+            assert r.score.label == classes[max(range(6), key=lambda c: (round(want[c], 12), -c))], kind
+            assert r.score.value == float(r.score.label)
+
+
+def test_word_labels_have_no_value_in_either_form(spark):
+    layer = Layer(((1.0, 0.0), (0.0, 1.0)), (0.0, 0.0), "identity")
+    net = NetworkModel(("a", "b"), (layer,), ("low", "2"))
+    df = spark.sql("SELECT * FROM VALUES (1.0D, 0.0D), (0.0D, 1.0D) AS t(a, b)")
+    both = with_score(df, net).withColumn("batch", scoring.network_on_arrays(net)(F.array("a", "b"))).collect()
+    assert [(r.score.value, r.batch.value) for r in both] == [(None, None), (2.0, 2.0)]
+    assert [(r.score.label, r.batch.label) for r in both] == [("low", "low"), ("2", "2")]
+
+
+def test_many_versions_score_alike_in_all_forms(spark):
+    linear = {f"v{i}": LinearModel(float(i), (("x", i / 2), ("y", 1.0)), "logit" if i % 2 else "identity") for i in range(40)}
+    tree = Node(None, (Node(Split("x", "lessOrEqual", 5.0), value=1.0), Node(Split("x", "greaterThan", 5.0), value=2.0)))
+    models = linear | {"tree": TreeModel(tree, ()), "net": NetworkModel(("x", "y"), (Layer(((1.0, 2.0),), (0.5,), "tanh"),))}
+    rows = [(f"v{i % 45}" if i % 5 else ("tree", "net", None)[i % 3], float(i % 11), None if i % 13 == 0 else float(i % 7)) for i in range(400)]
+    df = spark.createDataFrame(rows, "version string, x double, y double").withColumn("m", F.create_map(F.lit("k"), "x"))
+    few = score_by_version(df, "version", models, compiled=5)
+    many = score_by_version(df, "version", models, compiled=1000)
+    assert few.columns == many.columns == [*df.columns, "score"]
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    one = {r.version: r for r in many.where("version = 'v3' AND x = 4 AND y IS NOT NULL").collect()}
+    assert one["v3"].score.value == pytest.approx(1 / (1 + math.exp(-(3.0 + 1.5 * 4 + one["v3"].y))))
+
+
 PMML_HEAD = """<PMML xmlns="http://www.dmg.org/PMML-4_3" version="4.3"><DataDictionary>
 <DataField name="grade" optype="categorical" dataType="string"><Value value="3"/><Value value="7"/></DataField>
 <DataField name="free acid" optype="continuous" dataType="double"/></DataDictionary>"""
