@@ -12,7 +12,7 @@ from tidemark.functions.parse import (
     AllRecordsAreBad, bad_records, column_parser, good_records, parse_airline, parse_fields, parse_lines, parse_wine, quality_counts,
     require_good, watch_quality,
 )
-from tidemark.operators.ordering import numbered
+from tidemark.operators.ordering import numbered, numbered_lines
 from tidemark.schemas import AIRLINE_RECORD, WINE_FEATURES, WINE_RECORD, SchemaMismatch, conform
 from tidemark.sources.binary import model_catalogue, read_bytes
 from tidemark.sources.text import MissingInput, UNREADABLE, read_lines
@@ -64,6 +64,12 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
         df = read_lines(spark, dirs=[str(tmp_path)])
         assert df.where("line_no != value").count() == 0
         assert df.count() == 5777
+        kept = df.where("pmod(xxhash64(file, line_no), 3) != 0")
+        pairs = numbered_lines(kept).join(numbered(kept, ["file_idx", "line_no"], "want"), ["file_idx", "line_no"])
+        assert pairs.count() == kept.count() and pairs.where("seq != want").count() == 0
+        plan = numbered_lines(kept)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan.replace("BroadcastExchange", "")
+        assert numbered_lines(kept, limit=1).where("seq = 1").count() == 1
     finally:
         spark.conf.set(key, before)
 
@@ -134,6 +140,8 @@ def test_sequence_over_files_in_order(spark, tmp_path):
     lines = read_lines(spark, [str(tmp_path / "z1"), str(tmp_path / "a2")])
     good = parse_lines(lines, parse_fields(",", PAIR)).where("error IS NULL")
     got = numbered(good, ["file_idx", "line_no"], target_rows=2).orderBy("seq").collect()
+    again = numbered_lines(good).orderBy("seq").collect()
+    assert [(r.seq, r.value) for r in again] == [(r.seq, r.value) for r in got]
     assert [(r.seq, r.record.id, r.record.name) for r in got] == [
         (1, 10, "ash"), (2, 20, "birch"), (3, 30, "cedar"), (4, 40, "elm"), (5, 50, "fir"), (6, 60, "oak"),
     ]

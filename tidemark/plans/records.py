@@ -11,7 +11,7 @@ from tidemark.functions.features import feature_vector, model_fields, text_featu
 from tidemark.functions.parse import (
     bad_records, good_records, parse_airline, parse_fields, parse_lines, parse_wine, quality_counts,
 )
-from tidemark.operators.ordering import numbered
+from tidemark.operators.ordering import numbered_lines
 from tidemark.plans.common import table
 from tidemark.schemas import AIRLINE_RECORD, AIRLINE_RESULT, WINE_FEATURES, WINE_RECORD, conform
 from tidemark.scoring.models import LinearModel
@@ -226,7 +226,7 @@ def record_sequence(spark, sf_dir):
     """Good records of many files numbered from 1 in file and line order."""
     folder = _write_in_order(wine_lines(spark, sf_dir), shared_dir(spark, "text"))
     parsed = parse_lines(read_lines(spark, dirs=[folder]), parse_wine).where("error IS NULL")
-    got = numbered(parsed.select("file_idx", "line_no", "record"), ["file_idx", "line_no"])
+    got = numbered_lines(parsed.select("file_idx", "line_no", "record"))
     return got.select("seq", "record.volatile_acidity", "record.chlorides")
 
 
