@@ -70,28 +70,31 @@ def network_on_arrays(model: NetworkModel) -> Callable[[Column], Column]:
     layers = [(np.array(x.weights).T, np.array(x.bias), x.activation) for x in model.layers]
     classes, softmax = model.classes, model.softmax
     # A label's value is the double it spells, as in the expression form; null where it spells none.
-    spelled = [class_value(c) for c in classes]
+    spelled = np.array([class_value(c) if class_value(c) is not None else np.nan for c in classes], float)
+    names = np.array(classes, object)
     width = layers[0][0].shape[0]
 
     @F.pandas_udf(_OUTPUTS)
     def score(inputs: pd.Series) -> pd.DataFrame:
-        values = inputs.to_numpy()
-        usable = np.array([x is not None and len(x) == width for x in values], dtype=bool)
-        result = pd.DataFrame({"value": None, "label": None, "probabilities": None}, index=inputs.index, dtype=object)
+        values, n = inputs.to_numpy(), len(inputs)
+        usable = np.fromiter((x is not None and len(x) == width for x in values), bool, n)
+        value, label, shares = np.full(n, np.nan), np.full(n, None, object), np.full(n, None, object)
         if usable.any():
-            a = np.stack([np.asarray(x, dtype=np.float64) for x in values[usable]])
+            # One flat buffer for the whole batch, cut into rows of the network's width.
+            a = np.concatenate(values[usable]).astype(np.float64, copy=False).reshape(-1, width)
             for weights, bias, activation in layers:
                 a = _activate(activation, a @ weights + bias)
             best = a.argmax(axis=1)
             if softmax:
                 e = np.exp(a - a.max(axis=1, keepdims=True))
                 a = e / e.sum(axis=1, keepdims=True)
-            rows = np.flatnonzero(usable)
-            labels = [classes[i] for i in best] if classes else [None] * len(best)
-            result.iloc[rows, 0] = [spelled[i] for i in best] if classes else best.astype(float)
-            result.iloc[rows, 1] = labels
-            result.iloc[rows, 2] = pd.Series(list(a), index=result.index[rows], dtype=object)
-        return result.astype({"value": "float64"})
+            value[usable] = spelled[best] if classes else best
+            if classes:
+                label[usable] = names[best]
+            at = np.flatnonzero(usable)
+            for row, own in zip(at, a):
+                shares[row] = own
+        return pd.DataFrame({"value": pd.Series(value).astype(object).where(~np.isnan(value), None), "label": label, "probabilities": shares})
 
     return lambda inputs: score(F.when(~F.exists(inputs, lambda x: x.isNull()), inputs))
 
