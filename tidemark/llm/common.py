@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.session import shared_dir
+from tidemark.session import remove_dir, shared_dir
 
 # White space of the word rules: U+0020 and U+0009 to U+000D, which is what bytes.split() takes for white space too.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -127,9 +127,6 @@ class Shelf:
         return self
 
     def __exit__(self, *_) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        for place in self.paths:
-            path = jvm.org.apache.hadoop.fs.Path(place)
-            path.getFileSystem(conf).delete(path, True)
+        for path in self.paths:
+            remove_dir(path)
         self.paths = []
