@@ -13,7 +13,7 @@ from tidemark.plans.common import (
     EVENT_MODELS_SQL, ORDER_DESCRIPTORS_SQL, event_models, order_descriptors, served_events, signup_versions, table,
 )
 from tidemark.scoring.models import LinearModel
-from tidemark.scoring.score import score_by_version
+from tidemark.scoring.score import RemoteScorer, score_by_any_version, score_by_version
 from tidemark.session import shared_dir
 
 QUERIES, ORACLE = {}, {}
@@ -274,6 +274,42 @@ def scored_by_many_versions(spark, sf_dir):
     return score_by_version(orders, "version", models).select("o_orderkey", F.col("score.value").alias("score"))
 
 
+class _PriceScorer:
+    """A user's own model."""
+
+    def load(self):
+        self.factor = 0.001
+
+    def score(self, batch):
+        return [p * self.factor + 1 for p in batch["o_totalprice"]]
+
+    def cleanup(self):
+        pass
+
+
+def _price_service(records, location):
+    """Stands in for a remote service: knows no order whose key is a multiple of seven."""
+    if any(r["o_orderkey"] % 7 == 0 for r in records):
+        raise ValueError(f"unknown order at {location}")
+    return [r["o_totalprice"] / 2 for r in records]
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1.0 + 2.0 * o_totalprice WHEN 'O' THEN round(o_totalprice * 0.001 + 1, 6)
+  ELSE CASE WHEN o_orderkey % 7 = 0 THEN 0.0 ELSE o_totalprice / 2 END END::DOUBLE AS score,
+  CASE WHEN o_orderstatus NOT IN ('F', 'O') AND o_orderkey % 7 = 0 THEN 'unknown order at stub' ELSE '' END AS errors FROM orders
+""")
+def scored_by_three_kinds(spark, sf_dir):
+    """One server whose versions are a model, a user's scorer and a remote service."""
+    handlers = {
+        "F": LinearModel(1.0, (("o_totalprice", 2.0),)), "O": _PriceScorer, "P": lambda: RemoteScorer(_price_service, "stub"),
+    }
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    scored = score_by_any_version(orders, "o_orderstatus", handlers, clock=lambda: 0)
+    value = F.when(F.col("o_orderstatus") == "O", F.round("score.value", 6)).otherwise(F.col("score.value"))
+    return scored.select("o_orderkey", value.alias("score"), F.col("score.errors").alias("errors"))
+
+
 @query("""
 SELECT o_orderkey, CASE WHEN o_orderkey % 100 < 20 THEN 0 WHEN o_orderkey % 100 < 50 THEN 1 ELSE 2 END AS slot FROM orders
 """)

@@ -257,6 +257,67 @@ def score_batches(
     return df.mapInArrow(run, schema)
 
 
+class RemoteScorer:
+    """A version that lives at an address: its rows go there in requests, its replies are their values."""
+
+    def __init__(self, send: Callable[[Sequence[dict], str], Sequence[object]], location: str):
+        self.send, self.location = send, location
+
+    def load(self) -> None: ...
+
+    def score(self, batch: pd.DataFrame) -> Sequence[object]:
+        return self.send(batch.to_dict("records"), self.location)
+
+    def cleanup(self) -> None: ...
+
+
+class _ByVersion:
+    """Scores a batch with the scorers of the versions in it; each is made when its first row comes."""
+
+    def __init__(self, version: str, makers: Mapping[object, Callable[[], BatchScorer]]):
+        self.version, self.makers, self.made = version, makers, {}
+
+    def load(self) -> None: ...
+
+    def score(self, batch: pd.DataFrame) -> Sequence[object]:
+        values = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+        for key, rows in batch.groupby(self.version, sort=False):
+            if key not in self.made:
+                scorer = self.makers[key]()
+                scorer.load()
+                self.made[key] = scorer
+            values.loc[rows.index] = pd.Series(list(self.made[key].score(rows)), index=rows.index, dtype=object)
+        return values.tolist()
+
+    def cleanup(self) -> None:
+        for scorer in self.made.values():
+            scorer.cleanup()
+
+
+def score_by_any_version(
+    df: DataFrame, version: str, handlers: Mapping[object, Model | Callable[[], BatchScorer]], default: float = 0.0,
+    clock: Callable[[], int] | None = None, out: str = "score",
+) -> DataFrame:
+    """Each row scored by its own version, whatever kind that is: a model, or what makes a user's or a remote scorer.
+
+    Adds a struct <value, errors>. Rows of models stay in generated code and never see Python; the others go through
+    Arrow batches once, grouped by version inside the batch. Rows without a known version get the default and an error.
+    """
+    models = {k: h for k, h in handlers.items() if isinstance(h, Model)}
+    makers = {k: h for k, h in handlers.items() if not isinstance(h, Model)}
+    names, at = df.columns, F.col(f"`{version}`")
+    in_python = at.isin(*makers) if makers else F.lit(False)
+    compiled = score_by_version(df.where(~F.coalesce(in_python, F.lit(False))), version, models, "_s")
+    known = F.coalesce(at.isin(*models), F.lit(False)) if models else F.lit(False)
+    error = F.when(~known, F.lit("No model for this version")).when(F.col("_s.value").isNull(), F.lit("No prediction")).otherwise("")
+    done = compiled.select(*[f"`{n}`" for n in names], F.struct(F.coalesce("_s.value", F.lit(default)).alias("value"), error.alias("errors")).alias(out))
+    if not makers:
+        return done
+    batched = score_batches(df.where(in_python), lambda: _ByVersion(version, makers), T.DoubleType(), default, clock, "_s")
+    value = F.struct(F.coalesce("_s.result", F.lit(default)).alias("value"), F.coalesce("_s.errors", F.lit("")).alias("errors"))
+    return done.unionByName(batched.select(*[f"`{n}`" for n in names], value.alias(out)))
+
+
 def _safe(scorer, frame: pd.DataFrame, broken: str | None, default: object) -> tuple[list, list]:
     """Halve a failing batch until the rows at fault stand alone; the others are still scored together."""
     values: list = [default] * len(frame)
