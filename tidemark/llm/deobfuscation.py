@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -251,20 +252,22 @@ def _featured(decoder: Decoder):
 
 def _logistic(rows: Sequence[tuple[int, list[str]]]) -> tuple[dict[str, float], float]:
     """Features by their log odds, then a logistic model over the presence of the strongest ones."""
-    of_word: dict[str, list[str]] = {}
-    seen: tuple[dict[str, int], dict[str, int]] = ({}, {})
-    for y, words in rows:
-        present = set()
-        for w in words:
-            present.update(of_word.get(w) or of_word.setdefault(w, features_of(w)))
-        for f in present:
-            seen[y][f] = seen[y].get(f, 0) + 1
     n = [sum(1 for r in rows if r[0] == y) for y in (0, 1)]
     if not all(n):
         return {}, 0.0
+    # Rows of the label come first: only features with enough of them can be chosen, so only those are counted further.
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    for y, words in rows:
+        if y:
+            seen[1].update({f for w in words for f in features_of(w)})
+    known = {f for f, a in seen[1].items() if a >= 2}
+    seen = (Counter(), Counter({f: seen[1][f] for f in known}))
+    for y, words in rows:
+        if not y:
+            seen[0].update({f for w in words for f in features_of(w) if f in known})
     scored = []
-    for f in set(seen[0]) | set(seen[1]):
-        a, b = seen[1].get(f, 0), seen[0].get(f, 0)
+    for f in known:
+        a, b = seen[1][f], seen[0][f]
         if a + b >= LEAST_ROWS:
             p, q = a / n[1], b / n[0]
             both = (a + b) / (n[0] + n[1])
@@ -276,7 +279,7 @@ def _logistic(rows: Sequence[tuple[int, list[str]]]) -> tuple[dict[str, float],
     place = {f: i for i, f in enumerate(chosen)}
     rows_x, x_at = [], []
     for r, (_, words) in enumerate(rows):
-        present = sorted({place[f] for w in words for f in of_word[w] if f in place})
+        present = sorted({place[f] for w in words for f in features_of(w) if f in place})
         rows_x += [r] * len(present)
         x_at += present
     r_at, x_at = np.array(rows_x, np.int64), np.array(x_at, np.int64)
