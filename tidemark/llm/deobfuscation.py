@@ -6,7 +6,7 @@ channel cost. The Viterbi path under the character model restores the stretch. A
 restored text and their character n-grams gives the score.
 
 Rules for odd input: null, empty and letterless texts are scored like a text without features; rows with a null label
-are not learnt from; repeated rows count as often as they occur; without labels of both kinds every score is 0.
+are not learnt from; of rows that share an id one text is learnt from; without labels of both kinds every score is 0.
 Learning uses at most SAMPLE rows of each label, picked by a hash of the id, with texts of at most SAMPLE_CHARS.
 """
 
@@ -232,7 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_: str = "doc_
     picked = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
     wanted = F.broadcast(picked.orderBy(F.xxhash64("id"), "id", "y").limit(4 * SAMPLE))
     texts = docs.select(col(docs, id_).alias("id"), text_of(docs, text).alias("t")).where(F.length("t") <= SAMPLE_CHARS)
-    rows = texts.join(wanted, "id").mapInArrow(_featured(decoder), "id string, y int, words array<string>").collect()
+    # One text per id and label: an id that very many rows share must not bring them all to the driver.
+    rows = texts.join(wanted, "id").groupBy("id", "y").agg(F.min("t").alias("t")).mapInArrow(_featured(decoder), "id string, y int, words array<string>").collect()
     rows.sort(key=lambda r: (zlib.crc32(r.id.encode()), r.id, r.y))
     kept = [[r for r in rows if r.y == y][:SAMPLE] for y in (0, 1)]
     return Model(decoder, *_logistic([(r.y, r.words) for part in kept for r in part]))
