@@ -175,6 +175,23 @@ def test_figures_and_distances(spark, odd_docs, no_docs):
     assert divergence.judge(no_docs, divergence.references(no_docs)).count() == 0
 
 
+def test_common_words_of_a_language_spread_thinly(spark):
+    """Many different words in every task, over and under what a task holds; a second language with one text in each."""
+    thin = [f"w{i}" for i in range(divergence.COMMON_WORDS + 30)]
+    rows = [[(" ".join(f"t{task}x{i}" for i in range(n)) + " often", "en"), (" ".join(thin[: len(thin) - task]), "xx")]
+            for task, n in enumerate((21_000, 21_000, 30_000, 210_000))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([r for part in rows for r in part], 4), "text string, lang string")
+    assert docs.rdd.getNumPartitions() == 4
+    refs = divergence.references(docs)
+    counts = collections.Counter(w.encode() for part in rows for w in part[1][0].split())
+    top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:divergence.COMMON_WORDS]
+    assert list(refs["xx"].place) == [w for w, _ in top] and list(refs["xx"].words[:-1]) == [n for _, n in top]
+    assert refs["xx"].words[-1] == sum(counts.values()) - sum(n for _, n in top)
+    assert next(iter(refs["en"].place)) == b"often" and refs["en"].words[0] == 4 and refs["en"].words.sum() == 282_004
+    again = divergence.references(docs.repartition(1))
+    assert all(list(again[k].place) == list(refs[k].place) and list(again[k].words) == list(refs[k].words) for k in refs)
+
+
 def test_clean_documents_are_kept(spark):
     labels = spark.read.parquet(f"{LARGER}/labels.parquet")
     got = queries.op4_quality_divergence(spark, LARGER).where("NOT base_failed").join(labels, "doc_id").collect()

@@ -29,8 +29,9 @@ COMMON_WORDS = 150
 LANGUAGES = 500
 OTHERS = "\0"
 
-# Different words a task holds while it looks for common ones.
+# Different words a task holds before it emits their counts; the kinds of counts besides the character classes.
 _HELD_WORDS = 200_000
+WORDS, ALL_WORDS = -1, -2
 COUNTS = "lang string, kind int, word binary, n long"
 
 # Limits of the two distances for long texts, what a short one may have more (over the square root of its size), and the
@@ -133,66 +134,51 @@ def _texts_by_language(docs: DataFrame, text: str, lang: str) -> DataFrame:
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON_WORDS) -> dict[str, "Reference"]:
     """One reference per language, and one under OTHERS for the languages without their own.
 
-    Two passes over all documents: the first finds candidates for the common words, in tasks that leave out what is rare
-    among many; the second counts the candidates and the character classes exactly. What reaches the driver is bounded
-    by LANGUAGES and twice `common`.
+    One pass over all documents. A task emits every word it holds when it holds many and at its end, so the sums are
+    the exact counts however the documents are dealt out. What reaches the driver is bounded by LANGUAGES and `common`.
     """
     known = frozenset(own_languages(docs, lang))
     light = _texts_by_language(docs, text, lang)
 
-    def named(batch):
-        return [x if x in known else OTHERS for x in batch.column(0).to_pylist()]
-
-    def seek(batches):
+    def count(batches):
         words: dict[str, Counter] = {}
+        classes: dict[str, np.ndarray] = {}
+        totals: Counter = Counter()
         for batch in pieces(batches):
-            for name, t in zip(named(batch), texts_of(batch)):
-                words.setdefault(name, Counter()).update(counted_words(_utf8(t)))
+            for name, t in zip(batch.column(0).to_pylist(), texts_of(batch)):
+                name, data = name if name in known else OTHERS, _utf8(t)
+                own = counted_words(data)
+                words.setdefault(name, Counter()).update(own)
+                totals[name] += len(own)
+                classes[name] = classes.get(name, 0) + character_histogram(data)
             if sum(map(len, words.values())) > _HELD_WORDS:
-                yield _counts({k: Counter({w: n for w, n in c.items() if n > 2}) for k, c in words.items()}, {})
+                yield _counts(words, {}, {})
                 words = {}
-        large = sum(map(len, words.values())) > _HELD_WORDS // 10
-        yield _counts({k: Counter({w: n for w, n in c.items() if n > 2}) for k, c in words.items()} if large else words, {})
+        yield _counts(words, classes, totals)
 
     order = [F.desc("n"), F.asc("word")]
-    some = light.mapInArrow(seek, COUNTS).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    salted = some.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(64)))
+    sums = light.mapInArrow(count, COUNTS).groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
+    salted = sums.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(64)))
     best = (
-        salted.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("r") <= 2 * common)
-        .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("r") <= 2 * common)
+        salted.withColumn("r", F.row_number().over(Window.partitionBy("lang", "kind", "salt").orderBy(*order))).where(F.col("r") <= max(1, common))
+        .withColumn("r", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(*order))).where(F.col("r") <= max(1, common))
     )
-    candidates: dict[str, set[bytes]] = {}
+    found: dict[str, list] = {}
     for r in best.collect():
-        candidates.setdefault(r.lang, set()).add(bytes(r.word))
-
-    def count(batches):
-        words: dict[str, Counter] = {}
-        classes: dict[str, np.ndarray] = {}
-        places = {k: {w: w for w in v} for k, v in candidates.items()}
-        for batch in pieces(batches):
-            for name, t in zip(named(batch), texts_of(batch)):
-                data = _utf8(t)
-                words.setdefault(name, Counter()).update(map(places.get(name, {}).get, counted_words(data)))
-                classes[name] = classes.get(name, 0) + character_histogram(data)
-        yield _counts(words, classes)
-
-    exact = light.mapInArrow(count, COUNTS).groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")).collect()
+        found.setdefault(r.lang, []).append(r)
     out = {}
-    for name in {r.lang for r in exact}:
-        own = [r for r in exact if r.lang == name]
-        top = sorted(((r.n, bytes(r.word)) for r in own if r.kind == -1 and r.word is not None), key=lambda x: (-x[0], x[1]))[:common]
-        classes = [0] * CLASSES
-        for r in own:
-            if r.kind >= 0:
-                classes[r.kind] = r.n
-        out[name] = Reference(classes, [w for _, w in top], [n for n, _ in top], sum(r.n for r in own if r.kind == -1))
+    for name, own in found.items():
+        top = sorted(((r.n, bytes(r.word)) for r in own if r.kind == WORDS), key=lambda x: (-x[0], x[1]))[:common]
+        single = {r.kind: r.n for r in own if r.kind != WORDS}
+        out[name] = Reference([single.get(k, 0) for k in range(CLASSES)], [w for _, w in top], [n for n, _ in top], single[ALL_WORDS])
     return out
 
 
-def _counts(words: dict[str, Counter], classes: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """Rows of counts: kind -1 for words (a null word stands for all that are no candidates), else a character class."""
-    rows = [(name, -1, w, n) for name, own in words.items() for w, n in own.items()]
+def _counts(words: dict[str, Counter], classes: dict[str, np.ndarray], totals: dict[str, int]) -> pa.RecordBatch:
+    """Rows of counts, of kind WORDS, ALL_WORDS (how many words in all) or a character class."""
+    rows = [(name, WORDS, w, n) for name, own in words.items() for w, n in own.items()]
     rows += [(name, k, b"", int(n)) for name, own in classes.items() for k, n in enumerate(own)]
+    rows += [(name, ALL_WORDS, b"", n) for name, n in totals.items()]
     columns = list(zip(*rows)) or [[], [], [], []]
     kinds = (pa.string(), pa.int32(), pa.binary(), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "kind", "word", "n"])
