@@ -374,6 +374,22 @@ def test_viterbi_finds_the_best_path():
     assert decoder.restore("the 1d10t and a s t u p i d m0r0n") == "the idiot and a stupid moron"
 
 
+def test_noise_of_any_shape_is_restored(spark):
+    texts = [r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    texts += ["the idiot is a moron", "garbage and scum of an idiot", "a stupid idiot"] * 300
+    decoder = deobfuscation.Decoder(deobfuscation.count_trigrams(texts))
+    noisy = {
+        "id" + "i" * 50 + "ot": "idiot", "idio7": "idiot", "garbag3": "garbage", "1d107": "idiot", "i d ! o t": "idiot", "$ c u m": "scum",
+        "i/d/i/o/t": "idiot", "i   d   i   o   t": "idiot", "i\nd\ni\no\nt": "idiot", "1-d-!-0-t": "idiot", "i . . d / i,o - t": "idiot",
+    }
+    for text, wanted in noisy.items():
+        assert decoder.restore(f"the {text} is").split() == ["the", wanted, "is"], text
+    chain = "/".join(["m0r0n"] * 12)
+    assert set(decoder.restore(chain).replace("/", " ").split()) == {"moron"}
+    for text in ("the idiot! is", "the garbage! and", "moron2 is", "a 2024 b", "1 2 3 and 5 + 3", "the 10107 is"):
+        assert decoder.restore(text) == text, text
+
+
 def test_toxicity_odd_input(spark, odd_docs, no_docs, make_docs):
     labels = spark.createDataFrame([(0, None), (None, 1), (1, 1), (2, 0), (2, 0)], "doc_id long, toxic int")
     kept = deobfuscation.without_toxic(odd_docs, labels)

@@ -2,7 +2,8 @@
 
 A character trigram model is counted over all documents. Where a text shows leetspeak, letters set apart or repeated
 letters, the stretch becomes a lattice: every position may stand for some letters, for a gap or for nothing, each at a
-channel cost. The Viterbi path under the character model restores the stretch. A logistic model over the words of the
+channel cost. The Viterbi path under the character model restores the stretch; where the noise is not plain to see, only
+if that path is likelier than the text as it stands. A word without any letter is a number and stays. A logistic model over the words of the
 restored text and their character n-grams gives the score.
 
 Rules for odd input: null, empty and letterless texts are scored like a text without features; rows with a null label
@@ -43,6 +44,8 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i", "(": "c", "&": "a",
 }
 _SWAP, _AS_GAP, _DROP, _KEEP, _REPEAT = -1.5, -9.0, -0.7, -2.0, -1.0
+# A sign that is meant as one; exclamation marks at the end of a word are free.
+_MEANT = -4.0
 
 # Classes of the character model: 0 gap, 1-26 letters, 27 any other letter.
 CLASSES = 28
@@ -52,9 +55,15 @@ for _c in range(0x250):
         _low = chr(_c).lower()[0]
         _LATIN[_c] = ord(_low) - 96 if "a" <= _low <= "z" else 27
 
-_SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .*_-]{1,2}[^\W_]){3,}(?!\w)")
 _REPEATED = re.compile(r"([^\W\d_])\1\1", re.IGNORECASE)
 _SIGNS = "".join(LEET)
+_SIGN = re.compile(f"[{re.escape(_SIGNS)}]")
+_LETTER = re.compile(r"[^\W\d_]")
+# Letters and signs set apart by runs of anything else; those that need no comparison have no signs but digits.
+_APART = rf"(?:[^\w{re.escape(_SIGNS)}]|_)++"
+_SEPARATORS = re.compile(_APART)
+_SPACED = re.compile(rf"(?<!\S)(?:[^\W_]|{_SIGN.pattern})(?:{_APART}(?:[^\W_]|{_SIGN.pattern})){{2,}}(?!\w)")
+_SURELY_SPACED = re.compile(r"[^\W_](?:[ .*_-]{1,2}[^\W_]){3,}")
 _MIXED = re.compile(rf"[^\W\d_][{re.escape(_SIGNS)}]+[^\W\d_]|(?<!\S)[{re.escape(_SIGNS)}]{{1,2}}[^\W\d_]{{2}}")
 _OUTER = ".,;:?\"'()[]{}<>*#%&~`"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -138,6 +147,10 @@ class Decoder:
 
     def decode(self, noisy: str) -> str:
         """The likeliest reading of a stretch."""
+        return self.best(noisy)[1]
+
+    def best(self, noisy: str) -> tuple[float, str]:
+        """The likeliest reading of a stretch and its score."""
         table = self.table
         paths = {(0, 0): (0.0, None)}
         for choices in self.lattice(noisy):
@@ -153,12 +166,25 @@ class Decoder:
                     if old is None or total > old[0]:
                         new[x, y] = (total, (path, letters))
             paths = new
-        path = max(((score + table[a][b][0], a, b, path) for (a, b), (score, path) in paths.items()), key=lambda p: p[:3])[3]
+        total, _, _, path = max(((score + table[a][b][0], a, b, path) for (a, b), (score, path) in paths.items()), key=lambda p: p[:3])
         out = []
         while path:
             path, letters = path
             out.append(letters)
-        return "".join(reversed(out))
+        return total, "".join(reversed(out))
+
+    def plain(self, text: str) -> float:
+        """The score of a stretch that means what it says: its signs are no letters."""
+        total, a, b = _MEANT * len(_SIGN.findall(text.rstrip("!"))), 0, 0
+        for c in [*classes_of(text).tolist(), 0]:
+            total += self.table[a][b][c]
+            a, b = b, c
+        return total
+
+    def likelier(self, noisy: str) -> str | None:
+        """The likeliest reading, if it is likelier than the stretch as it stands."""
+        score, reading = self.best(noisy)
+        return reading if score > self.plain(noisy) else None
 
     def restore(self, text: str) -> str:
         """The text with its noisy stretches restored, in small letters where they were."""
@@ -166,17 +192,25 @@ class Decoder:
 
     def joined(self, text: str) -> str:
         """Letters set apart are put together; the rest of the text stays."""
-        return _SPACED.sub(lambda m: self.decode(m.group()), text) if _SPACED.search(text) else text
+        return _SPACED.sub(self._together, text)
+
+    def _together(self, m: re.Match) -> str:
+        apart = m.group()
+        evenly = _SEPARATORS.sub(" ", apart)
+        if _SURELY_SPACED.fullmatch(apart):
+            return self.decode(evenly)
+        return (self.likelier(evenly) if _LETTER.search(apart) else None) or apart
 
     def word(self, word: str) -> str:
         core = word.strip(_OUTER)
-        if not core or core.isalpha() and not _REPEATED.search(core):
+        repeated = _REPEATED.search(core)
+        if not repeated and (not core or core.isalpha() or not _SIGN.search(core)):
             return word
         letters = sum(map(str.isalpha, core))
-        # Numbers, addresses and keys are not words in disguise.
-        if letters < 2 or 3 * letters < len(core) or len(core) > 40 or not (_MIXED.search(core) or _REPEATED.search(core)):
-            return word
-        return self.decode(core)
+        if letters >= 2 and 3 * letters >= len(core) and (repeated or _MIXED.search(core)):
+            return self.decode(core)
+        # Numbers are not words in disguise; of addresses, keys and last signs the character model tells.
+        return (self.likelier(core) if letters else None) or word
 
 
 def features_of(word: str) -> list[str]:
