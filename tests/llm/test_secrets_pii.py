@@ -182,6 +182,16 @@ def test_disclosure_against_loops(make_docs):
     assert clean[0].n_chars == len(clean[0].text)
 
 
+def test_repeated_rows_are_one_document(make_docs):
+    texts = [f"memo {i} of zebulon went to jo@corp.example.com" for i in range(4)] + [f"the quarterly figures {i}" for i in range(300)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    once = {r.doc_id: r.added for r in pii.find(make_docs(rows)).collect()}
+    assert ("remove", "zebulon") in {(s.kind, s.value) for s in once[0]}
+    repeated = pii.find(make_docs(rows + rows[:1] * 40 + rows[-1:] * 500)).collect()
+    assert len(repeated) == len(rows) + 540
+    assert all(sorted(r.added) == sorted(once[r.doc_id]) for r in repeated)
+
+
 def test_odd_input(odd_docs, no_docs):
     n = odd_docs.count()
     assert secrets.scan(odd_docs).count() == n
