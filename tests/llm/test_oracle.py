@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(oracle.ORACLE))
 def test_query_matches(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     expected = con.sql(oracle.ORACLE[name])
     df = queries.QUERIES[name](spark, FOLDER)

@@ -94,4 +94,50 @@ SELECT d.doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.KINDS)},
 FROM documents d LEFT JOIN sums s ON d.doc_id = s.doc_id
 """
 
-ORACLE = {"op1_secret_ownership": OP1, "op2_pii_sanitisation": OP2, "op5_benchmark_decontamination": OP5}
+# --- Prefix trie: every prefix as a list, and the ancestors of a node by its smallest member. crc32 byte by byte from its table.
+
+_STEP = "CASE WHEN {0} & 1 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
+_ROUNDS = ", ".join(f"r{i + 1} AS (SELECT i, {_STEP.format('c')} AS c FROM r{i})" for i in range(8))
+
+OP12 = f"""
+WITH r0 AS (SELECT unnest(range(256)) AS i, unnest(range(256)) AS c), {_ROUNDS},
+crcs AS (SELECT list(c ORDER BY i) AS t FROM r8),
+own AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT o.*, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(o.conv_id::VARCHAR, ''),
+  lambda x: ascii(x)::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]::BIGINT))) % 6 AS h FROM own o, crcs),
+whole AS (SELECT a.conv_id, list_concat(coalesce(b.s, [])[:a.h], a.s[a.h + 1:]) AS s FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+prefixes AS (SELECT conv_id, d, s[:d] AS p, len(s) = d AS last, CASE WHEN d > 0 THEN length(s[d].text) ELSE 0 END AS size
+  FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM whole)),
+nodes AS (SELECT d, p, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256 FROM prefixes GROUP BY d, p),
+of AS (SELECT a.conv_id, a.d, n.conv_id AS node FROM prefixes a JOIN nodes n ON a.d = n.d AND a.p = n.p),
+kids AS (SELECT o.node, o.d, count(*) AS n_children FROM nodes n JOIN of o ON o.conv_id = n.conv_id AND o.d = n.d - 1 GROUP BY o.node, o.d),
+below AS (SELECT o.node, o.d, sum((n.n_convs - 1) * n.size)::BIGINT AS saved_tokens, count(*) FILTER (k.node IS NULL) AS n_leaves
+  FROM nodes n LEFT JOIN kids k ON k.node = n.conv_id AND k.d = n.d JOIN of o ON o.conv_id = n.conv_id AND o.d <= n.d GROUP BY o.node, o.d)
+SELECT n.conv_id, n.d AS depth, o.node AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, b.n_leaves, b.saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN of o ON o.conv_id = n.conv_id AND o.d = n.d - 1 LEFT JOIN kids k ON k.node = n.conv_id AND k.d = n.d
+JOIN below b ON b.node = n.conv_id AND b.d = n.d
+"""
+
+# --- Ranked search: every document against every item that shares a term with it.
+
+_TERM_LIST = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+OP13 = f"""
+WITH k AS (SELECT doc_id, row_number() OVER () AS r, w FROM (SELECT doc_id, {_TERM_LIST} AS w FROM documents) WHERE len(w) > 0),
+g AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS length FROM k),
+t AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM k) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM t, g GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest({_TERM_LIST}) AS term FROM benchmark),
+scores AS (SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // length))))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN f USING (term), g GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+"""
+
+ORACLE = {
+    "op1_secret_ownership": OP1, "op2_pii_sanitisation": OP2, "op5_benchmark_decontamination": OP5, "op12_prefix_trie": OP12,
+    "op13_ranked_search": OP13,
+}

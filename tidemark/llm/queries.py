@@ -5,11 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontamination, deobfuscation, divergence, oracle, pii, ring, secrets, simhash, string_kernel, warc
-from tidemark.llm.common import bucket, documents
+from tidemark.llm import bpe, decontamination, deobfuscation, divergence, oracle, pii, prefix_trie, ranked_search, ring, secrets, simhash
+from tidemark.llm import string_kernel, token_counts, warc
+from tidemark.llm.common import Shelf, bucket, documents
 from tidemark.llm.spans import joined, number
 
 RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+
+# Tokens above which a text counts as too long.
+MOST_TOKENS = 4096
 
 
 def _base_sha256(kinds: list[str]):
@@ -84,12 +89,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", deobfuscation.predicted(F.col("score")).alias("predicted"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = token_counts.read_model(public_tokenizers.path(PIECES))
+    return token_counts.count_tokens(documents(spark, sf_dir), model).withColumn("over_limit", token_counts.over_limit(MOST_TOKENS))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.sequences(documents(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns, Shelf(spark)))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_ownership, op2_pii_sanitisation, op3_simhash_near_duplicates, op4_quality_divergence,
         op5_benchmark_decontamination, op6_warc_derivatives, op7_bounded_ring, op8_language_identification,
-        op9_bpe_round_trip, op10_toxicity,
+        op9_bpe_round_trip, op10_toxicity, op11_token_counts, op12_prefix_trie, op13_ranked_search,
     )
 }
 
