@@ -106,6 +106,19 @@ def test_encoding_like_the_library(ranks, reference, monkeypatch):
         assert encoder.decode(ids) == t.encode()
 
 
+def test_memory_of_pre_tokens_is_bounded(ranks, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 20_000)
+    encoder, worked_out = bpe.Encoder(ranks, public_tokenizers.PATTERN), collections.Counter()
+    encoder.piece_ids = lambda p, own=encoder.piece_ids: worked_out.update([p]) or own(p)
+    for i in range(2_000):
+        text = f"common words come in every text, zq{i}x rare{i * 7919}ones do not"
+        assert encoder.encode(text) == reference.encode_ordinary(text)
+        # Two full generations at most, and what one text adds.
+        assert len(encoder._young) + len(encoder._old) < 2 * 20_000 / bpe._ENTRY + 40
+    # Rare ones went through many times the memory; the common ones were worked out once.
+    assert len(worked_out) > 2_000 and worked_out[" common"] == 0 and worked_out["common"] == worked_out[" every"] == 1
+
+
 def test_token_query(spark, reference, odd_docs, no_docs, ranks):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     got = queries.op9_bpe_round_trip(spark, FOLDER).collect()

@@ -4,6 +4,9 @@ Tier one is a minimal perfect hash over the vocabulary (hash, displace): it reso
 token with two array reads and one comparison. What it misses goes to tier two: the bytes of the pre-token form a doubly
 linked list, a heap holds the ranks of neighbouring pairs, and the lowest rank merges first (leftmost among equals).
 
+A worker remembers pre-tokens in two generations: when the young one is full it becomes the old one, and what is found in
+the old one moves up. So memory is bounded, and pre-tokens that keep coming are never worked out again.
+
 Rules for odd input: null and empty texts give no tokens; a text that cannot be encoded as UTF-8 cannot be in a Spark
 string; control characters and special-token strings are ordinary text. The pieces of a text are encoded one by one, as
 the pattern cuts them.
@@ -12,10 +15,9 @@ the pattern cuts them.
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Sequence
-from heapq import heappop as pop, heappush as push
-from itertools import chain
+from heapq import heapify, heappop as pop, heappush as push, heapreplace as replace
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,13 @@ from tidemark.llm.common import arrow_schema, col, light, pieces, struct_with, t
 # Keys of the perfect hash per bucket, on average.
 _BUCKET_KEYS = 1
 
-# Pre-tokens whose ids a worker remembers; beyond that it starts afresh. Bounds memory, never a result.
-REMEMBERED = 300_000
+# Bytes of pre-tokens and ids that one of the two generations holds, and what an entry takes besides. Bounds memory,
+# never a result.
+REMEMBERED = 80 << 20
+_ENTRY = 200
+
+# Tokens decoded at once.
+_DECODED = 1 << 17
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,8 +98,16 @@ class Encoder:
         self.key_in = [tokens[s] if s >= 0 else b"" for s in self.hash.slots]
         self.id_in = [ranks[k] if k else -1 for k in self.key_in]
         self.token = {rank: token for token, rank in ranks.items()}
-        self.pair_rank = [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
-        self._known: dict[str, list[int]] = {}
+        # Ranks in the upper half of a number, so that a place can be added to make a heap entry.
+        self.high = {token: rank << 32 for token, rank in ranks.items()}
+        self.pair_high = [self.high.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._held = 0
+        by_rank = [self.token.get(i, b"") for i in range(max(self.token) + 1)]
+        self._sizes = np.array([len(t) for t in by_rank], np.int64)
+        self._starts = np.cumsum(self._sizes) - self._sizes
+        self._bytes = np.frombuffer(b"".join(by_rank), np.uint8)
 
     def whole(self, piece: bytes) -> int:
         """Tier one: the id of a piece that is a token, or -1."""
@@ -105,36 +120,42 @@ class Encoder:
         A heap entry is rank * 2**32 + place, so the lowest rank comes first and the leftmost place among equals.
         An entry is out of date where the pair at its place has got another rank since.
         """
-        n, rank_of = len(piece), self.ranks.get
+        n, high_of = len(piece), self.high.get
         after, before = list(range(1, n + 1)), list(range(-1, n))
-        pair = list(map(self.pair_rank.__getitem__, map(int.__add__, map((256).__mul__, piece), piece[1:])))
+        pair_high = self.pair_high
+        pair = [pair_high[a << 8 | b] for a, b in zip(piece, piece[1:])]
         pair.append(-1)
-        heap = [(rank << 32) + i for i, rank in enumerate(pair) if rank >= 0]
-        heapq.heapify(heap)
+        heap = [high + i for i, high in enumerate(pair) if high >= 0]
+        heapify(heap)
         while heap:
-            entry = pop(heap)
+            entry = heap[0]
             i = entry & 0xFFFFFFFF
-            if pair[i] != entry >> 32:
+            if pair[i] + i != entry:
+                pop(heap)
                 continue
             right = after[i]
             end = after[i] = after[right]
             pair[right] = -1
+            high = -1
             if end < n:
                 before[end] = i
-                rank = pair[i] = rank_of(piece[i:after[end]], -1)
-                if rank >= 0:
-                    push(heap, (rank << 32) + i)
+                high = high_of(piece[i:after[end]], -1)
+            pair[i] = high
+            # The new pair takes the place of the one just merged where there is one.
+            if high >= 0:
+                replace(heap, high + i)
             else:
-                pair[i] = -1
+                pop(heap)
             left = before[i]
             if left >= 0:
-                rank = pair[left] = rank_of(piece[left:end], -1)
-                if rank >= 0:
-                    push(heap, (rank << 32) + left)
+                high = pair[left] = high_of(piece[left:end], -1)
+                if high >= 0:
+                    push(heap, high + left)
         out, i, ranks = [], 0, self.ranks
         while i < n:
-            out.append(ranks[piece[i:after[i]]])
-            i = after[i]
+            end = after[i]
+            out.append(ranks[piece[i:end]])
+            i = end
         return out
 
     def piece_ids(self, piece: str) -> list[int]:
@@ -142,25 +163,32 @@ class Encoder:
         one = self.whole(data)
         return [one] if one >= 0 else self.merged(data)
 
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as 32-bit numbers."""
+        found = self.pattern.findall(text)
+        if self._held > REMEMBERED:
+            self._old, self._young, self._held = self._young, {}, 0
+        young, old = self._young, self._old
+        for piece in set(found).difference(young):
+            ids = old.pop(piece, None)
+            if ids is None:
+                own = self.piece_ids(piece)
+                ids = pack(f"={len(own)}i", *own)
+            young[piece] = ids
+            self._held += _ENTRY + len(piece) + len(ids)
+        return b"".join(map(young.__getitem__, found))
+
     def encode(self, text: str) -> list[int]:
-        known = self._known
-        pieces_ = self.pattern.findall(text)
-        for piece in set(pieces_).difference(known):
-            if len(known) >= REMEMBERED:
-                # Keep what this text still needs out of the new memory: it is looked up again.
-                known = self._known = {}
-                return self._encode_fresh(pieces_)
-            known[piece] = self.piece_ids(piece)
-        return list(chain.from_iterable(map(known.__getitem__, pieces_)))
-
-    def _encode_fresh(self, pieces_: list[str]) -> list[int]:
-        own = {piece: self.piece_ids(piece) for piece in set(pieces_)}
-        if len(own) < REMEMBERED:
-            self._known = own
-        return list(chain.from_iterable(map(own.__getitem__, pieces_)))
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: Sequence[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+        ids, out = np.asarray(ids, np.int64), []
+        for at in range(0, len(ids), _DECODED):
+            own = ids[at:at + _DECODED]
+            sizes = self._sizes[own]
+            first = self._starts[own] - (np.cumsum(sizes) - sizes)
+            out.append(self._bytes[np.repeat(first, sizes) + np.arange(sizes.sum())].tobytes())
+        return b"".join(out)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -189,14 +217,11 @@ def round_trip(
     def run(batches):
         encoder = _encoder(name, shared, pattern)
         for batch in pieces(batches, rows=256, size=4 << 20):
-            ids, sizes, decoded = [], [0], []
-            for t in texts_of(batch):
-                own = encoder.encode(t)
-                ids.append(np.array(own, np.int32))
-                sizes.append(sizes[-1] + len(own))
-                decoded.append(encoder.decode(own))
-            values = np.concatenate(ids) if ids else np.array([], np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.array(sizes, np.int32)), pa.array(values))
+            packed = [encoder.packed(t) for t in texts_of(batch)]
+            decoded = [encoder.decode(np.frombuffer(x, np.int32)) for x in packed]
+            sizes = np.cumsum([0] + [len(x) // 4 for x in packed])
+            values = np.frombuffer(b"".join(packed), np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values))
             kept = [batch.column(i).cast(out.field(i).type) for i in range(n)]
             yield pa.RecordBatch.from_arrays(
                 [*kept, lists.cast(out.field(n).type), pa.array(decoded, out.field(n + 1).type)], schema=out
