@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions.descriptors import WINE_TYPES
+from tidemark.operators.registry import usable_versions
 from tidemark.session import prepare
 
 # name, type, valid from, sequence, payload, intercept, slope. The third has no payload and is refused.
@@ -64,10 +66,19 @@ def order_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("modelBytes", F.col("payload").cast("binary")).drop("payload")
 
 
-def signup_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream of model updates as large as the data: every signup event with a value of 5 or more is a usable one."""
+def signup_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of model updates as large as the data: every signup is a descriptor; those below 5 come without a model."""
     events = table(spark, sf_dir, "events").where("event_type = 'signup'")
-    return events.where("value >= 5").select("user_id", F.col("ts").alias("valid_from"), F.col("event_id").alias("version"))
+    return events.select(
+        F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("modelName"), F.lit("").alias("description"),
+        F.lit("PMML").alias("modelType"), F.when(F.col("value") >= 5, F.lit("x")).cast("binary").alias("modelBytes"),
+        F.lit(None).cast("string").alias("modelSourceLocation"), "user_id", F.col("ts").alias("valid_from"), F.col("event_id").alias("version"),
+    )
+
+
+def signup_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usable ones; the registry refuses the others."""
+    return usable_versions(signup_descriptors(spark, sf_dir), WINE_TYPES).select("user_id", "valid_from", "version")
 
 
 def served_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.descriptors import WINE_TYPES
 from tidemark.operators import registry
 from tidemark.operators.timeseries import auto_width_of, count_by_tag, mean_by_tag, mean_of_fields, recent
-from tidemark.plans.common import EVENT_MODELS_SQL, event_models, signup_versions, table
+from tidemark.plans.common import EVENT_MODELS_SQL, event_models, signup_descriptors, table
 from tidemark.plans.serving import assigned_events
 from tidemark.session import prepare, shared_dir
 from tidemark.sinks.points import (
@@ -17,6 +17,7 @@ from tidemark.sinks.points import (
     write_text,
 )
 from tidemark.streaming import serving
+from tidemark.streaming.keyed import serve_keyed
 
 QUERIES, ORACLE = {}, {}
 
@@ -193,14 +194,7 @@ ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup' AND value >= 5)
 def stream_two_inputs(spark, sf_dir):
     """Model updates and records both as streams: updates go to the version table, records are scored from it."""
     work = shared_dir(spark, "stream")
-    signups = (
-        signup_versions(spark, sf_dir)
-        .select(
-            F.concat(F.lit("m"), F.col("version").cast("string")).alias("modelName"), F.lit("").alias("description"),
-            F.lit("PMML").alias("modelType"), F.lit("x").cast("binary").alias("modelBytes"),
-            F.lit(None).cast("string").alias("modelSourceLocation"), "user_id", "valid_from", "version",
-        )
-    )
+    signups = signup_descriptors(spark, sf_dir)
     signups.write.parquet(f"{work}/updates")
     updates = serving.file_stream(spark, f"{work}/updates", signups.schema)
     serving.collect_versions(updates, WINE_TYPES, f"{work}/versions", f"{work}/checkpoint-models").awaitTermination()
@@ -213,6 +207,36 @@ def stream_two_inputs(spark, sf_dir):
     return serving.served(spark, f"{work}/out")
 
 
+@query("""
+SELECT e.event_id, v.event_id AS version, round(v.event_id * 0.5 + e.value, 6) AS score FROM (SELECT * FROM events WHERE event_type <> 'signup') e
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup' AND value >= 5) v ON e.user_id = v.user_id AND e.ts >= v.ts
+""")
+def stream_keyed_state(spark, sf_dir):
+    """Both inputs as one keyed stream; it stops half-way, and some descriptors come only after the restart.
+
+    Each server's versions and waiting records are state. The descriptors of the last day before the stop come a day
+    late, in the second half, and still count for the records of that day.
+    """
+    work = shared_dir(spark, "stream")
+    records = table(spark, sf_dir, "events").where("event_type != 'signup'").select("event_id", "user_id", "ts", "value")
+    updates = signup_descriptors(spark, sf_dir)
+    stop, day = F.lit("2024-01-16").cast("timestamp_ntz"), F.expr("INTERVAL 1 DAY")
+    for late in (False, True):
+        early, known = F.col("ts") < stop, F.col("valid_from") < stop - day
+        records.where(~early if late else early).write.mode("append").parquet(f"{work}/records")
+        updates.where(~known if late else known).write.mode("append").parquet(f"{work}/updates")
+        ends = spark.range(1 if late else 0).select(F.lit("2100-01-01").cast("timestamp").alias("at"))
+        ends.write.mode("append").parquet(f"{work}/ticks")
+        served = serve_keyed(
+            serving.file_stream(spark, f"{work}/records", records.schema),
+            registry.usable_versions(serving.file_stream(spark, f"{work}/updates", updates.schema), WINE_TYPES).select("user_id", "valid_from", "version"),
+            on="ts", by=["user_id"], seq="version", delay="2 days", slots=2, ticks=serving.file_stream(spark, f"{work}/ticks", ends.schema),
+        )
+        scored = served.select("event_id", F.col("model.version").alias("version"), F.round(F.col("model.version") * 0.5 + F.col("value"), 6).alias("score"))
+        serving.append_to(scored, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{work}/out")
+
+
 @query(f"""
 SELECT event_type, epoch_us(ts) // {24 * HOUR} * {24 * HOUR} AS bucket, count(*) AS n, round(sum(value), 3) AS total FROM events GROUP BY 1, 2
 """)
