@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.descriptors import WINE_TYPES
 from tidemark.operators import registry
+from tidemark.operators.asof import micros
 from tidemark.operators.timeseries import auto_width_of, count_by_tag, mean_by_tag, mean_of_fields, recent
 from tidemark.plans.common import EVENT_MODELS_SQL, event_models, signup_descriptors, table
 from tidemark.plans.serving import assigned_events
@@ -18,6 +19,7 @@ from tidemark.sinks.points import (
 )
 from tidemark.streaming import serving
 from tidemark.streaming.keyed import serve_keyed
+from tidemark.streaming.runs import RunStore, collect_runs, keep_latest_runs, serve_from_runs
 
 QUERIES, ORACLE = {}, {}
 
@@ -174,14 +176,16 @@ def _event_stream(spark, sf_dir):
     return serving.file_stream(spark, f"{sf_dir}/events.parque[t]", schema)
 
 
-@query(f"SELECT e.event_id, v.model_name FROM events e ASOF LEFT JOIN {EVENT_MODELS_SQL} ON e.ts >= v.valid_from")
+@query(f"SELECT e.event_id, v.model_name, v.intercept + v.slope * e.value AS score FROM events e ASOF LEFT JOIN {EVENT_MODELS_SQL} ON e.ts >= v.valid_from")
 def stream_asof_scores(spark, sf_dir):
     """Events as a stream, scored by the table of versions."""
     work = shared_dir(spark, "stream")
     serving.serve(
         _event_stream(spark, sf_dir),
         lambda s: registry.usable_versions(event_models(s), WINE_TYPES),
-        lambda df: df.select("event_id", F.col("model.modelName").alias("model_name")),
+        lambda df: df.select(
+            "event_id", F.col("model.modelName").alias("model_name"), (F.col("model.intercept") + F.col("model.slope") * F.col("value")).alias("score")
+        ),
         f"{work}/out", f"{work}/checkpoint", on="ts", seq="seq",
     ).awaitTermination()
     return serving.served(spark, f"{work}/out")
@@ -194,19 +198,48 @@ ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup' AND value >= 5)
 def stream_two_inputs(spark, sf_dir):
     """Model updates and records both as streams: updates go to the version table, records are scored from it."""
     work = shared_dir(spark, "stream")
-    signups = signup_descriptors(spark, sf_dir)
-    signups.write.parquet(f"{work}/updates")
-    updates = serving.file_stream(spark, f"{work}/updates", signups.schema)
-    serving.collect_versions(updates, WINE_TYPES, f"{work}/versions", f"{work}/checkpoint-models").awaitTermination()
-    serving.serve(
-        _event_stream(spark, sf_dir).where("event_type != 'signup'").select("event_id", "user_id", "ts"),
-        lambda s: serving.collected_versions(s, f"{work}/versions", signups.schema),
-        lambda df: df.select("event_id", F.col("model.version").alias("version")),
-        f"{work}/out", f"{work}/checkpoint", on="ts", by=["user_id"], seq="version",
+    updates = signup_descriptors(spark, sf_dir)
+    updates.write.parquet(f"{work}/updates")
+    store = _signup_store(spark, work)
+    collect_runs(serving.file_stream(spark, f"{work}/updates", updates.schema), WINE_TYPES, store, f"{work}/checkpoint-models").awaitTermination()
+    serve_from_runs(
+        _event_stream(spark, sf_dir).where("event_type != 'signup'").select("event_id", "user_id", "ts"), store,
+        lambda df: df.select("event_id", F.col("model.version").alias("version")), f"{work}/out", f"{work}/checkpoint", on="ts",
     ).awaitTermination()
     return serving.served(spark, f"{work}/out")
 
 
+def _signup_store(spark, work, **options):
+    kind = "user_id long, valid_from timestamp_ntz, version long"
+    return RunStore(spark, f"{work}/versions", kind, ["user_id"], "valid_from", "version", **options)
+
+
+@query("""
+SELECT e.event_id, v.event_id AS version, true AS bounded FROM (SELECT * FROM events WHERE event_type <> 'signup') e
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup' AND value >= 5) v ON e.user_id = v.user_id AND e.ts >= v.ts
+""")
+def stream_version_store(spark, sf_dir):
+    """Updates and records in many batches in turn; each batch of records opens a bounded number of the store's runs."""
+    work = shared_dir(spark, "stream")
+    store, opened = _signup_store(spark, work, fan_in=2), []
+    records = table(spark, sf_dir, "events").where("event_type != 'signup'").select("event_id", "user_id", "ts")
+    updates = signup_descriptors(spark, sf_dir)
+    days = [F.lit(f"2024-01-{d:02}").cast("timestamp_ntz") for d in range(1, 32, 5)]
+    for i, day in enumerate(days):
+        for df, time, name in ((updates, "valid_from", "updates"), (records, "ts", "records")):
+            part = (F.col(time) >= day if i else F.lit(True)) & (F.col(time) < days[i + 1] if i + 1 < len(days) else F.lit(True))
+            df.where(part).write.mode("append").parquet(f"{work}/{name}")
+        collect_runs(serving.file_stream(spark, f"{work}/updates", updates.schema), WINE_TYPES, store, f"{work}/checkpoint-models").awaitTermination()
+        serve_from_runs(
+            serving.file_stream(spark, f"{work}/records", records.schema), store,
+            lambda df: opened.append(len(store.parts(*df.agg(F.min(micros("ts")), F.max(micros("ts"))).first())))
+            or df.select("event_id", F.col("model.version").alias("version")),
+            f"{work}/out", f"{work}/checkpoint", on="ts",
+        ).awaitTermination()
+    # Two levels of one run at most, and the base.
+    return serving.served(spark, f"{work}/out").withColumn("bounded", F.lit(len(opened) == len(days) and max(opened) <= 3))
+
+
 @query("""
 SELECT e.event_id, v.event_id AS version, round(v.event_id * 0.5 + e.value, 6) AS score FROM (SELECT * FROM events WHERE event_type <> 'signup') e
 ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup' AND value >= 5) v ON e.user_id = v.user_id AND e.ts >= v.ts
@@ -245,8 +278,10 @@ def stream_bucket_counts(spark, sf_dir):
     work = shared_dir(spark, "stream")
     measures = {"n": F.count(F.lit(1)), "total": F.sum("value")}
     counts = serving.bucket_counts(_event_stream(spark, sf_dir), "ts", "1 day", "1 hour", measures, ["event_type"])
-    serving.keep_latest(counts, f"{work}/out", f"{work}/checkpoint").awaitTermination()
-    written = serving.latest(prepare(spark), f"{work}/out", ["event_type", "bucket"])
+    kind = "event_type string, bucket long, n long, total double, batch long"
+    store = RunStore(prepare(spark), f"{work}/store", kind, ["event_type", "bucket"], "batch", history=False)
+    keep_latest_runs(counts, store, f"{work}/checkpoint").awaitTermination()
+    written = store.latest()
     return written.select("event_type", "bucket", "n", F.round("total", 3).alias("total"))
 
 
@@ -266,10 +301,11 @@ def stream_user_sink(spark, sf_dir):
 
 
 def _event_files(spark, sf_dir, folder, parts, of):
+    """Write some of the events as files, cut as Spark cuts them; their schema and how many files there are."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value", "event_type")
-    for part in parts:
-        events.where(F.pmod(F.xxhash64("event_id"), F.lit(of)) == part).coalesce(1).write.mode("append").parquet(folder)
-    return events.schema
+    wanted = F.pmod(F.xxhash64("event_id"), F.lit(of)).alias("part")
+    events.where(wanted.isin(*parts)).withColumn("part", wanted).write.mode("append").partitionBy("part").parquet(folder)
+    return events.schema, len(spark.read.parquet(folder).inputFiles())
 
 
 @query(f"SELECT e.event_id, v.model_name, v.intercept + v.slope * e.value AS score FROM events e ASOF LEFT JOIN {EVENT_MODELS_SQL} ON e.ts >= v.valid_from")
@@ -277,7 +313,7 @@ def stream_restart(spark, sf_dir):
     """A stream that ends, gets more input and starts again scores every event once, with the numbers of its version."""
     work = shared_dir(spark, "stream")
     for part in (0, 1):
-        schema = _event_files(spark, sf_dir, f"{work}/in", [part], 2)
+        schema, _ = _event_files(spark, sf_dir, f"{work}/in", [part], 2)
         serving.serve(
             serving.file_stream(spark, f"{work}/in", schema), lambda s: registry.usable_versions(event_models(s), WINE_TYPES),
             lambda df: df.select(
@@ -291,15 +327,16 @@ def stream_restart(spark, sf_dir):
 
 @query("SELECT event_type, count(*) AS n, true AS paced FROM events GROUP BY event_type")
 def stream_paced(spark, sf_dir):
-    """One file per batch: as many batches as files."""
+    """A few files per batch: three batches, however many files there are."""
     work = shared_dir(spark, "stream")
-    schema = _event_files(spark, sf_dir, f"{work}/in", range(3), 3)
-    stream = serving.file_stream(spark, f"{work}/in", schema, files_per_trigger=1)
+    schema, files = _event_files(spark, sf_dir, f"{work}/in", range(3), 3)
+    pace = -(-files // 3)
+    stream = serving.file_stream(spark, f"{work}/in", schema, files_per_trigger=pace)
     serving.fan_out_stream(
         stream, [lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{work}/out/batch_id={batch_id}")], f"{work}/checkpoint"
     ).awaitTermination()
     written = spark.read.parquet(f"{work}/out")
-    paced = written.select("batch_id").distinct().agg((F.count(F.lit(1)) == 3).alias("paced"))
+    paced = written.select("batch_id").distinct().agg((F.count(F.lit(1)) == -(-files // pace)).alias("paced"))
     return written.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(paced))
 
 

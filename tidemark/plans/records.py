@@ -239,8 +239,10 @@ def bad_record_places(spark, sf_dir):
     lines = spread(table(spark, sf_dir, "lineitem")).select("l_returnflag", F.expr(WINE_LINE).alias("value"))
     root = shared_dir(spark, "flags")
     lines.write.partitionBy("l_returnflag").option("compression", "gzip").text(root)
-    folders = [f"{root}/l_returnflag={flag}" for flag in ("A", "N", "R")]
-    parsed = parse_lines(read_lines(spark, dirs=[*folders, f"{root}/not-there"], name_regex="gz"), parse_wine)
+    # One folder for each flag there is.
+    folders = [r.folder for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(
+        F.substring_index("path", "/", -2).alias("last")).select(F.substring_index("last", "/", 1).alias("folder")).where("folder LIKE 'l_returnflag=%'").distinct().collect()]
+    parsed = parse_lines(read_lines(spark, dirs=[*[f"{root}/{f}" for f in sorted(folders)], f"{root}/not-there"], name_regex="gz"), parse_wine)
     flag = F.regexp_extract("file", "l_returnflag=([A-Z])", 1)
     placed = F.col("message").startswith("(file:") & F.col("message").contains(") Invalid record string, ")
     return bad_records(parsed).groupBy(flag.alias("flag")).agg(
