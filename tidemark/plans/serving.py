@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.descriptors import WINE_TYPES, check_descriptors, display_name, summary
@@ -12,7 +14,7 @@ from tidemark.operators.stats import activation_stats, current_activation, curre
 from tidemark.plans.common import (
     EVENT_MODELS_SQL, ORDER_DESCRIPTORS_SQL, event_models, order_descriptors, served_events, signup_versions, table,
 )
-from tidemark.scoring.models import LinearModel
+from tidemark.scoring.models import ForestModel, LinearModel, Node, Test
 from tidemark.scoring.score import RemoteScorer, score_by_any_version, score_by_version
 from tidemark.session import shared_dir
 
@@ -274,6 +276,34 @@ def scored_by_many_versions(spark, sf_dir):
     return score_by_version(orders, "version", models).select("o_orderkey", F.col("score.value").alias("score"))
 
 
+# Forests of many versions: version i has trees over price and customer with bounds that depend on i.
+_FOREST_VERSIONS, _FOREST_TREES = 2_000, 5
+
+
+def _order_forest(i: int) -> ForestModel:
+    def split(name, bound, left, right):
+        return tuple(replace(n, test=Test(name, op, float(bound))) for n, op in ((left, "lessOrEqual"), (right, "greaterThan")))
+
+    def tree(t):
+        price = Node(None, split("o_totalprice", 100_000 + 10 * i, Node(None, value=float(i)), Node(None, value=t + 0.5)))
+        customer = Node(None, split("o_custkey", 100 * t + i % 7, Node(None, value=-1.0), Node(None, value=2.0)))
+        return Node(None, split("o_totalprice", 50_000 * (t + 1), price, customer))
+
+    return ForestModel(tuple(tree(t) for t in range(_FOREST_TREES)))
+
+
+@query(f"""
+SELECT o_orderkey, round((SELECT sum(CASE WHEN o_totalprice <= 50000 * (t + 1) THEN CASE WHEN o_totalprice <= 100000 + 10 * i THEN i::DOUBLE ELSE t + 0.5 END
+    ELSE CASE WHEN o_custkey <= 100 * t + i % 7 THEN -1.0 ELSE 2.0 END END) FROM range({_FOREST_TREES}) r(t)) / {_FOREST_TREES}, 6) AS score
+FROM (SELECT *, o_custkey % {_FOREST_VERSIONS} AS i FROM orders)
+""")
+def scored_by_many_forests(spark, sf_dir):
+    """Every order scored by its own one of 2,000 forests, from arrays of their splits."""
+    models = {i: _order_forest(i) for i in range(_FOREST_VERSIONS)}
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_custkey", (F.col("o_custkey") % _FOREST_VERSIONS).cast("int").alias("version"))
+    return score_by_version(orders, "version", models).select("o_orderkey", F.round("score.value", 6).alias("score"))
+
+
 class _PriceScorer:
     """A user's own model."""
 

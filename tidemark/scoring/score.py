@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.features import field_column
+from tidemark.scoring.ensembles import score_column, tables_of
 from tidemark.scoring.models import EXPRESSION_WEIGHTS, LinearModel, Model, NetworkModel, class_value, linear_value
 from tidemark.scoring.pmml import parse_pmml
 from tidemark.scoring.tables import parse_boosted, parse_network
@@ -108,7 +109,7 @@ def _activate(name: str, z: np.ndarray) -> np.ndarray:
     return np.maximum(z, 0.0) if name == "rectifier" else z
 
 
-# Linear models of one shape beyond this many are scored from a table of coefficients.
+# Linear models or ensembles of one shape beyond this many are scored from tables.
 COMPILED_LINEAR = 16
 
 
@@ -119,11 +120,13 @@ def score_by_version(
 
     `models` is what one catalogue holds. A row's version becomes a number once, by a lookup, and models are told apart by
     it. The helper columns of all models are made in the same few projections, each only on its model's rows. Linear
-    models of one shape, if they are many, are no code at all: their coefficients come by a broadcast lookup.
+    models of one shape, if they are many, are no code at all: their coefficients come by a broadcast lookup. So are trees,
+    forests and boosted models of one shape: their splits are arrays, scored in Arrow batches.
     """
     names, taken = df.columns, f"_{out}_no"
     keys = list(models)
     tables, rest = _linear_tables([(i, models[k]) for i, k in enumerate(keys)], compiled)
+    ensembles, rest = tables_of(rest, compiled)
     lookup = df.sparkSession.createDataFrame(
         [(k if isinstance(k, str) else int(k), i) for i, k in enumerate(keys)],
         T.StructType([T.StructField("_key", df.schema[version].dataType), T.StructField(taken, T.IntegerType())]),
@@ -137,6 +140,9 @@ def score_by_version(
         numbered = numbered.join(F.broadcast(own), F.col(taken) == F.col(f"_of{t}"), "left")
         total = " + ".join([f"_i{t}", *[f"_w{t}[{k}] * {_quoted_field(n)}" for k, n in enumerate(fields)]])
         scores.append((f"_of{t} IS NOT NULL", _value_sql(linear_value(link, total))))
+    for t, ensemble in enumerate(ensembles):
+        numbered = numbered.withColumn(f"_e{t}", score_column(numbered, ensemble, taken))
+        scores.append((f"_e{t} IS NOT NULL", f"_e{t}"))
     plans = []
     for i, model in rest:
         when = f"{taken} = {i}"
