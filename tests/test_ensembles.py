@@ -1,14 +1,18 @@
 """Array-encoded ensembles against their compiled form, and many versions in one query."""
 
 import random
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from tidemark.scoring import ensembles
+from tidemark.scoring import ensembles, score as scoring
 from tidemark.scoring.models import BoostedModel, ForestModel, Node, Test as Split, TreeModel
 from tidemark.scoring.score import score_by_version, with_score
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NAMES = ("a", "b", "c")
 
 
@@ -88,3 +92,49 @@ def test_largest_trees(spark):
     df = spark.range(64).select((F.col("id") % 3).cast("int").alias("v"), F.col("id").cast("double").alias("a"))
     assert len(models[0].root.leaves()) == 64
     assert all(r.score.value == r.a for r in score_by_version(df, "v", models, compiled=1).collect())
+
+
+class Counted:
+    """A scorer of one number that says on files how often it was loaded and cleaned up."""
+
+    def __init__(self, folder, name, broken=False):
+        self.folder, self.name, self.broken = folder, name, broken
+
+    def _note(self, what):
+        with open(f"{self.folder}/{self.name}", "a") as f:
+            f.write(what + "\n")
+
+    def load(self):
+        self._note("load")
+        if self.broken:
+            raise ValueError("cannot be loaded")
+
+    def score(self, batch):
+        if batch["a"].isna().any():
+            raise ValueError("a missing number")
+        return [a * 2 for a in batch["a"]]
+
+    def cleanup(self):
+        self._note("cleanup")
+
+
+def test_versions_that_fail_are_tried_once_and_few_are_held(spark, tmp_path, monkeypatch):
+    makers = {f"p{i}": (lambda i=i: Counted(str(tmp_path), f"p{i}", i == 1)) for i in range(6)}
+    handlers = {**makers, "m": TreeModel(Node(None, value=7.0))}
+    rows = [(i, ["m", "other", None, *makers][i % 9], None if i % 45 == 5 else float(i)) for i in range(900)]
+    df = spark.createDataFrame(rows, "i int, v string, a double").coalesce(1)
+    got = {r.i: r.score for r in scoring.score_by_any_version(df, "v", handlers, default=-1.0).collect()}
+    for i, v, a in rows:
+        if v == "m":
+            want = (7.0, "")
+        elif v not in makers:
+            want = (-1.0, "No model for this version")
+        elif v == "p1":
+            want = (-1.0, "cannot be loaded")
+        else:
+            want = (-1.0, "a missing number") if a is None else (2 * a, "")
+        assert (got[i].value, got[i].errors) == want
+    assert [(tmp_path / f"p{i}").read_text().split() for i in (0, 1, 2)] == [["load", "cleanup"], ["load"], ["load", "cleanup"]]
+    kept = scoring._ByVersion("v", makers, live=2)
+    kept.score_safe(df.where("v LIKE 'p%' AND a IS NOT NULL").toPandas(), -1.0)
+    assert len(kept.made) == 2 and list(kept.failed) == ["p1"]

@@ -335,7 +335,7 @@ def scored_by_three_kinds(spark, sf_dir):
         "F": LinearModel(1.0, (("o_totalprice", 2.0),)), "O": _PriceScorer, "P": lambda: RemoteScorer(_price_service, "stub"),
     }
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    scored = score_by_any_version(orders, "o_orderstatus", handlers, clock=lambda: 0)
+    scored = score_by_any_version(orders, "o_orderstatus", handlers)
     value = F.when(F.col("o_orderstatus") == "O", F.round("score.value", 6)).otherwise(F.col("score.value"))
     return scored.select("o_orderkey", value.alias("score"), F.col("score.errors").alias("errors"))
 

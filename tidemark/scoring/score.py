@@ -277,51 +277,96 @@ class RemoteScorer:
     def cleanup(self) -> None: ...
 
 
+# Scorers of versions that a task keeps loaded; the one used longest ago goes first.
+LIVE_SCORERS = 256
+
+
 class _ByVersion:
-    """Scores a batch with the scorers of the versions in it; each is made when its first row comes."""
+    """Scores a batch with the scorers of the versions in it; each is loaded when its first row comes.
 
-    def __init__(self, version: str, makers: Mapping[object, Callable[[], BatchScorer]]):
-        self.version, self.makers, self.made = version, makers, {}
+    A version that cannot be loaded is tried once; its rows get the default and that error. At most `live` scorers are
+    held; one that is put aside is cleaned up, and loaded again if it is wanted again.
+    """
 
-    def load(self) -> None: ...
+    def __init__(self, version: str, makers: Mapping[object, Callable[[], BatchScorer]], live: int = LIVE_SCORERS):
+        self.version, self.makers, self.live = version, makers, live
+        self.made: dict = {}
+        self.failed: dict = {}
 
-    def score(self, batch: pd.DataFrame) -> Sequence[object]:
-        values = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-        for key, rows in batch.groupby(self.version, sort=False):
-            if key not in self.made:
+    def _scorer(self, key):
+        scorer = self.made.pop(key, None)
+        if scorer is None and key not in self.failed:
+            try:
                 scorer = self.makers[key]()
                 scorer.load()
-                self.made[key] = scorer
-            values.loc[rows.index] = pd.Series(list(self.made[key].score(rows)), index=rows.index, dtype=object)
-        return values.tolist()
+            except Exception as e:
+                self.failed[key] = str(e) or type(e).__name__
+                return None
+            while len(self.made) >= self.live:
+                self.made.pop(next(iter(self.made))).cleanup()
+        if scorer is not None:
+            self.made[key] = scorer
+        return scorer
+
+    def score_safe(self, frame: pd.DataFrame, default: object) -> tuple[list, list]:
+        values, errors = [default] * len(frame), [""] * len(frame)
+        for key, places in frame.groupby(self.version, sort=False).indices.items():
+            own, why = _safe(self._scorer(key), frame.iloc[places], self.failed.get(key), default)
+            for place, value, error in zip(places.tolist(), own, why):
+                values[place], errors[place] = value, error
+        return values, errors
 
     def cleanup(self) -> None:
         for scorer in self.made.values():
             scorer.cleanup()
+        self.made = {}
 
 
 def score_by_any_version(
     df: DataFrame, version: str, handlers: Mapping[object, Model | Callable[[], BatchScorer]], default: float = 0.0,
-    clock: Callable[[], int] | None = None, out: str = "score",
+    out: str = "score",
 ) -> DataFrame:
     """Each row scored by its own version, whatever kind that is: a model, or what makes a user's or a remote scorer.
 
-    Adds a struct <value, errors>. Rows of models stay in generated code and never see Python; the others go through
-    Arrow batches once, grouped by version inside the batch. Rows without a known version get the default and an error.
+    Adds a struct <value, errors>. The input is read once. Rows of models are scored in generated code and reach Python
+    only as nulls; the others go through Arrow batches, grouped by version inside the batch. A version that cannot be
+    loaded is tried once a task. Rows without a known version get the default and an error.
     """
     models = {k: h for k, h in handlers.items() if isinstance(h, Model)}
     makers = {k: h for k, h in handlers.items() if not isinstance(h, Model)}
     names, at = df.columns, F.col(f"`{version}`")
-    in_python = at.isin(*makers) if makers else F.lit(False)
-    compiled = score_by_version(df.where(~F.coalesce(in_python, F.lit(False))), version, models, "_s")
     known = F.coalesce(at.isin(*models), F.lit(False)) if models else F.lit(False)
     error = F.when(~known, F.lit("No model for this version")).when(F.col("_s.value").isNull(), F.lit("No prediction")).otherwise("")
-    done = compiled.select(*[f"`{n}`" for n in names], F.struct(F.coalesce("_s.value", F.lit(default)).alias("value"), error.alias("errors")).alias(out))
+    result = F.struct(F.coalesce("_s.value", F.lit(default)).alias("value"), error.alias("errors"))
     if not makers:
-        return done
-    batched = score_batches(df.where(in_python), lambda: _ByVersion(version, makers), T.DoubleType(), default, clock, "_s")
-    value = F.struct(F.coalesce("_s.result", F.lit(default)).alias("value"), F.coalesce("_s.errors", F.lit("")).alias("errors"))
-    return done.unionByName(batched.select(*[f"`{n}`" for n in names], value.alias(out)))
+        return score_by_version(df, version, models, "_s").select(*[f"`{n}`" for n in names], result.alias(out))
+    in_python = F.coalesce(at.isin(*makers), F.lit(False))
+    rows = F.when(in_python, F.struct(*[F.col(f"`{n}`") for n in names]))
+    batched = df.withColumn("_b", _version_batches(version, makers, default)(rows))
+    scored = score_by_version(batched, version, models, "_s")
+    value = F.struct(F.coalesce("_b.result", F.lit(default)).alias("value"), F.coalesce("_b.errors", F.lit("")).alias("errors"))
+    return scored.select(*[f"`{n}`" for n in names], F.when(in_python, value).otherwise(result).alias(out))
+
+
+def _version_batches(version: str, makers: Mapping[object, Callable[[], BatchScorer]], default: float):
+    """A function of whole rows, null where a row is not to be scored; it is loaded and cleaned up once per task."""
+
+    @F.arrow_udf("struct<result:double,errors:string>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = _ByVersion(version, makers)
+        try:
+            for rows in batches:
+                wanted = np.flatnonzero(np.asarray(rows.is_valid()))
+                result, errors = np.full(len(rows), None, object), np.full(len(rows), None, object)
+                if len(wanted):
+                    frame = pa.RecordBatch.from_struct_array(rows.take(pa.array(wanted))).to_pandas()
+                    values, why = scorer.score_safe(frame, default)
+                    result[wanted], errors[wanted] = values, why
+                yield pa.StructArray.from_arrays([pa.array(result.tolist(), pa.float64()), pa.array(errors.tolist(), pa.string())], ["result", "errors"])
+        finally:
+            scorer.cleanup()
+
+    return score
 
 
 def _safe(scorer, frame: pd.DataFrame, broken: str | None, default: object) -> tuple[list, list]:
