@@ -71,9 +71,10 @@ def _token(i: int) -> Column:
 def _judged(df: DataFrame, schema: T.StructType, fields: Sequence[Column], error: Column, keep: Sequence[str]) -> DataFrame:
     record = F.struct(*[c.alias(f.name) for f, c in zip(schema.fields, fields)])
     outcome = df.withColumn("_error", error.cast("string"))
-    whole = F.struct(F.when(F.col("_error").isNull(), record).cast(schema).alias("record"), F.col("_error").alias("error"))
-    # A filter on the outcome would otherwise be moved below all steps and do their work a second time.
-    return outcome.select(*keep, F.explode(F.array(whole)).alias("_parsed")).select(*keep, "_parsed.record", "_parsed.error")
+    # A filter on the outcome would otherwise be moved below all steps and do their work a second time; what depends on
+    # the task stays where it is.
+    settled = F.when(F.spark_partition_id() >= 0, F.col("_error")).alias("error")
+    return outcome.select(*keep, F.when(F.col("_error").isNull(), record).cast(schema).alias("record"), settled)
 
 
 def _first_null(values: Column) -> Column:
@@ -81,21 +82,36 @@ def _first_null(values: Column) -> Column:
     return F.array_position(F.transform(values, lambda v: v.isNull()), True)
 
 
+_FINITE = 1.7976931348623157e308
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    return F.coalesce(reduce(lambda a, b: a & b, conditions), F.lit(False))
+
+
 def parse_wine(lines: DataFrame, text: str = "value", separator: str = ";", lot: str = WINE_LOT) -> DataFrame:
-    """At least eleven numbers; every token must be one, also those past the eleventh, which are dropped."""
+    """At least eleven numbers; every token must be one, also those past the eleventh, which are dropped.
+
+    Plain lines, of finite numbers and one token more at most, are read as columns; only the others are looked at token
+    by token.
+    """
     width = len(WINE_FEATURES)
-    read = split_lines(lines, text, separator).withColumn(
-        "_read", F.transform("_tokens", lambda t: t.try_cast("double"))
-    )
+    n = F.size("_tokens")
+    cut = split_lines(lines, text, separator)
+    read = cut.select("*", *[_token(i).try_cast("double").alias(f"_d{i}") for i in range(width + 1)])
+    finite = [F.col(f"_d{i}").between(-_FINITE, _FINITE) for i in range(width + 1)]
+    read = read.withColumn("_plain", _all([*finite[:width], (n == width) | (n == width + 1) & finite[width]]))
+    # Null on plain lines, here and below.
+    read = read.withColumn("_read", F.when(~F.col("_plain"), F.transform("_tokens", lambda t: t.try_cast("double"))))
     checked = read.withColumn("_numbers", F.zip_with("_tokens", "_read", _checked_double))
     marked = checked.withColumn("_bad", trim_control(F.get("_tokens", _first_null(F.col("_numbers")) - 1)))
     cause = F.when(F.col("_bad") == "", F.lit("java.lang.NumberFormatException: empty String")).otherwise(
         _number_error(F.col("_bad"))
     )
-    error = F.when(
-        F.size("_tokens") < width, F.concat(F.lit("Record does not have 11 fields, "), "_text")
+    error = F.when(F.col("_plain"), F.lit(None)).when(
+        n < width, F.concat(F.lit("Record does not have 11 fields, "), "_text")
     ).when(F.col("_bad").isNotNull(), F.concat(F.lit("Failed to parse string "), "_text", F.lit(". cause: "), cause))
-    fields = [F.lit(lot)] + [F.get("_numbers", F.lit(i)) for i in range(width)]
+    fields = [F.lit(lot)] + [F.when(F.col("_plain"), F.col(f"_d{i}")).otherwise(F.get("_numbers", F.lit(i))) for i in range(width)]
     return _judged(marked, WINE_RECORD, fields, error, lines.columns)
 
 
@@ -105,35 +121,40 @@ def parse_airline(
     """At least 29 fields, NA read as 0, all but three of them whole numbers.
 
     `text_codes` takes the first run of digits (else 0) of tailNum and cancellationCode, instead of refusing rows
-    where they are not numbers.
+    where they are not numbers. Lines without fault and without odd blanks are read as columns; only the others are
+    looked at token by token.
     """
     width = len(AIRLINE_FIELDS)
     words = [i for i, name in enumerate(AIRLINE_FIELDS) if name in AIRLINE_TEXT_FIELDS]
     codes = [i for i, name in enumerate(AIRLINE_FIELDS) if name in ("tailNum", "cancellationCode")]
 
-    def trimmed(token: Column) -> Column:
-        # Other blanks than the space are rare: looked for once per line, not once per token.
-        return F.when(F.col("_odd"), trim_control(token)).otherwise(F.trim(token))
-
-    def clean(token: Column, i: Column) -> Column:
+    def clean(token: Column, coded: Column | bool) -> Column:
         value = F.when(token == "NA", F.lit("0"))
-        if text_codes:
+        if text_codes and coded is not False:
             digits = F.regexp_extract(token, "[0-9]+", 0)
-            value = value.when(i.isin(*codes), F.when(digits == "", F.lit("0")).otherwise(digits))
+            value = value.when(F.lit(coded) if coded is True else coded, F.when(digits == "", F.lit("0")).otherwise(digits))
         return value.otherwise(token)
 
     cut = split_lines(lines, text, separator).withColumn("_odd", F.col("_text").rlike(r"[\x00-\x1f]"))
-    short = cut.withColumn("_trimmed", F.transform(F.slice("_tokens", 1, width), trimmed))
-    cleaned = short.withColumn("_clean", F.transform("_trimmed", clean))
-    read = cleaned.withColumn(
+    words_of = lambda i: clean(F.trim(_token(i)), i in codes)
+    read = cut.select("*", *[(words_of(i) if i in words else words_of(i).try_cast("int")).alias(f"_f{i}") for i in range(width)])
+    numbers = [F.col(f"_f{i}").isNotNull() for i in range(width) if i not in words]
+    read = read.withColumn("_plain", _all([~F.col("_odd"), F.size("_tokens") >= width, *numbers]))
+    # Null on plain lines, here and below.
+    slow = read.withColumn("_trimmed", F.when(~F.col("_plain"), F.transform(F.slice("_tokens", 1, width), trim_control)))
+    slow = slow.withColumn("_clean", F.transform("_trimmed", lambda t, i: clean(t, i.isin(*codes))))
+    slow = slow.withColumn(
         "_numbers", F.transform("_clean", lambda t, i: F.when(i.isin(*words), F.lit(0)).otherwise(_trimmed_int(t)))
     )
-    marked = read.withColumn("_bad", F.get("_clean", _first_null(F.col("_numbers")) - 1))
-    error = F.when(F.size("_tokens") < width, F.lit("ERROR: record does not have 29 fields.")).when(
+    marked = slow.withColumn("_bad", F.get("_clean", _first_null(F.col("_numbers")) - 1))
+    error = F.when(F.col("_plain"), F.lit(None)).when(F.size("_tokens") < width, F.lit("ERROR: record does not have 29 fields.")).when(
         F.col("_bad").isNotNull(),
         F.concat(F.lit("ERROR: Failed to parse string "), "_text", F.lit(". cause: "), _number_error(F.col("_bad"))),
     )
-    fields = [F.get("_clean" if i in words else "_numbers", F.lit(i)) for i in range(width)]
+    fields = [
+        F.when(F.col("_plain"), F.col(f"_f{i}")).otherwise(F.get("_clean" if i in words else "_numbers", F.lit(i)))
+        for i in range(width)
+    ]
     return _judged(marked, AIRLINE_RECORD, fields, error, lines.columns)
 
 
