@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidemark.session import BROADCAST_ROWS, broadcast_if_small, settle
+from tidemark.session import BROADCAST_ROWS, broadcast_if_small, settle, shared_dir
 
 TARGET_ROWS = 2_000_000
 _LOWEST = -(2**63)
@@ -273,11 +273,13 @@ def numbered_lines(
     """Sequence number from 1 in file and line order, for lines as `read_lines` gives them, filtered or parsed.
 
     Tasks read stretches of files in order, so a line's number is the lines of earlier stretches plus its place in its
-    own. One extra pass keeps a row per stretch; the lines themselves are not shuffled. If a pass were to cut the files
-    otherwise, the job fails instead of giving wrong numbers. With more stretches than `limit`, or where rows of a file
-    do not stand together in a task, the lines are ordered like any other table.
+    own. The lines are written once to the shared folder, with their place in the task that read them, so whatever made
+    them runs once; their numbers come from one row per stretch, and the lines are not shuffled. With more stretches than
+    `limit`, or where rows of a file do not stand together in a task, the lines are ordered like any other table.
     """
-    marked = lines.select("*", F.monotonically_increasing_id().alias("_row"))
+    path = shared_dir(lines.sparkSession, "lines")
+    lines.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    marked = lines.sparkSession.read.parquet(path)
     stretch = F.shiftright("_row", 33)
     stretches = settle(
         marked.groupBy(F.col(file).alias("_of_file"), stretch.alias("_of_task")).agg(
@@ -286,17 +288,14 @@ def numbered_lines(
     )
     apart = F.col("_last") - F.col("_first") + 1 != F.col("_n")
     if stretches.where(apart).limit(1).count() or stretches.count() > limit:
-        return numbered(lines, [file, line], out)
+        return numbered(marked.drop("_row"), [file, line], out)
     # One row per stretch, that is per split of a file.
     before = Window.orderBy("_of_file", "_low").rowsBetween(Window.unboundedPreceding, -1)
     placed = settle(
-        stretches.select("_of_file", "_of_task", "_n", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        stretches.select("_of_file", "_of_task", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
     )
     joined = marked.join(F.broadcast(placed), F.col(file).eqNullSafe(F.col("_of_file")) & (stretch == F.col("_of_task")), "left")
-    place = F.col("_row") - F.col("_first")
-    changed = F.raise_error(F.lit("The files were cut differently in two passes; read them again.")).cast("bigint")
-    number = F.when((place >= 0) & (place < F.col("_n")), F.col("_before") + place + 1).otherwise(changed)
-    return joined.select(*[F.col(f"`{c}`") for c in lines.columns], number.alias(out))
+    return joined.select(*[F.col(f"`{c}`") for c in lines.columns], (F.col("_row") + F.col("_shift")).alias(out))
 
 
 def first_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:

@@ -226,8 +226,8 @@ def record_sequence(spark, sf_dir):
     """Good records of many files numbered from 1 in file and line order."""
     folder = _write_in_order(wine_lines(spark, sf_dir), shared_dir(spark, "text"))
     parsed = parse_lines(read_lines(spark, dirs=[folder]), parse_wine).where("error IS NULL")
-    got = numbered_lines(parsed.select("file_idx", "line_no", "record"))
-    return got.select("seq", "record.volatile_acidity", "record.chlorides")
+    got = numbered_lines(parsed.select("file_idx", "line_no", "record.volatile_acidity", "record.chlorides"))
+    return got.select("seq", "volatile_acidity", "chlorides")
 
 
 @query(f"""
