@@ -3,9 +3,13 @@
 import base64
 import collections
 import hashlib
+import html.parser
+import json
 import math
 import random
 import re
+import time
+import uuid
 import zlib
 
 import numpy as np
@@ -205,6 +209,25 @@ def test_common_words_of_a_language_spread_thinly(spark):
     assert all(list(again[k].place) == list(refs[k].place) and list(again[k].words) == list(refs[k].words) for k in refs)
 
 
+def test_languages_without_a_reference_and_more_than_fit(spark, make_docs, monkeypatch):
+    words = ["der", "die", "und", "the", "of", "le", "la", "uno"]
+    rows = [(i, " ".join(words[(i + k * k) % (3 + i % 5)] for k in range(80)), f"l{i % 7}", "s") for i in range(140)] + [(999, "x y z " * 30, None, "s")]
+    docs = make_docs(rows)
+    want = sorted(map(str, divergence.judge_documents(docs).collect()))
+    monkeypatch.setattr(divergence, "LANGUAGES", 3)
+    assert sorted(map(str, divergence.judge_documents(docs).collect())) == want
+    monkeypatch.undo()
+    # A language that the references do not know is held against all of them together, and none at all is no fault.
+    refs = divergence.references(docs.where("lang != 'l0'"))
+    got = divergence.judge(docs.where("lang = 'l0'"), refs).collect()
+    whole = divergence.pooled(refs)
+    for r in got:
+        d = whole.distances(rows[r.doc_id][1].encode())
+        assert (r.char_js, r.word_js) == (d[0], d[1])
+    assert len(got) == 20 and sum(whole.classes) == sum(sum(x.classes) for x in refs.values())
+    assert all((r.char_js, r.word_js, r.kept) == (0.0, 0.0, not r.base_failed) for r in divergence.judge(docs, {}).collect())
+
+
 def test_clean_documents_are_kept(spark):
     labels = spark.read.parquet(f"{LARGER}/labels.parquet")
     got = queries.op4_quality_divergence(spark, LARGER).where("NOT base_failed").join(labels, "doc_id").collect()
@@ -272,6 +295,74 @@ def test_page_text():
     assert warc.headers_of("HTTP/1.1 200 OK\r\nA: 1\r\nA: 2\r\nbad") == {"status": "HTTP/1.1 200 OK", "fields": {"A": "1, 2"}}
 
 
+class PlainPage(html.parser.HTMLParser):
+    """A page read by the standard library's parser."""
+
+    BREAKS = set(
+        "address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr "
+        "li main nav ol option p pre section table tbody td tfoot th thead title tr ul".split()
+    )
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.out, self.title, self.links, self.hidden, self.in_title = [], [], [], None, False
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if self.hidden:
+            return
+        if tag in ("script", "style", "template", "noscript"):
+            self.hidden = tag
+            self.out.append(" ")
+        self.in_title |= tag == "title"
+        self.out.append("\n" if tag in self.BREAKS else "")
+        self.links += [v.strip() for k, v in attrs if tag == "a" and k == "href"]
+
+    def handle_endtag(self, tag):
+        if tag == self.hidden:
+            self.hidden = None
+        elif not self.hidden:
+            self.in_title &= tag != "title"
+            self.out.append("\n" if tag in self.BREAKS else "")
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.out.append(data)
+            self.title += [data] if self.in_title else []
+
+    def handle_comment(self, data):
+        self.out.append(" ")
+
+    def text(self):
+        lines = (re.sub(r"[ \t\r\f\v\xa0]+", " ", x).strip() for x in "".join(self.out).split("\n"))
+        return "\n".join(x for x in lines if x)
+
+
+def test_derivatives_against_the_standard_parser(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{LARGER}/pages.parquet").collect()}
+    rows = queries.op6_warc_derivatives(spark, LARGER).collect()
+    assert len(rows) == 2 * len(pages)
+    for r in rows:
+        page = PlainPage(pages[r.page_id].html)
+        source = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(10).join(['response', pages[r.page_id].url, warc.DATE, r.source_digest]))}>"
+        assert r.refers_to == source and r.record_id == f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, r.record_type + chr(10) + source)}>"
+        if r.record_type == "conversion":
+            assert r.block == page.text()
+        else:
+            about = json.loads(r.block)
+            assert (about["title"], about["links"]) == (" ".join("".join(page.title).split()), page.links)
+            assert about["http"]["fields"] == {"Content-Type": "text/html; charset=utf-8"} and about["refers-to"] == source
+
+
+@pytest.mark.parametrize("part", ["<a ", "<script ", "<title>", '<a href="', "<!--", "<script>", "<a href href ", "</script ", "<a href='x' ", "<", "<a><b"])
+def test_broken_pages_take_linear_time(part):
+    page = part * (1_000_000 // len(part))
+    start = time.process_time()
+    warc.read_page(page)
+    assert time.process_time() - start < 5
+
+
 def test_derivatives(spark, tmp_path):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
     source = {r.page_id: r for r in pages.collect()}
@@ -403,6 +494,17 @@ def test_noise_of_any_shape_is_restored(spark):
         assert decoder.restore(text) == text, text
 
 
+def test_repeated_labels_count_once(spark, make_docs):
+    docs = make_docs([(i, f"you are {'an idiot and scum' if i % 3 == 0 else 'kind and clever'} today {i}", "en", "s") for i in range(400)])
+    labels = [(i, 0, int(i % 3 == 0)) for i in range(400)]
+    kind = "doc_id long, quality int, toxic int"
+    once = deobfuscation.fit(docs, spark.createDataFrame(labels, kind))
+    # The id that is picked first, as often as many samples hold.
+    first = next(r.id for r in spark.range(400).where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0).orderBy(F.xxhash64("id")).collect())
+    many = deobfuscation.fit(docs, spark.createDataFrame(labels + [labels[first]] * 5 * deobfuscation.SAMPLE, kind))
+    assert once.weights and many.weights == once.weights and many.bias == once.bias
+
+
 def test_toxicity_odd_input(spark, odd_docs, no_docs, make_docs):
     labels = spark.createDataFrame([(0, None), (None, 1), (1, 1), (2, 0), (2, 0)], "doc_id long, toxic int")
     kept = deobfuscation.without_toxic(odd_docs, labels)

@@ -23,7 +23,7 @@ from tidemark.llm.common import arrow_schema, col, pieces, struct_with, text_of,
 WINDOW = 13
 
 # Test texts that are searched for in one pass, in characters; more are searched in several passes of this size.
-PASS_CHARS = 32_000_000
+PASS_CHARS = 4_000_000
 
 # Bytes that are no part of a word become spaces; A-Z become small letters; bytes of other characters stay.
 _FOLD = bytes(

@@ -257,6 +257,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_: str = "doc_
     marked = (
         labels.select(col(labels, id_).alias("id"), col(labels, label).cast("int").alias("y"))
         .where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & (bucket(F.col("id"), folds) != 0))
+        # However many rows say so, an id has a label once.
+        .distinct()
     )
     sizes = {r.y: r.n for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
@@ -264,7 +266,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_: str = "doc_
     # Half as many again as wanted, as some rows have no document or a long text; then exactly the bound.
     share = F.element_at(F.create_map(*[x for y, n in sizes.items() for x in (F.lit(y), F.lit(min(1.0, 1.5 * SAMPLE / n)))]), F.col("y"))
     picked = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
-    wanted = F.broadcast(picked.orderBy(F.xxhash64("id"), "id", "y").limit(4 * SAMPLE))
+    most = [picked.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(2 * SAMPLE) for y in (0, 1)]
+    wanted = F.broadcast(most[0].unionByName(most[1]))
     texts = docs.select(col(docs, id_).alias("id"), text_of(docs, text).alias("t")).where(F.length("t") <= SAMPLE_CHARS)
     # One text per id and label: an id that very many rows share must not bring them all to the driver.
     rows = texts.join(wanted, "id").groupBy("id", "y").agg(F.min("t").alias("t")).mapInArrow(_featured(decoder), "id string, y int, words array<string>").collect()

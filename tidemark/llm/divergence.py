@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from tidemark.llm.common import arrow_schema, col, pieces, struct_with, texts_of
 LEAST_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 
-# Common words of a language; languages with a reference of their own, which bounds what is sent to all executors.
+# Common words of a language; languages whose references are made and sent to all executors at once.
 COMMON_WORDS = 150
 LANGUAGES = 500
 OTHERS = "\0"
@@ -120,10 +121,11 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < LEAST_WORDS or 100 * n_repeat_words > 50 * n_words
 
 
-def own_languages(docs: DataFrame, lang: str = "lang", most: int = LANGUAGES) -> list[str]:
-    """The most frequent languages; they have references of their own, all others share one."""
+def own_languages(docs: DataFrame, lang: str = "lang", most: int | None = LANGUAGES) -> list[str]:
+    """The most frequent languages, or all of them."""
     names = docs.select(F.coalesce(col(docs, lang).cast("string"), F.lit("")).alias("lang"))
-    top = names.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most)
+    top = names.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    top = top if most is None else top.limit(most)
     return sorted(r.lang for r in top.collect())
 
 
@@ -200,6 +202,34 @@ class Reference:
         return jensen_shannon(chars, self.classes), jensen_shannon(hist, self.words), int(chars.sum()), len(own)
 
 
+def pooled(refs: dict[str, "Reference"]) -> "Reference | None":
+    """The sum of all references, for a language that has none of its own."""
+    if not refs:
+        return None
+    counts: Counter = Counter()
+    for ref in refs.values():
+        counts.update({w: int(ref.words[i]) for w, i in ref.place.items()})
+    most = max(len(ref.place) for ref in refs.values())
+    top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:most]
+    return Reference(sum(ref.classes for ref in refs.values()), [w for w, _ in top], [n for _, n in top], int(sum(ref.words.sum() for ref in refs.values())))
+
+
+def judge_documents(docs: DataFrame, text: str = "text", lang: str = "lang", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Every document against the reference of its own language, whatever the number of languages.
+
+    References are made and used for LANGUAGES languages at a time, so what is held at once is bounded.
+    """
+    names = own_languages(docs, lang, None)
+    if len(names) <= LANGUAGES:
+        return judge(docs, references(docs, text, lang), text, lang, keep)
+    parts = []
+    for at in range(0, len(names), LANGUAGES):
+        block = F.broadcast(docs.sparkSession.createDataFrame([(n,) for n in names[at:at + LANGUAGES]], "_name string"))
+        own = docs.join(block, F.coalesce(col(docs, lang).cast("string"), F.lit("")) == F.col("_name"), "left_semi")
+        parts.append(judge(own, references(own, text, lang), text, lang, keep))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def verdict(char_js: float, word_js: float, n_chars: int, n_counted: int) -> bool:
     if n_chars >= LEAST_CHARACTERS and char_js > CHARACTER_LIMIT + CHARACTER_SLACK / n_chars**0.5:
         return False
@@ -215,25 +245,29 @@ FIGURES = (
 def judge(
     docs: DataFrame, refs: dict[str, Reference], text: str = "text", lang: str = "lang", keep: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """The kept columns with the base figures, the verdict and both distances."""
-    n = len(keep)
+    """The kept columns with the base figures, the verdict and both distances.
+
+    A language without a reference is held against the sum of all; without any reference both distances are 0.
+    """
+    n, rest = len(keep), refs.get(OTHERS) or pooled(refs)
     schema = struct_with(docs, keep, FIGURES)
     out = arrow_schema(schema)
-    shared = docs.sparkSession.sparkContext.broadcast(refs)
+    shared = docs.sparkSession.sparkContext.broadcast((refs, rest))
     light = docs.select(
         *[col(docs, c).alias(f"c{i}") for i, c in enumerate(keep)], F.coalesce(col(docs, lang).cast("string"), F.lit("")).alias("_lang"),
         col(docs, text).cast("string").alias("_text"),
     )
 
     def run(batches):
-        known = shared.value
+        known, rest_of_all = shared.value
         for batch in pieces(batches):
             rows = []
             for name, t in zip(batch.column(n).to_pylist(), texts_of(batch)):
                 data = _utf8(t)
                 base = base_figures(data)
                 failed = base_failed(base[0], base[4])
-                d = known.get(name, known.get(OTHERS)).distances(data)
+                reference = known.get(name, rest_of_all)
+                d = reference.distances(data) if reference else (0.0, 0.0, 0, 0)
                 rows.append((*base, failed, not failed and verdict(*d), d[0], d[1]))
             kept = [batch.column(i).cast(out.field(i).type) for i in range(n)]
             columns = list(zip(*rows)) or [[]] * 9

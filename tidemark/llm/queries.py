@@ -43,8 +43,7 @@ def op3_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return divergence.judge(docs, divergence.references(docs))
+    return divergence.judge_documents(documents(spark, sf_dir))
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,15 +24,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import arrow_schema, col, pieces, struct_with
 
-# Parts of a page that hold no text; tags that end a line; all other tags.
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
-_BREAKS = re.compile(
-    r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|"
-    r"li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*(?:>|\Z)", re.I,
+# Elements that hold no text of the page; tags that end a line.
+_HIDDEN = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "template", "noscript")}
+_BREAKS = frozenset(
+    "address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr "
+    "li main nav ol option p pre section table tbody td tfoot th thead title tr ul".split()
 )
-_TAG = re.compile(r"<[a-zA-Z/!?][^>]*(?:>|\Z)")
+_OPEN = re.compile(r"<(?=[a-zA-Z/!?])")
+_NAME = re.compile(r"<(/?)([a-zA-Z]\w*)")
+_TITLE_END = re.compile(r"</title\s*>", re.I)
 _BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.I | re.S)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _SPACE = re.compile(r"\s+")
 
@@ -54,20 +55,62 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(10).join(parts))}>"
 
 
+def read_page(page: str) -> tuple[str, str, list[str]]:
+    """Text, title and links of a page, in one pass over its tags; what is open at the end reaches to the end.
+
+    The text has a line per block, blanks joined, no empty lines.
+    """
+    at, size, out, links, title, in_title = 0, len(page), [], [], None, False
+    while at < size:
+        found = _OPEN.search(page, at)
+        start = found.start() if found else size
+        out.append(page[at:start])
+        if in_title:
+            title.append(page[at:start])
+        if not found:
+            break
+        stands_for, after = "", size
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            stands_for, after = " ", size if end < 0 else end + 3
+        else:
+            end = page.find(">", start)
+            named = _NAME.match(page, start)
+            name = named.group(2).lower() if named else ""
+            opens = bool(named) and not named.group(1)
+            after = size if end < 0 else end + 1
+            if opens and end >= 0 and name in _HIDDEN:
+                close = _HIDDEN[name].search(page, after)
+                stands_for, after = " ", close.end() if close else size
+            elif name in _BREAKS:
+                stands_for = "\n"
+            if opens and name == "a":
+                link = _LINK.match(page, start)
+                if link:
+                    links.append(html.unescape(link.group(1) or link.group(2) or link.group(3) or "").strip())
+            elif name == "title":
+                if opens and end >= 0 and title is None:
+                    title, in_title = [], True
+                elif not opens and _TITLE_END.match(page, start):
+                    in_title = False
+        out.append(stands_for)
+        if in_title and stands_for == " ":
+            title.append(" ")
+        at = after
+    lines = (_BLANKS.sub(" ", line).strip() for line in html.unescape("".join(out)).split("\n"))
+    return "\n".join(line for line in lines if line), _SPACE.sub(" ", html.unescape("".join(title or ()))).strip(), links
+
+
 def page_text(page: str) -> str:
-    """The text of a page: a line per block, blanks joined, no empty lines."""
-    flat = _TAG.sub("", _BREAKS.sub("\n", _HIDDEN.sub(" ", page)))
-    lines = (_BLANKS.sub(" ", line).strip() for line in html.unescape(flat).split("\n"))
-    return "\n".join(line for line in lines if line)
+    return read_page(page)[0]
 
 
 def page_title(page: str) -> str:
-    found = _TITLE.search(_HIDDEN.sub(" ", page))
-    return _SPACE.sub(" ", html.unescape(_TAG.sub("", found.group(1)))).strip() if found else ""
+    return read_page(page)[1]
 
 
 def page_links(page: str) -> list[str]:
-    return [html.unescape(a or b or c).strip() for a, b, c in _LINK.findall(_HIDDEN.sub(" ", page))]
+    return read_page(page)[2]
 
 
 def headers_of(http_headers: str) -> dict:
@@ -118,13 +161,14 @@ def derive(responses: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFram
             places, rows = [], []
             for i, (source, target, day, headers, body, source_digest) in enumerate(zip(*cols)):
                 body = body or ""
+                page, title, links = read_page(body)
                 about = {
                     "refers-to": source, "source-digest": source_digest, "http": headers_of(headers or ""),
-                    "title": page_title(body), "links": page_links(body),
+                    "title": title, "links": links,
                 }
                 for kind, mime, block in (
                     ("metadata", "application/json", json.dumps(about, ensure_ascii=False, sort_keys=True)),
-                    ("conversion", "text/plain; charset=utf-8", page_text(body)),
+                    ("conversion", "text/plain; charset=utf-8", page),
                 ):
                     data = block.encode("utf-8", "replace")
                     places.append(i)
