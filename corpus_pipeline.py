@@ -46,10 +46,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shelf = Shelf(spark)
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
+        shelf = Shelf(spark)
         docs = shelf.put(stage(spark, docs, sf_dir), name)
+        # Nothing reads a stage's input once its result is written.
+        if before:
+            before.__exit__()
+        before = shelf
     return docs
 
 
