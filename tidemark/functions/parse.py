@@ -228,7 +228,7 @@ def require_good(parsed: DataFrame, files: list[str]) -> tuple[int, int]:
     """Counts of good and bad lines; raises when no line of the whole input is good."""
     counts = quality_counts(parsed).first()
     if counts.good == 0:
-        raise AllRecordsAreBad(f"All records found in the resources [{', '.join(files)}] failed to parse!!")
+        raise AllRecordsAreBad(f"none of the {counts.bad} lines could be read; files: {', '.join(files)}")
     return counts.good, counts.bad
 
 

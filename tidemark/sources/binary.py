@@ -32,8 +32,7 @@ def read_bytes(spark: SparkSession, paths: Sequence[str], max_bytes: int = MAX_B
     large = listing.where(F.col("length") >= max_bytes).select(
         "path", F.col("modificationTime").alias("modified"), F.lit(None).cast("binary").alias("bytes"),
         F.concat(
-            F.lit(f"We reached the maximum allowed size of {max_bytes} while reading the file system resource from path "),
-            F.col("path"),
+            F.lit("not read: "), F.col("path"), F.lit(f" has {max_bytes} bytes or more, the largest size taken"),
         ).alias("error"),
     )
     return small.unionByName(large).unionByName(missing)

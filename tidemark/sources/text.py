@@ -30,21 +30,46 @@ class MissingInput(ValueError):
     """Some of the requested files are not there, or none were requested."""
 
 
-def existing_paths(spark: SparkSession, paths: Sequence[str], fail_if_missing: bool = True) -> list[str]:
-    """Check every requested path; report all missing ones at once, or go on with those present."""
+def _statuses(spark: SparkSession, paths: Sequence[str]) -> dict[str, bool]:
+    """Those of the paths that are there, and whether each is a folder; one listing for all paths of one parent."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    families: dict[str, list] = {}
+    for path in dict.fromkeys(paths):
+        place = hadoop_path(path)
+        files = place.getFileSystem(conf)
+        place = files.makeQualified(place)
+        parent = place.getParent()
+        families.setdefault(parent.toString() if parent is not None else "", []).append((path, place, files))
+    found = {}
+    for family in families.values():
+        if len(family) == 1:
+            path, place, files = family[0]
+            if files.exists(place):
+                found[path] = files.getFileStatus(place).isDirectory()
+            continue
+        files, parent = family[0][2], family[0][1].getParent()
+        listed = {s.getPath().getName(): s.isDirectory() for s in files.listStatus(parent)} if files.exists(parent) else {}
+        found |= {path: listed[place.getName()] for path, place, _ in family if place.getName() in listed}
+    return found
+
+
+def existing_paths(spark: SparkSession, paths: Sequence[str], fail_if_missing: bool = True) -> dict[str, bool]:
+    """Check every requested path; report all missing ones at once, or go on with those present.
+
+    Gives the paths that are there, in their order, and whether each is a folder.
+    """
     if not paths:
         if fail_if_missing:
             raise MissingInput("no paths were given to read from")
-        return []
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    present = {p: hadoop_path(p).getFileSystem(conf).exists(hadoop_path(p)) for p in dict.fromkeys(paths)}
-    missing = [p for p in paths if not present[p]]
+        return {}
+    present = _statuses(spark, paths)
+    missing = [p for p in paths if p not in present]
     if missing and fail_if_missing:
         raise MissingInput(f"not there: {', '.join(missing)}")
     for path in missing:
         _log.warning("not there, left out: %s", path)
-    return [p for p in paths if present[p]]
+    return {p: present[p] for p in paths if p in present}
 
 
 def _literal(path: str) -> str:
@@ -179,13 +204,14 @@ def read_lines(
     can be read and one more that begins with UNREADABLE.
     """
     if paths:
-        found, name_regex = existing_paths(spark, paths, fail_if_missing), ""
+        present, name_regex = existing_paths(spark, paths, fail_if_missing), ""
     elif dirs:
-        found = existing_paths(spark, dirs, False)
+        present = existing_paths(spark, dirs, False)
     else:
         raise MissingInput("Neither paths nor directories were given.")
-    files = list(dict.fromkeys(found))
-    folders = {p for p in files if _is_folder(spark, p)}
+    found = [p for p in paths or dirs if p in present]
+    files = list(present)
+    folders = {p for p in files if present[p]}
     # Folders may hold both kinds; each scan leaves out what the other reads.
     plain = [_literal(p) for p in files if p in folders or not p.endswith((".zip", ".bzip2"))]
     packed = [_literal(p) for p in files if p in folders or p.endswith((".zip", ".bzip2"))]
@@ -220,11 +246,6 @@ def qualified(spark: SparkSession, path: str) -> str:
     return here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(here).toString()
 
 
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    here = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(here).isDirectory()
-
-
 def _any_file(spark: SparkSession, paths: Sequence[str], regex: str) -> bool:
     """Whether there is any file, empty ones included; only the listing is read."""
     if not paths:
