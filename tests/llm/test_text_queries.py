@@ -16,6 +16,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontamination, deobfuscation, divergence, queries, ring, string_kernel, warc
@@ -425,6 +426,66 @@ def test_kernel_by_sets():
     assert [x for x, _ in model.predict(texts)] == ["en", "de", "it", "en"]
 
 
+def plain_languages(rows):
+    """(id, text, lang) to {id: (language, score)} by sets of n-grams and the primal normal equations."""
+    def spectrum(text):
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        joined = f" {' '.join(words)} "
+        return {joined[i:i + n] for n in (1, 2, 3) for i in range(len(joined) - n + 1)} if words else set()
+
+    def kernel(a, b):
+        return len(a & b) / math.sqrt(len(a) * len(b)) if a else 0.0
+
+    seen = {(lang, text) for i, text, lang in rows if text and zlib.crc32(str(i).encode()) % 3 != 1}
+    def place(text):
+        return xxhash.xxh64_intdigest(text.encode(), 42) % (1 << 30)
+    sample = sorted((lang, place(text), text) for lang, text in seen if spectrum(text))
+    names = sorted({lang for lang, _, _ in sample})
+    assert all(len([1 for lang, _, _ in sample if lang == name]) <= string_kernel.SAMPLE for name in names)
+    marks = [x for name in names for x in [x for x in sample if x[0] == name][:string_kernel.LANDMARKS]]
+    marks = [spectrum(text) for _, _, text in marks]
+    among = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(among)
+    good = values > 1e-8 * values.max()
+    project = vectors[:, good] / np.sqrt(values[good])
+    sets = [spectrum(text) for _, _, text in sample]
+    features = np.array([[kernel(s, m) for m in marks] for s in sets]) @ project
+    coefficients = []
+    for name in names:
+        weight = np.array([1 / sum(y == lang for y, _, _ in sample) / len(names) for lang, _, _ in sample])
+        left = features.T @ (weight[:, None] * features) + 1e-2 / len(sample) * np.eye(features.shape[1])
+        coefficients.append(project @ np.linalg.solve(left, features.T @ (weight * [lang == name for lang, _, _ in sample])))
+    out = {}
+    for i, text, _ in rows:
+        own = spectrum(text or "")
+        values = np.array([kernel(own, m) for m in marks]) @ np.array(coefficients).T
+        out[i] = (names[values.argmax()], min(1.0, max(0.0, values.max()))) if own else ("und", 0.0)
+    return out
+
+
+def test_languages_against_plain_form(spark):
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang").collect()
+    want = plain_languages([tuple(r) for r in rows if r.lang is not None])
+    got = {r.doc_id: r for r in queries.op8_language_identification(spark, FOLDER).collect() if r.doc_id in want}
+    assert len(got) == len(want) > 100
+    for i, (name, score) in want.items():
+        assert got[i].lang_pred == name and got[i].score == pytest.approx(score, abs=2e-3)
+
+
+def test_many_languages_and_long_texts_are_learnt(spark):
+    """More languages than any bound on classes, one of them with long texts only, another held by most rows."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    codes = [letters[k // 26 % 26] + letters[k % 26] for k in range(150)]
+    rows = [(f"{k}-{j}", f"{code}q{code}x {code}{code} " * (j + 1), code) for k, code in enumerate(codes) for j in range(12)]
+    rows += [(f"long-{j}", "ölü büyük " * 3_000 + "güneş" * j, "long") for j in range(8)]
+    rows += [(f"copy-{j}", "the same copied line", "copies") for j in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string").repartition(4)
+    model = string_kernel.fit(docs)
+    assert set(model.languages) == {*codes, "long", "copies"} and len(model.norms) <= string_kernel.ALL_LANDMARKS
+    asked = ["ölü büyük güneş", "the same copied line", *[f"{c}q{c}x {c}{c}" for c in codes]]
+    assert [name for name, _ in model.predict(asked)] == ["long", "copies", *codes]
+
+
 def test_language_odd_input(odd_docs, no_docs, make_docs):
     model = string_kernel.fit(odd_docs)
     got = string_kernel.identify(odd_docs, model, keep=["text"]).collect()
