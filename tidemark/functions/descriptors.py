@@ -52,13 +52,20 @@ def same_descriptor(left: str, right: str) -> Column:
     return both
 
 
-def fingerprint(data: str = "modelBytes") -> Column:
-    """Stands for the whole descriptor in comparisons, so that model bytes need not be moved."""
+def content_hash(data: str = "modelBytes") -> Column:
+    """Names the bytes of a model; null for none."""
+    return F.sha2(data, 256)
+
+
+def fingerprint(data: str = "modelBytes", hashed: str | None = None) -> Column:
+    """Stands for the whole descriptor in comparisons, so that model bytes need not be moved.
+
+    `hashed` names a column that has the content hash already.
+    """
     parts = [F.coalesce(F.concat(F.lit("="), name), F.lit("-")) for name in IDENTITY if name != "modelBytes"]
     lengths = [F.coalesce(F.length(name), F.lit(-1)).cast("string") for name in IDENTITY if name != "modelBytes"]
-    return F.sha2(
-        F.encode(F.concat_ws("|", *lengths, *parts, F.coalesce(F.sha2(data, 256), F.lit("-"))), "utf-8"), 256
-    )
+    content = F.col(hashed) if hashed else content_hash(data)
+    return F.sha2(F.encode(F.concat_ws("|", *lengths, *parts, F.coalesce(content, F.lit("-"))), "utf-8"), 256)
 
 
 def descriptor_error(supported: Sequence[str]) -> Column:

@@ -6,13 +6,16 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.functions.descriptors import check_descriptors, fingerprint, summary
+from tidemark.functions.descriptors import check_descriptors, content_hash, fingerprint, summary
 from tidemark.operators.ordering import TARGET_ROWS, following
 from tidemark.operators.asof import micros
 
 # Earlier than any record: where a restored model becomes valid.
 BEFORE_ALL = "1900-01-01 00:00:00"
 
+# Model bytes that `load_models` takes into the driver.
+DRIVER_BYTES = 512 << 20
+
 
 def usable_versions(descriptors: DataFrame, supported: Sequence[str]) -> DataFrame:
     """Descriptors that give a model; a refused one leaves the model before it in place."""
@@ -23,12 +26,47 @@ def refused_versions(descriptors: DataFrame, supported: Sequence[str]) -> DataFr
     return check_descriptors(descriptors, supported).where("error IS NOT NULL")
 
 
-def load_models(descriptors: DataFrame, load: Callable[[str, bytes | None, str | None], object]) -> tuple[dict, DataFrame]:
-    """Make models from a bounded catalogue of descriptors that have a `version_id`.
+def store_bytes(descriptors: DataFrame, folder: str) -> DataFrame:
+    """Keep every different model once, under the hash of its bytes; the descriptors get `modelHash` for `modelBytes`.
+
+    A folder may be added to: only hashes it does not have yet are written. What is decided on the versions afterwards
+    (resent ones, the current one, who is valid when) moves hashes only; `with_bytes` gives the bytes to what is left.
+    Descriptors without bytes have a null hash.
+    """
+    spark = descriptors.sparkSession
+    known = descriptors.select(content_hash().alias("modelHash"), "modelBytes").where(F.col("modelBytes").isNotNull())
+    if place_exists(spark, folder):
+        known = known.join(spark.read.parquet(folder).select("modelHash"), "modelHash", "left_anti")
+    once = known.groupBy("modelHash").agg(F.first("modelBytes").alias("modelBytes"))
+    once.write.mode("append").parquet(folder)
+    return descriptors.withColumn("modelHash", content_hash()).drop("modelBytes")
+
+
+def with_bytes(versions: DataFrame, folder: str) -> DataFrame:
+    """The versions with the bytes that `store_bytes` kept; a hash it does not have gives null."""
+    # Two writers at once may both have written a hash.
+    kept = versions.sparkSession.read.parquet(folder).join(versions.select("modelHash").distinct(), "modelHash", "left_semi")
+    return versions.join(kept.groupBy("modelHash").agg(F.first("modelBytes").alias("modelBytes")), "modelHash", "left")
+
+
+def place_exists(spark: SparkSession, folder: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
+def load_models(
+    descriptors: DataFrame, load: Callable[[str, bytes | None, str | None], object], most_bytes: int = DRIVER_BYTES
+) -> tuple[dict, DataFrame]:
+    """Make models from a catalogue of descriptors that have a `version_id`.
 
     Returns ({version_id: model}, table of version_id and error). Whatever `load` raises becomes an error value and
-    the version stays out of the first part. Model files are read one by one, so the driver never holds them all.
+    the version stays out of the first part. Model files are read one by one, but the models stay in the driver: with
+    more than `most_bytes` of them this refuses before reading any, and `score_by_any_version`, which loads on the
+    workers, is the way.
     """
+    size = descriptors.agg(F.sum(F.octet_length("modelBytes"))).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"models of {size} bytes are more than the driver should hold ({most_bytes}); score them on the workers")
     models, outcome = {}, []
     wanted = descriptors.select(
         "version_id", "modelType", "modelBytes", "modelSourceLocation", summary().alias("summary")
@@ -49,9 +87,13 @@ def load_models(descriptors: DataFrame, load: Callable[[str, bytes | None, str |
 def drop_resent(
     descriptors: DataFrame, by: Sequence[str], valid_from: str, seq: str, target_rows: int = TARGET_ROWS
 ) -> DataFrame:
-    """Drop a descriptor equal to the one right before it for the same key (P13, `dedupe`)."""
+    """Drop a descriptor equal to the one right before it for the same key (P13, `dedupe`).
+
+    Descriptors may have `modelBytes` or, as `store_bytes` gives them, only `modelHash`.
+    """
+    hashed = "modelHash" if "modelHash" in descriptors.columns else None
     timed = descriptors.select("*", (-micros(valid_from)).alias("_back"), (-F.col(seq)).alias("_back_seq"),
-                               fingerprint().alias("_mark"))
+                               fingerprint(hashed=hashed).alias("_mark"))
     seen = following(timed, list(by), ["_back", "_back_seq"], "_mark", "_mark_before", target_rows)
     return seen.where(~F.col("_mark").eqNullSafe(F.col("_mark_before"))).drop(
         "_back", "_back_seq", "_mark", "_mark_before"

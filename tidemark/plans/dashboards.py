@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.descriptors import WINE_TYPES
 from tidemark.operators import registry
 from tidemark.operators.asof import micros
-from tidemark.operators.timeseries import auto_width_of, count_by_tag, mean_by_tag, mean_of_fields, recent
+from tidemark.operators.rollup import Pyramid, keep_pyramid, mean_of
+from tidemark.operators.timeseries import auto_width, auto_width_of, count_by_tag, fill_gaps, mean_by_tag, mean_of_fields, recent
 from tidemark.plans.common import EVENT_MODELS_SQL, event_models, signup_descriptors, table
 from tidemark.plans.serving import assigned_events
 from tidemark.session import prepare, shared_dir
@@ -285,6 +286,51 @@ def stream_bucket_counts(spark, sf_dir):
     return written.select("event_type", "bucket", "n", F.round("total", 3).alias("total"))
 
 
+def _pyramid(spark, sf_dir):
+    """All events as a stream of three batches, kept as quarters, hours and days."""
+    work = shared_dir(spark, "stream")
+    pyramid = Pyramid(prepare(spark), f"{work}/pyramid", [QUARTER, HOUR, 24 * HOUR], {"value": "double", "user_id": "bigint"}, {"event_type": "string"})
+    schema, files = _event_files(spark, sf_dir, f"{work}/in", range(3), 3)
+    stream = serving.file_stream(spark, f"{work}/in", schema, files_per_trigger=-(-files // 3))
+    keep_pyramid(stream, "ts", pyramid, f"{work}/checkpoint").awaitTermination()
+    return pyramid
+
+
+@query(_linear("avg(value)", "mean", False))
+def rollup_mean_linear_fill(spark, sf_dir):
+    """Hourly means with filled gaps, from the pyramid's hours instead of the events."""
+    means = _pyramid(spark, sf_dir).buckets(HOUR).select("event_type", "bucket", mean_of("value").alias("mean"))
+    return fill_gaps(means, HOUR, {"mean": "linear"}, ["event_type"]).select("event_type", "bucket", F.round("mean", 8).alias("mean"))
+
+
+@query(" UNION ALL ".join(f"""
+SELECT {width} AS width_us, event_type, epoch_us(ts) // {width} * {width} AS bucket, count(*) AS n, round(avg(value), 8) AS mean, min(value) AS least,
+  max(value) AS greatest, sum(user_id)::BIGINT AS users FROM events GROUP BY 1, 2, 3""" for width in (2 * QUARTER, 3 * HOUR, 48 * HOUR)))
+def rollup_levels(spark, sf_dir):
+    """Three widths that are no level themselves, each from the widest level that divides it."""
+    pyramid, out = _pyramid(spark, sf_dir), None
+    for width in (2 * QUARTER, 3 * HOUR, 48 * HOUR):
+        part = pyramid.buckets(width).select(
+            F.lit(width).alias("width_us"), "event_type", "bucket", F.col("rows").alias("n"), F.round(mean_of("value"), 8).alias("mean"),
+            F.col("value_min").alias("least"), F.col("value_max").alias("greatest"), F.col("user_id_sum").cast("bigint").alias("users"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(f"""
+WITH ends AS (SELECT min(epoch_us(ts) // {QUARTER} * {QUARTER}) AS f, max(epoch_us(ts) // {QUARTER} * {QUARTER}) AS l FROM events),
+w AS (SELECT CASE WHEN (l - f) / 100000 <= 16200000 THEN 10800000 WHEN (l - f) / 100000 <= 32400000 THEN 21600000 ELSE 43200000 END::BIGINT * 1000 AS width FROM ends)
+SELECT epoch_us(ts) // width * width AS bucket, any_value(width) AS width_us, count(value) AS n FROM events, w GROUP BY 1
+""")
+def rollup_auto_width(spark, sf_dir):
+    """The chosen width for about 100 points picks the level that its buckets are read from."""
+    pyramid = _pyramid(spark, sf_dir)
+    first, last = pyramid.ends() or (0, 0)
+    width = 1000 * spark.range(1).select(auto_width(F.lit(first), F.lit(last), 100)).first()[0]
+    return pyramid.buckets(width).groupBy("bucket").agg(F.lit(width).alias("width_us"), F.sum("value_n").alias("n"))
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def stream_user_sink(spark, sf_dir):
     """A user's own write function as the output of a stream."""

@@ -16,7 +16,7 @@ from tidemark.plans.common import (
 )
 from tidemark.scoring.models import ForestModel, LinearModel, Node, Test
 from tidemark.scoring.score import RemoteScorer, score_by_any_version, score_by_version
-from tidemark.session import shared_dir
+from tidemark.session import prepare, shared_dir
 
 QUERIES, ORACLE = {}, {}
 
@@ -104,6 +104,24 @@ def latest_model(spark, sf_dir):
     return latest.select("server", "seq", F.col("modelName").alias("model_name"))
 
 
+@query(f"""
+WITH marked AS (SELECT *, coalesce(modelName IS NOT DISTINCT FROM lag(modelName) OVER w
+    AND description IS NOT DISTINCT FROM lag(description) OVER w AND modelType IS NOT DISTINCT FROM lag(modelType) OVER w
+    AND payload IS NOT DISTINCT FROM lag(payload) OVER w
+    AND modelSourceLocation IS NOT DISTINCT FROM lag(modelSourceLocation) OVER w AND lag(seq) OVER w IS NOT NULL, false) AS resent
+  FROM {ORDER_DESCRIPTORS_SQL} WINDOW w AS (PARTITION BY server ORDER BY valid_from, seq))
+SELECT server, seq, sha256(payload) AS hash, hex(payload) AS model FROM (
+  SELECT *, row_number() OVER (PARTITION BY server ORDER BY valid_from DESC, seq DESC) AS n FROM marked WHERE NOT resent) WHERE n = 1
+""")
+def latest_model_by_content(spark, sf_dir):
+    """Models are kept once by content; resent and outdated descriptors go before any bytes are moved."""
+    folder = shared_dir(prepare(spark), "models")
+    light = registry.store_bytes(order_descriptors(spark, sf_dir), folder)
+    latest = registry.latest_versions(registry.drop_resent(light, ["server"], "valid_from", "seq"), ["server"], seq="seq")
+    found = registry.with_bytes(latest, folder)
+    return found.select("server", "seq", F.col("modelHash").alias("hash"), F.hex("modelBytes").alias("model"))
+
+
 _SUMMARY_SQL = """'name=' || coalesce(modelName, 'null') || '; about=' || coalesce(description, 'null') || '; type='
  || coalesce(modelType, 'null') || '; at=' || coalesce(modelSourceLocation, 'null') || '; bytes[' || coalesce(strlen(payload), 0) || ']='
  || CASE WHEN coalesce(payload, '') = '' THEN '[]' ELSE hex(payload) END"""
