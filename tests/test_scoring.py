@@ -3,6 +3,7 @@ import math
 import os
 import random
 import sys
+import time
 from pathlib import Path
 
 import pandas as pd
@@ -423,6 +424,44 @@ def test_remote_recommendations(spark):
     assert call_service(df.withColumn("request", F.lit("{")).withColumn("location", F.lit("l")), lambda r, l: [(200, "x")] * len(r), batch_rows=1).count() == 4
 
 
+def test_requests_in_flight(spark, tmp_path):
+    """Several calls at a time, equal requests once, busy and failing ones again: the serial form's replies in its order."""
+    log = str(tmp_path / "log")
+
+    def note(line):
+        at = os.open(log, os.O_CREAT | os.O_APPEND | os.O_WRONLY)
+        os.write(at, (line + "\n").encode())
+        os.close(at)
+
+    def transport(requests, place):
+        note("begin")
+        for r in requests:
+            note(f"asked {r}")
+        time.sleep(0.05)
+        asked = [open(log).read().split("\n").count(f"asked {r}") for r in requests]
+        note("end")
+        if any(r == "bad" for r in requests):
+            raise RuntimeError("bad request")
+        return [(503, "later") if r == "busy" and n <= 2 else (200, r + place) for r, n in zip(requests, asked)]
+
+    texts = ["busy", "bad"] + [f"r{i // 3}" for i in range(118)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "i int, request string, location string").coalesce(1)
+    options = dict(batch_rows=6, clock=lambda: 5)
+    many = call_service(df, transport, in_flight=4, once=True, retries=1, backoff_s=0.01, **options).collect()
+    lines = open(log).read().split("\n")
+    os.remove(log)
+    serial = call_service(df, transport, **options).collect()
+    assert [r.i for r in many] == [r.i for r in serial] == list(range(120))
+    assert many[0].reply.body == "busyx" and many[1].reply.failure == serial[1].reply.failure == "bad request"
+    assert [r.reply for r in many[2:]] == [r.reply for r in serial[2:]]
+    running = [sum(1 if x == "begin" else -1 if x == "end" else 0 for x in lines[:k]) for k in range(len(lines))]
+    assert 2 <= max(running) <= 4
+    # Twenty batches of six with two to three different texts; the first is sent whole, then one by one, then in part again.
+    assert len([x for x in lines if x.startswith("asked r")]) < 70
+    with pytest.raises(ValueError, match="at least"):
+        call_service(df, transport, in_flight=0)
+
+
 def test_shorter_side_of_a_response_wins(spark):
     body = '{"outputs":{"model-version":["1"],"recommendations":[[0.5,9],[0.25],[0.125]]}}'
     df = spark.createDataFrame([(body, [8, 9]), (body, [1, 2, 3, 4]), ("junk", [1])], "b string, products array<bigint>")

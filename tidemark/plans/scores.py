@@ -434,17 +434,30 @@ def stub_service(requests, location):
     return replies
 
 
-@query(f"""
+_REMOTE_SQL = f"""
 SELECT user, CASE WHEN user % 10 = 0 THEN 'Error processing serving request - code 500, error no user ' || user || ' at stub' ELSE '' END AS errors,
   CASE WHEN user % 10 = 0 THEN '' ELSE list_aggregate(list_transform(products, lambda p: p::VARCHAR), 'string_agg', ',') END AS keys,
   CASE WHEN user % 10 = 0 THEN 0.0 ELSE round(list_sum(list_transform(products, lambda p: (p % 97) / 100.0))::DOUBLE, 6) END AS total
 FROM {_BASKETS}
-""")
-def recommend_remote(spark, sf_dir):
+"""
+
+
+def _recommended(spark, sf_dir, **options):
     asked = baskets(spark, sf_dir).withColumn("location", F.lit("stub"))
-    out = recommend(asked, stub_service, clock=lambda: 0)
+    out = recommend(asked, stub_service, clock=lambda: 0, **options)
     total = F.aggregate("modelResult.values", F.lit(0.0), lambda a, v: a + v)
     return out.select(
         F.col("inputRecord.user").alias("user"), F.col("modelResultMetadata.errors").alias("errors"),
         F.array_join("modelResult.keys", ",").alias("keys"), F.round(total, 6).alias("total"),
     )
+
+
+@query(_REMOTE_SQL)
+def recommend_remote(spark, sf_dir):
+    return _recommended(spark, sf_dir)
+
+
+@query(_REMOTE_SQL)
+def recommend_remote_in_flight(spark, sf_dir):
+    """Four calls at a time in every task, equal requests of a batch sent once."""
+    return _recommended(spark, sf_dir, in_flight=4, once=True, batch_rows=64)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -11,6 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 # Request texts of a batch and the service's address in; (status code, body) for each out.
 Transport = Callable[[Sequence[str], str], Sequence[tuple[int, str]]]
 
+# Status codes by which a service asks to be called again later.
+BUSY = (429, 503)
+
 RESPONSE = "outputs struct<`model-version`: array<string>, recommendations: array<array<double>>>"
 
 
@@ -44,11 +49,20 @@ def call_service(
     location: str = "location",
     batch_rows: int = 256,
     clock: Callable[[], int] | None = None,
+    in_flight: int = 1,
+    once: bool = False,
+    retries: int = 0,
+    backoff_s: float = 0.5,
 ) -> DataFrame:
     """Add `reply`: struct<code, body, failure, start_ms, duration_ms>, calling the service with batches of requests.
 
-    A failing batch is retried one request at a time, so that one bad request costs only itself.
+    A failing batch is retried one request at a time, so that one bad request costs only itself. A task has at most
+    `in_flight` batches on their way, each in a thread of its own (the transport must allow that), and gives the rows in
+    their order; so no more than these are held. With `once`, equal requests of a batch are sent once. What fails or gets
+    a BUSY code is asked again up to `retries` times, after a pause that doubles; its duration spans all attempts.
     """
+    if in_flight < 1 or batch_rows < 1:
+        raise ValueError("in_flight and batch_rows must be 1 at least")
     reply = T.StructType.fromDDL("code int, body string, failure string, start_ms bigint, duration_ms bigint")
     schema = T.StructType([*df.schema.fields, T.StructField("reply", reply)])
 
@@ -56,25 +70,51 @@ def call_service(
         from pyspark.sql.pandas.types import to_arrow_type
 
         now = clock or (lambda: int(time.time() * 1000))
-        for whole in batches:
-            for first in range(0, whole.num_rows, batch_rows):
-                batch = whole.slice(first, batch_rows)
-                texts = batch.column(batch.schema.get_field_index(request)).to_pylist()
-                places = batch.column(batch.schema.get_field_index(location)).to_pylist()
-                answers: list[tuple | None] = [None] * len(texts)
-                for place in dict.fromkeys(places):
-                    rows = [i for i, p in enumerate(places) if p == place]
-                    for i, answer in zip(rows, _ask(transport, [texts[i] for i in rows], place, now)):
-                        answers[i] = answer
-                kind = to_arrow_type(reply)
-                column = pa.StructArray.from_arrays(
-                    [pa.array(values, field.type) for values, field in zip(zip(*answers), kind)], fields=list(kind)
-                )
-                yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "reply"])
+        kind = to_arrow_type(reply)
+
+        def answered(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = batch.column(batch.schema.get_field_index(request)).to_pylist()
+            places = batch.column(batch.schema.get_field_index(location)).to_pylist()
+            answers: list[tuple | None] = [None] * len(texts)
+            for place in dict.fromkeys(places):
+                rows = [i for i, p in enumerate(places) if p == place]
+                asked = [texts[i] for i in rows]
+                sent = list(dict.fromkeys(asked)) if once else asked
+                got = _patiently(transport, sent, place, now, retries, backoff_s)
+                by_text = dict(zip(sent, got)) if once else {}
+                for i, answer in zip(rows, [by_text[t] for t in asked] if once else got):
+                    answers[i] = answer
+            column = pa.StructArray.from_arrays(
+                [pa.array(values, field.type) for values, field in zip(zip(*answers), kind)], fields=list(kind)
+            )
+            return pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "reply"])
+
+        with ThreadPoolExecutor(in_flight) as pool:
+            waiting = deque()
+            for whole in batches:
+                for first in range(0, whole.num_rows, batch_rows):
+                    waiting.append(pool.submit(answered, whole.slice(first, batch_rows)))
+                    if len(waiting) == in_flight:
+                        yield waiting.popleft().result()
+            while waiting:
+                yield waiting.popleft().result()
 
     return df.mapInArrow(run, schema)
 
 
+def _patiently(transport: Transport, texts: list[str], place: str, now, retries: int, backoff_s: float) -> list[tuple]:
+    answers = _ask(transport, texts, place, now)
+    for attempt in range(retries):
+        again = [i for i, (code, _, failure, _, _) in enumerate(answers) if failure is not None or code in BUSY]
+        if not again:
+            break
+        time.sleep(backoff_s * 2**attempt)
+        for i, (code, body, failure, _, _) in zip(again, _ask(transport, [texts[i] for i in again], place, now)):
+            start = answers[i][3]
+            answers[i] = (code, body, failure, start, now() - start)
+    return answers
+
+
 def _ask(transport: Transport, texts: list[str], place: str, now) -> list[tuple]:
     """(code, body, failure, start, duration) per request."""
     start = now()
