@@ -506,6 +506,60 @@ def test_toxicity_held_out(spark):
     assert sum(clean) <= 0.01 * len(clean)
 
 
+def plain_toxicity(docs, labels):
+    """Scores by id: trigrams in a dictionary, the chi-square statistic of the two-by-two table, a dense logistic model.
+
+    Only the Viterbi decoder, which has a test of its own, is the operator's.
+    """
+    counts = np.zeros(deobfuscation.CLASSES**3, np.int64)
+    for text in docs.values():
+        kinds = [0, 0, *[deobfuscation.class_of(c) for c in text or ""], 0]
+        for a, b, c in zip(kinds, kinds[1:], kinds[2:]):
+            counts[(a * deobfuscation.CLASSES + b) * deobfuscation.CLASSES + c] += 1
+    decoder = deobfuscation.Decoder(counts)
+
+    def features(text):
+        out = set()
+        for word in re.findall(r"[^\W\d_]+", decoder.restore(text or "").lower()):
+            out |= {"=" + word} | {f"^{word}$"[i:i + n] for n in (4, 5) for i in range(len(word) + 3 - n)}
+        return out
+
+    own = {i: features(t) for i, t in docs.items()}
+    learnt = sorted((i, y) for i, y in labels.items() if y in (0, 1) and i in docs and zlib.crc32(str(i).encode()) % 5 != 0)
+    assert all(len(docs[i] or "") <= deobfuscation.SAMPLE_CHARS for i, _ in learnt) and len(learnt) <= deobfuscation.SAMPLE
+    held = [collections.Counter(f for i, y in learnt if y == k for f in own[i]) for k in (0, 1)]
+    n = [sum(y == k for _, y in learnt) for k in (0, 1)]
+    strength = {}
+    for f, a in held[1].items():
+        b = held[0][f]
+        c, d = n[1] - a, n[0] - b
+        if a >= 2 and a + b >= deobfuscation.LEAST_ROWS and a * n[0] > b * n[1]:
+            strength[f] = sum(n) * (a * d - b * c) ** 2 / ((a + b) * max(c + d, 1e-9) * n[0] * n[1])
+    chosen = [f for f in strength if strength[f] >= deobfuscation.LEAST_CHI_SQUARE]
+    assert 0 < len(chosen) <= deobfuscation.FEATURES
+    x = np.array([[f in own[i] for f in chosen] for i, _ in learnt], float)
+    y = np.array([k for _, k in learnt], float)
+    weight = np.where(y > 0, len(y) / (2 * n[1]), len(y) / (2 * n[0]))
+    w, b, gw, gb = np.zeros(len(chosen)), 0.0, np.full(len(chosen), 1e-8), 1e-8
+    for _ in range(400):
+        g = weight * (1 / (1 + np.exp(-(x @ w + b))) - y) / len(y)
+        dw, db = x.T @ g + 1e-4 * w, g.sum()
+        gw, gb = gw + dw**2, gb + db**2
+        w, b = w - 0.3 * dw / np.sqrt(gw), b - 0.3 * db / np.sqrt(gb)
+    weights = dict(zip(chosen, w))
+    return {i: 1 / (1 + math.exp(-b - sum(v for f, v in weights.items() if f in own[i]))) for i in docs}
+
+
+def test_toxicity_against_plain_form(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{LARGER}/labels.parquet").select("doc_id", "toxic").collect()}
+    want = plain_toxicity(docs, labels)
+    got = queries.op10_toxicity(spark, LARGER).collect()
+    assert len(got) == len(want) == len(docs) > 500
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id], abs=1e-5) and r.predicted == int(r.score >= 0.5)
+
+
 def test_viterbi_finds_the_best_path():
     texts = ["the idiot is a moron and the loser is stupid", "a stupid idiot was the scum of trash and of the clown"] * 20
     decoder = deobfuscation.Decoder(deobfuscation.count_trigrams(texts))
