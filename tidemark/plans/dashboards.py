@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.functions.descriptors import WINE_TYPES
 from tidemark.operators import registry
 from tidemark.operators.asof import micros
+from tidemark.operators.ordering import numbered
 from tidemark.operators.rollup import Pyramid, keep_pyramid, mean_of
 from tidemark.operators.timeseries import auto_width, auto_width_of, count_by_tag, fill_gaps, mean_by_tag, mean_of_fields, recent
 from tidemark.plans.common import EVENT_MODELS_SQL, event_models, signup_descriptors, table
 from tidemark.plans.serving import assigned_events
 from tidemark.session import prepare, shared_dir
+from tidemark.sinks.delivery import deliver_stream, outcomes
 from tidemark.sinks.points import (
     WINE_PREFIX, PointSpec, each_batch, line_protocol, points, read_points, write_points,
     write_text,
 )
 from tidemark.streaming import serving
 from tidemark.streaming.keyed import serve_keyed
+from tidemark.streaming.paced import lay_out, play
 from tidemark.streaming.runs import RunStore, collect_runs, keep_latest_runs, serve_from_runs
 
 QUERIES, ORACLE = {}, {}
@@ -386,6 +390,53 @@ def stream_paced(spark, sf_dir):
     return written.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(paced))
 
 
+@query("""
+WITH n AS (SELECT (count(*) + 5) // 6 AS pace FROM events)
+SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1) // pace AS batch FROM events, n
+""")
+def stream_record_paced(spark, sf_dir):
+    """Events in order of time, a sixth of them per batch, with a stop in the middle of a batch and a new start.
+
+    The first run is lost while it writes its third batch; the second one writes that batch again, with the same events.
+    """
+    work = shared_dir(spark, "stream")
+    events = numbered(table(spark, sf_dir, "events").select("event_id", "ts"), ["ts", "event_id"])
+    lay_out(events, f"{work}/in", block=100_000)
+    pace = -(-spark.read.parquet(f"{work}/in").count() // 6)
+    lost = []
+
+    def write(rows, batch_id):
+        rows.select("event_id").write.mode("overwrite").parquet(f"{work}/out/batch={batch_id}")
+        if batch_id == 2 and not lost:
+            lost.append(batch_id)
+            raise OSError("lost while writing the third batch")
+
+    try:
+        play(spark, f"{work}/in", pace, write, f"{work}/checkpoint", block=100_000).await_end()
+    except StreamingQueryException:
+        play(spark, f"{work}/in", pace, write, f"{work}/checkpoint", block=100_000).await_end()
+    return spark.read.option("basePath", f"{work}/out").parquet(f"{work}/out/batch=*").select("event_id", F.col("batch").cast("bigint").alias("batch"))
+
+
+@query("""
+SELECT event_type, count(*) FILTER (value < 200) AS stored, count(*) FILTER (value >= 200) AS refused FROM events GROUP BY event_type
+""")
+def stream_delivered_points(spark, sf_dir):
+    """Points of a stream sent to a store that takes no values from 200 on; what it refuses is set aside."""
+    work = shared_dir(spark, "stream")
+    schema, files = _event_files(spark, sf_dir, f"{work}/in", range(3), 3)
+    stream = serving.file_stream(spark, f"{work}/in", schema, files_per_trigger=-(-files // 3))
+    spec = PointSpec("event", {"value": "value"}, {"model": "event_type"})
+
+    def send(lines, token):
+        values = [float(line.split(" ")[1].removeprefix("value=")) for line in lines]
+        return ["out of range" if v >= 200 else None for v in values]
+
+    deliver_stream(stream, lambda batch: line_protocol(batch, spec, "ts"), send, f"{work}/delivery", f"{work}/checkpoint").awaitTermination()
+    sent = outcomes(spark, f"{work}/delivery").withColumn("event_type", F.regexp_extract("line", "model=([^ ]+) ", 1))
+    return sent.groupBy("event_type").agg(F.count_if(F.col("error").isNull()).alias("stored"), F.count("error").alias("refused"))
+
+
 @query("SELECT DISTINCT event_id, user_id FROM events")
 def stream_dedupe(spark, sf_dir):
     """Events delivered twice come out once."""
