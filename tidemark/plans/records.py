@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import bz2
+import io
 import json
+import os
+import zipfile
+from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.envelope import double_result, envelope, failed, label_result, metadata, now_ms, succeeded
@@ -302,3 +308,56 @@ def feature_projection(spark, sf_dir):
         *_KEY, *names, F.col("v")[0].cast("double").alias("v0"), F.col("v")[1].cast("double").alias("v1"),
         (F.col("l_quantity") + F.col("l_discount")).alias("model_input"),
     )
+
+
+# Orders of an archive, about.
+_ARCHIVED = 20_000
+
+
+def _pack(folder: str):
+    """Writes archives named by number, a zip with an entry per status or, for odd numbers, a bzip2 file."""
+    folder = "/" + folder.removeprefix("file:").lstrip("/")
+
+    def zipped(draft, rows):
+        with zipfile.ZipFile(draft, "w", zipfile.ZIP_DEFLATED) as archive:
+            for status, own in groupby(rows, lambda r: r[1]):
+                with io.TextIOWrapper(archive.open(f"{status}.csv", "w"), encoding="utf-8") as entry:
+                    entry.writelines(f"{line}\n" for _, _, line in own)
+
+    def squeezed(draft, rows):
+        with bz2.open(draft, "wt", encoding="utf-8") as text:
+            text.writelines(f"{line}\n" for _, _, line in rows)
+
+    def run(batches):
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        os.makedirs(folder, exist_ok=True)
+        for number, own in groupby(rows, lambda r: r[0]):
+            # Under its name only when it is whole: a task may be lost, or run twice.
+            draft = f"{folder}/{os.urandom(8).hex()}.draft"
+            (squeezed if number % 2 else zipped)(draft, own)
+            os.replace(draft, f"{folder}/{number}.{'bzip2' if number % 2 else 'zip'}")
+            yield pa.RecordBatch.from_arrays([pa.array([number])], names=["archive"])
+
+    return run
+
+
+@query(f"""
+WITH n AS (SELECT count(*) // {_ARCHIVED} + 2 AS archives FROM orders)
+SELECT o_orderkey, o_orderkey % archives AS archive, o_totalprice,
+  row_number() OVER (PARTITION BY o_orderkey % archives ORDER BY o_orderstatus, o_orderkey) - 1 AS line_no FROM orders, n
+""")
+def archived_lines(spark, sf_dir):
+    """Orders in zip archives of several entries and in bzip2 files, with their line numbers."""
+    folder = shared_dir(spark, "archives")
+    orders = table(spark, sf_dir, "orders")
+    n = orders.count() // _ARCHIVED + 2
+    line = F.concat_ws(";", "o_orderkey", "o_totalprice").alias("line")
+    placed = orders.select((F.col("o_orderkey") % n).alias("archive"), "o_orderstatus", line, "o_orderkey")
+    # An archive is a file, so one task writes it.
+    packed = placed.repartition("archive").sortWithinPartitions("archive", "o_orderstatus", "o_orderkey").drop("o_orderkey")
+    packed.mapInArrow(_pack(folder), "archive bigint").count()
+    fields = F.split("value", ";")
+    return read_lines(spark, dirs=[folder], name_regex=r"\.(zip|bzip2)$").select(
+        fields[0].cast("bigint").alias("o_orderkey"), F.regexp_extract("file", r"([0-9]+)\.[a-z0-9]+$", 1).cast("bigint").alias("archive"),
+        fields[1].cast("double").alias("o_totalprice"), "line_no",
+    )

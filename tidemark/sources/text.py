@@ -6,7 +6,6 @@ import bz2
 import io
 import logging
 import zipfile
-import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -14,12 +13,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.session import broadcast_if_small, settle
+from tidemark.sources.archives import FAULTS, UNREADABLE, Opener, archive_lines, fault_of, is_local, open_local, text_lines
 
 _ARCHIVES = r"\.(zip|bzip2)$"
 _BATCH_LINES = 20_000
 
-# Begins the line that stands for the rest of a corrupt archive.
-UNREADABLE = "\x00unreadable archive: "
 _LINES = "file string, at bigint, value string"
 
 
@@ -93,15 +91,10 @@ def _unpack(name: str, content: bytes) -> Iterator[str]:
             for entry in archive.infolist():
                 if not entry.is_dir():
                     with archive.open(entry) as raw:
-                        yield from _text_lines(raw)
+                        yield from text_lines(raw)
     else:
         with bz2.open(io.BytesIO(content)) as raw:
-            yield from _text_lines(raw)
-
-
-def _text_lines(raw) -> Iterator[str]:
-    for line in io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline=None):
-        yield line[:-1] if line.endswith("\n") else line
+            yield from text_lines(raw)
 
 
 def _archive_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,9 +117,9 @@ def _archive_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                     if len(lines) == _BATCH_LINES:
                         yield out(name.as_py(), start, lines)
                         start, lines = start + len(lines), []
-            except (zipfile.BadZipFile, zlib.error, OSError, EOFError, NotImplementedError, RuntimeError) as e:
+            except FAULTS as e:
                 # What could be read stays; the fault itself is a line that no parser takes for a record.
-                lines.append(f"{UNREADABLE}{e}")
+                lines.append(f"{UNREADABLE}{fault_of(e)}")
             if lines:
                 yield out(name.as_py(), start, lines)
 
@@ -177,13 +170,17 @@ def _plain_lines(spark: SparkSession, locations: Sequence[str], regex: str) -> t
     return numbered, splits.select("file").distinct()
 
 
-def _archived_lines(spark: SparkSession, locations: Sequence[str], regex: str) -> tuple[DataFrame, DataFrame]:
+def _archived_lines(
+    spark: SparkSession, locations: Sequence[str], regex: str, opener: Opener | None
+) -> tuple[DataFrame, DataFrame]:
     files = spark.read.format("binaryFile").load(list(locations)).where(_name().rlike(_ARCHIVES))
     if regex.strip():
         files = files.where(_name().rlike(regex))
-    # An archive cannot be split; one row per task keeps only one of them in memory.
-    lines = files.select(F.col("path").alias("file"), "content").mapInArrow(_archive_batches, _LINES)
-    return lines, files.select(F.col("path").alias("file"))
+    names = files.select(F.col("path").alias("file"))
+    if opener:
+        return archive_lines(names, opener), names
+    # Only Spark can open these: a whole archive comes as one value.
+    return files.select(F.col("path").alias("file"), "content").mapInArrow(_archive_batches, _LINES), names
 
 
 def read_lines(
@@ -194,6 +191,7 @@ def read_lines(
     name_regex: str = "",
     drop_first: int = 0,
     fail_if_missing: bool = True,
+    open_archive: Opener | None = None,
 ) -> DataFrame:
     """Lines as (file, file_idx, line_no, value); line_no starts at 0 after the `drop_first` lines of each file.
 
@@ -202,6 +200,9 @@ def read_lines(
     folder in path order; a path listed twice gives its lines twice. Missing folders are left out with a warning; if
     nothing at all is found, that is an error unless `fail_if_missing` is off. A corrupt archive gives the lines that
     can be read and one more that begins with UNREADABLE.
+
+    Zip and bzip2 archives are read as streams, a zip one task per entry, where the workers can open them: on mounted file
+    systems, or anywhere with `open_archive`, which opens a path as Spark lists it. Else they come whole, below 2 GB each.
     """
     if paths:
         present, name_regex = existing_paths(spark, paths, fail_if_missing), ""
@@ -221,7 +222,8 @@ def read_lines(
     if plain:
         parts.append(_plain_lines(spark, plain, name_regex))
     if packed:
-        parts.append(_archived_lines(spark, packed, name_regex))
+        opener = open_archive or (open_local if all(is_local(qualified(spark, p)) for p in files) else None)
+        parts.append(_archived_lines(spark, packed, name_regex, opener))
     if not parts:
         return spark.createDataFrame([], "file string, file_idx int, line_no bigint, value string")
     lines = reduce(DataFrame.unionByName, [part for part, _ in parts])
