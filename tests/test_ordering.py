@@ -1,4 +1,5 @@
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,6 +63,26 @@ def test_following_and_numbers(skewed, target):
     assert [seq[r[0]] for r in _ordered(rows)] == list(range(1, len(rows) + 1))
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
+def test_numbers_in_order_of_a_time(spark, kind):
+    """Over the size of one slice and in a zone that skips an hour; many rows of one second differ in microseconds only."""
+    rng = random.Random(3)
+    times = [None] * 20 + [datetime(2024, 3, 10, 2, 30, 7, m) for m in range(300)]
+    times += [datetime(1969, 12, 31, 23, 59, 58) + timedelta(hours=rng.randrange(0, 480_000), microseconds=rng.randrange(10)) for _ in range(300)]
+    times += [datetime(2024, 3, 10, 0, 0) + timedelta(minutes=m) for m in range(0, 360, 2)]
+    # The later the time, the smaller the number that decides between equal ones.
+    rows = [(len(times) - i, t if t is None else t.isoformat(" ")) for i, t in enumerate(times)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame(rows, "id bigint, said string").select("id", F.col("said").cast(kind).alias("at")).repartition(5)
+        want = [r.id for r in df.select("id", "at").orderBy(F.col("at").asc_nulls_first(), "id").collect()]
+        got = [r.id for r in numbered(df, ["at", "id"], target_rows=90).orderBy("seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == want
+
+
 def test_slices_stay_small(skewed):
     _, df = skewed
     sliced = slice_by_order(df, ["key"], ["at", "id"], target_rows=40)

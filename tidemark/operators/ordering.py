@@ -47,6 +47,19 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[_hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
 
 
+def _whole(column: str, kind: T.DataType) -> Column:
+    """An order column as whole numbers that compare like it: times as microseconds, zone-less ones without any zone."""
+    value = F.col(column)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, T.TimestampNTZType):
+        seconds = F.unix_date(value.cast("date")) * F.lit(86_400).cast("bigint") + F.hour(value) * 3600 + F.minute(value) * 60
+        return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint")
+    return value.cast("bigint")
+
+
 def _attach(df: DataFrame, facts: DataFrame, group: Sequence[str]) -> DataFrame:
     """Add the columns of a settled per-slice table to every row of the slice."""
     named = facts.select(
@@ -81,7 +94,7 @@ _SAMPLE_PER_SLICE = 100
 def slice_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], target_rows: int = TARGET_ROWS) -> Sliced:
     """Add slice columns so that no (key, slice) holds many more than `target_rows` rows.
 
-    `order` names whole-number columns; end it with a unique one where rows may tie. Slice columns compare like the
+    `order` names columns of whole numbers or times; end it with a unique one where rows may tie. Slice columns compare like the
     order columns do, so slices of a key are themselves in order. One grouped count finds the keys that are too large,
     and without any nothing else happens. Otherwise one more scan samples those keys, and where to cut is worked out
     on the sample. The sample decides only how even the slices are, never a result.
@@ -110,7 +123,7 @@ def _sample(
 
     Rows are picked by a hash of what they hold, so a task that runs again picks the same ones.
     """
-    of_large = df.select(*keys, *[F.col(c).cast("bigint").alias(c) for c in order])
+    of_large = df.select(*keys, *[_whole(c, df.schema[c].dataType).alias(c) for c in order])
     if keys:
         of_large = _attach(of_large, large.withColumn("_large", F.lit(True)), keys).where("_large").drop("_large")
     if target_rows <= _SAMPLE_PER_SLICE:
@@ -150,7 +163,7 @@ def _cut(df: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[st
     """
     moved = []
     for i, (column, mark) in enumerate(zip(order, marks)):
-        x = F.greatest(F.col("_lo"), F.least(F.col("_hi"), F.col(column).cast("bigint")))
+        x = F.greatest(F.col("_lo"), F.least(F.col("_hi"), _whole(column, df.schema[column].dataType)))
         place = (
             F.when(F.col(column).isNull(), F.lit(None))
             .when(x < F.col("_mid"), x - (x - F.col("_lo")) % F.col("_step"))
