@@ -3,11 +3,12 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import assign_models
-from tidemark.streaming import serving
+from tidemark.streaming import keyed, serving
 from tidemark.streaming.keyed import serve_keyed
 
 START = datetime(2024, 1, 1)
@@ -75,3 +76,53 @@ def test_no_versions_and_rows_without_a_time(spark, tmp_path):
     records = [(1, "a", START, 1.0, None), (2, "a", None, 1.0, None)]
     got = served(spark, str(tmp_path), [(records, [("a", None, 1, "x", 0.1)], True)])
     assert [(r.id, r.model) for r in got.collect()] == [(1, None)]
+
+
+def test_state_has_no_key_per_server(spark, tmp_path):
+    """Three hundred servers in two runs, with a few groups: as the batch join, and no more keys of state than groups."""
+    rng = random.Random(5)
+    servers = [f"s{i}" for i in range(300)]
+    first, second = made(rng, 600, servers, 0, 600), made(rng, 600, servers, 600, 1200)
+    got = served(spark, str(tmp_path), [(*first, False), (*second, True)], delay="1 hour", slots=2, groups=5)
+    want = assign_models(
+        spark.createDataFrame(first[0] + second[0], RECORDS), spark.createDataFrame(first[1] + second[1], VERSIONS), on="at", by=["server"], seq="seq"
+    )
+    assert plain(got.select(*want.columns)) == plain(want)
+    assert spark.read.format("statestore").option("stateVarName", "current").load(f"{tmp_path}/checkpoint").count() <= 5
+
+
+class _List(list):
+    """A list state."""
+
+    exists, get, clear = lambda self: bool(self), lambda self: iter(list(self)), list.clear
+
+    def put(self, entries):
+        self[:] = entries
+
+
+def test_chunks_give_every_row_once(monkeypatch):
+    monkeypatch.setattr(keyed, "_CHUNK_ROWS", 3)
+    monkeypatch.setattr(keyed, "_CHUNKS", 4)
+    rng, state, wanted, taken = random.Random(2), _List(), [], []
+    for until in range(0, 1000, 20):
+        rows = [(f"s{rng.randrange(5)}", until + 1 + rng.randrange(300), f"b{rng.random()}") for _ in range(rng.randrange(0, 9))]
+        wanted += rows
+        state.extend(keyed._chunks(pd.DataFrame(rows, columns=["server", "at", "body"])))
+        passed, following = keyed._Group()._take(state, keyed._RECORD, until)
+        taken += list(passed.itertuples(index=False, name=None))
+        assert sorted(taken) == sorted(r for r in wanted if r[1] <= until)
+        assert following == min((r[1] for r in wanted if r[1] > until), default=None)
+        left = [r for c in state for r in keyed._rows([c], ["server", "at", "body"]).itertuples(index=False)]
+        assert len(left) == len(wanted) - len(taken) and len(state) <= 4 + len(left) // 3 + 1
+
+
+def test_last_version_before_each_record():
+    rng = random.Random(4)
+    for n in (0, 1, 40):
+        versions = sorted((rng.randrange(30), i, rng.choice("abc")) for i in range(n))
+        records = [(rng.choice("abcd"), rng.randrange(30)) for _ in range(60)]
+        got = keyed._last_before(
+            pd.DataFrame({"server": pd.Series([v[2] for v in versions], dtype=object), "at": pd.Series([v[0] for v in versions], dtype="int64")}),
+            pd.DataFrame(records, columns=["server", "at"]),
+        )
+        assert list(got) == [max((i for i, v in enumerate(versions) if v[2] == s and v[0] <= at), default=-1) for s, at in records]
